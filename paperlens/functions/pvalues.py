@@ -8,11 +8,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EXACT_ROWS = 10_000
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def erfc(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if pd.isna(v) else math.erfc(v))
 
@@ -59,7 +60,7 @@ def ks_asymptotic(d: float, m: int, n: int) -> float:
     return min(1.0, max(0.0, 2 * total))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ks_p_value(d: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
     """Exact up to 10,000 rows a side, asymptotic above. NULL for an empty side."""
 

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..constants import DEFAULT_THRESHOLD, FEATURE_COLS
@@ -96,7 +97,7 @@ def _as_batches(model: TreeModel, features: list[Column], spark: SparkSession) -
         "base": float(np.log(model.base_score / (1 - model.base_score))),
     })
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def margin(*columns: pd.Series) -> pd.Series:
         m = shared.value
         rows = len(columns[0])
