@@ -42,11 +42,13 @@ def buzzword_flags(title: Column, words: list[str] = BUZZWORDS) -> list[Column]:
     return [F.coalesce(F.contains(lowered, F.lit(w)), F.lit(False)).cast("int") for w in words]
 
 
-def whole_number(value: Column, is_text: bool = False) -> Column:
+def whole_number(value: Column, kind: T.DataType) -> Column:
     """Numeric coercion: NULL, NaN and non-numbers are 0; fractions are cut off."""
-    if is_text:
-        value = F.when(value.rlike(_NUMBER), F.trim(value))
-    return F.coalesce(F.nanvl(value.try_cast("double"), F.lit(0.0)), F.lit(0.0)).cast("bigint")
+    if isinstance(kind, T.StringType):
+        value = F.when(value.rlike(_NUMBER), F.trim(value)).try_cast("double")
+    if not isinstance(kind, T.IntegralType):
+        value = F.nanvl(value.cast("double"), F.lit(0.0))
+    return F.coalesce(value, F.lit(0)).cast("bigint")
 
 
 def author_signals(df: DataFrame) -> list[Column]:
@@ -57,7 +59,7 @@ def author_signals(df: DataFrame) -> list[Column]:
     def number(name: str) -> Column:
         if name not in df.columns:
             return F.lit(0).cast("bigint")
-        return whole_number(F.col(name), isinstance(df.schema[name].dataType, T.StringType))
+        return whole_number(F.col(name), df.schema[name].dataType)
 
     if "has_author_enrichment" in df.columns:
         enriched = F.coalesce(F.col("has_author_enrichment").cast("boolean"), F.lit(False))

@@ -2,52 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 64
+from ..session import materialize
 
 
-def value_bounds(groups: DataFrame, value: str, by: tuple[str, ...], buckets: int) -> Column:
-    """Upper bounds of about equally filled value ranges, per ``by`` group, as a map literal.
+def store_ranges(groups: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``groups`` once, range-partitioned by ``by`` and ``value``, with the range as ``_range``.
 
-    At most ``buckets`` numbers per group reach the driver. They only balance the work: the
-    running sums are exact whatever the bounds are.
+    ``groups`` has one row per ``by`` and ``value`` (no NULL values), so no range is overfull. The
+    adaptive planner chooses how many ranges there are, up to ``spark.sql.shuffle.partitions``.
+    Because the range number is stored, every later step sees the same ranges, and none of them
+    goes back to the rows behind ``groups``.
     """
-    shares = [i / buckets for i in range(1, buckets)]
-    found = groups.groupBy(*by).agg(F.percentile_approx(value, shares).alias("bounds"))
-    parts = []
-    for row in found.collect():
-        name = "\x1f".join(str(row[c]) for c in by)
-        limits = F.array(*[F.lit(float(b)) for b in sorted(set(row["bounds"] or []))])
-        parts += [F.lit(name), limits.cast("array<double>")]
-    if not parts:
-        parts = [F.lit(""), F.array().cast("array<double>")]
-    return F.create_map(*parts)
+    ranged = groups.repartitionByRange(*by, value).withColumn("_range", F.spark_partition_id())
+    return materialize(ranged, "ranges")
 
 
-def running_sums(groups: DataFrame, value: str, sums: list[str], by: tuple[str, ...] = (),
-                 descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
+def running_sums(ranges: DataFrame, value: str, sums: list[str], by: tuple[str, ...] = (),
+                 descending: bool = False) -> DataFrame:
     """Add ``cum_x`` and ``all_x`` for every ``x`` in ``sums``, and ``next_value``.
 
-    ``groups`` has one row per ``by`` and ``value`` (no NULL values). ``cum_x`` sums ``x`` up to
-    and including the row in value order, ``all_x`` over the whole group, ``next_value`` is the
-    following value. Rows are split into value ranges; the range totals, at most
-    ``buckets`` per group, are summed up in a window and broadcast back as offsets; only rows of
-    one range share a task.
+    ``ranges`` comes from ``store_ranges``. ``cum_x`` sums ``x`` up to and including the row in
+    value order, ``all_x`` over the whole group, ``next_value`` is the following value. The range
+    totals, one row per group and range, are summed up in a small window and broadcast back as
+    offsets; only rows of one range share a task.
     """
-    name = F.concat_ws("\x1f", *[F.col(c).cast("string") for c in by]) if by else F.lit("")
-    bounds = F.element_at(value_bounds(groups, value, by, buckets), name)
-    ranged = groups.withColumn(
-        "_range",
-        F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(value))), F.lit(0)),
-    )
 
     def ordered(column: str):
         return F.desc(column) if descending else F.asc(column)
 
     first = F.max if descending else F.min
-    totals = ranged.groupBy(*by, "_range").agg(
+    totals = ranges.groupBy(*by, "_range").agg(
         *[F.sum(s).alias(f"_sum_{s}") for s in sums], first(value).alias("_first")
     )
     over = Window.partitionBy(*by).orderBy(ordered("_range"))
@@ -60,9 +47,10 @@ def running_sums(groups: DataFrame, value: str, sums: list[str], by: tuple[str,
     )
     within = Window.partitionBy(*by, "_range").orderBy(ordered(value))
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = ranged.join(F.broadcast(offsets), [*by, "_range"])
+    # At most spark.sql.shuffle.partitions ranges, each shared by neighbouring groups at its ends.
+    joined = ranges.join(F.broadcast(offsets), [*by, "_range"])
     return joined.select(
-        *groups.columns,
+        *[c for c in ranges.columns if c != "_range"],
         *[(F.sum(s).over(upto) + F.col(f"_before_{s}")).alias(f"cum_{s}") for s in sums],
         *[f"all_{s}" for s in sums],
         F.coalesce(F.lead(value).over(within), F.col("_next_first")).alias("next_value"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLS
 from ..functions.pvalues import chi2_p_value, ks_p_value, z_p_value
-from .cumulative import running_sums
+from .cumulative import running_sums, store_ranges
 
 SMALL_REFERENCE = 1000
 DISTANCE_LIMIT = 0.1
@@ -43,6 +43,7 @@ def drift_statistics(reference: DataFrame, current: DataFrame,
                      features: list[str] = FEATURE_COLS) -> DataFrame:
     """All statistics per feature: sizes, distinct values, and the five distances and test values."""
     counts = value_counts({"ref": reference, "cur": current}, features)
+    counts = store_ranges(counts, "value", ("feature",))
     means = counts.groupBy("feature").agg(
         (F.sum(F.col("ref") * F.col("value")) / F.nullif(F.sum("ref"), F.lit(0))).alias("mean_ref")
     )

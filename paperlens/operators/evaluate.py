@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scores import round4
-from .cumulative import BUCKETS, running_sums
+from .cumulative import running_sums, store_ranges
 
 
 def score_counts(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -20,11 +20,13 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "label")
     )
 
 
-def ranking(scored: DataFrame, score: str = "score", label: str = "label",
-            buckets: int = BUCKETS) -> DataFrame:
-    """Score counts with running sums from the highest score down."""
-    counts = score_counts(scored, score, label)
-    return running_sums(counts, "score", ["pos", "neg"], descending=True, buckets=buckets)
+def ranking(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """Score counts with running sums from the highest score down.
+
+    The scored rows are read once: their counts are stored, and everything else starts from them.
+    """
+    ranges = store_ranges(score_counts(scored, score, label), "score")
+    return running_sums(ranges, "score", ["pos", "neg"], descending=True)
 
 
 def _auc() -> Column:

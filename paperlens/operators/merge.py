@@ -22,9 +22,10 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str, overwrite=(), new_e
            old_else_new=(), special: dict[str, Column] | None = None) -> DataFrame:
     """Insert new keys, resolve known ones column by column. Both sides have one row per key.
 
-    One full outer join on a unique key: no key is frequent, and the join sorts and merges, so it
-    spills rather than fails. Columns the incoming side lacks count as NULL. ``special`` columns
-    refer to the sides as ``s`` and ``i``.
+    Known keys are a left join from the stored side, so its wide rows stay where they are when the
+    batch is small enough to broadcast; new keys are an anti join against the stored keys alone.
+    Keys are unique on both sides, so none is frequent. Columns the incoming side lacks count as
+    NULL. ``special`` columns refer to the sides as ``s`` and ``i``.
     """
     matched = F.col(f"i.{key}").isNotNull()
 
@@ -32,7 +33,7 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str, overwrite=(), new_e
         old = F.col(f"s.{name}")
         if special and name in special:
             return special[name]
-        if name not in incoming.columns:
+        if name not in incoming.columns or name == key:
             return old
         new = F.col(f"i.{name}")
         if name in overwrite:
@@ -41,16 +42,18 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str, overwrite=(), new_e
             return F.coalesce(new, old)
         if name in old_else_new:
             return F.coalesce(old, new)
-        return F.when(F.col(f"s.{key}").isNull(), new).otherwise(old)
+        return old
 
-    joined = stored.alias("s").join(
-        incoming.alias("i"), F.col(f"s.{key}") == F.col(f"i.{key}"), "full_outer"
+    def typed(name: str, value: Column) -> Column:
+        return value.cast(stored.schema[name].dataType).alias(name)
+
+    known = stored.alias("s").join(
+        incoming.alias("i"), F.col(f"s.{key}") == F.col(f"i.{key}"), "left"
+    ).select(*[typed(c, resolve(c)) for c in stored.columns])
+    added = incoming.join(stored.select(key), key, "left_anti").select(
+        *[typed(c, F.col(c) if c in incoming.columns else F.lit(None)) for c in stored.columns]
     )
-    return joined.select(*[
-        (F.coalesce(f"s.{key}", f"i.{key}") if c == key else resolve(c))
-        .cast(stored.schema[c].dataType).alias(c)
-        for c in stored.columns
-    ])
+    return known.unionByName(added)
 
 
 def upsert_papers(stored: DataFrame, incoming: DataFrame, as_of: Column | None = None,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLS
 from .aggregates import null_report
-from .cumulative import running_sums
+from .cumulative import running_sums, store_ranges
 from .drift import value_counts
 
 
@@ -27,7 +27,7 @@ def quality_summary(df: DataFrame, features: list[str] = FEATURE_COLS) -> DataFr
 
     Everything but the nulls comes from counted distinct values.
     """
-    counts = value_counts({"rows": df}, features)
+    counts = store_ranges(value_counts({"rows": df}, features), "value", ("feature",))
     means = counts.groupBy("feature").agg(
         (F.sum(F.col("rows") * F.col("value")) / F.sum("rows")).alias("mean")
     )

@@ -20,10 +20,15 @@ from .trees import TreeModel, score_papers
 
 
 def recent_topn(papers: DataFrame, as_of, days: int | None = None, limit: int | None = None) -> DataFrame:
-    """Newest papers of the window. Each task keeps ``limit`` rows; nothing is sorted as a whole."""
+    """Newest papers of the window. Each task keeps ``limit`` rows; nothing is sorted as a whole.
+
+    The result is one partition anyway. Saying so keeps the planner from moving later projections
+    below the limit, where they would run on every row and turn the top-n into a full sort.
+    """
     days = days if days and days > 0 else FEED_DAYS
     limit = min(limit, FEED_MAX_LIMIT) if limit and limit > 0 else FEED_LIMIT
-    return recent_window(papers, as_of, days).orderBy(F.desc("submitted_at"), "arxiv_id").limit(limit)
+    recent = recent_window(papers, as_of, days)
+    return recent.orderBy(F.desc("submitted_at"), "arxiv_id").limit(limit).coalesce(1)
 
 
 def ranked_feed(papers: DataFrame, model: TreeModel, as_of, days: int | None = None,
@@ -67,7 +72,7 @@ def topk_per_time(series: DataFrame, k: int = 8, ts: str = "ts", feature: str =
 
 
 def head_pending(pending: DataFrame, n: int, key: str = "arxiv_id") -> DataFrame:
-    return pending.orderBy(key).limit(n)
+    return pending.orderBy(key).limit(n).coalesce(1)
 
 
 def chunk_requests(ids: DataFrame, size: int, key: str = "arxiv_id", buckets: int = 4096) -> DataFrame:

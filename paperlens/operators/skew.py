@@ -8,29 +8,29 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> list:
     """The at most ``HOT_KEYS`` most frequent keys with at least ``min_rows`` rows."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    frequent = counts.filter((F.col("_rows") >= min_rows) & F.col(key).isNotNull())
-    return frequent.orderBy(F.desc("_rows"), key).limit(HOT_KEYS).select(key)
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    frequent = counts.filter(F.col("rows") >= min_rows)
+    return [r[0] for r in frequent.orderBy(F.desc("rows"), key).limit(HOT_KEYS).collect()]
 
 
 def salted_left_join(facts: DataFrame, lookup: DataFrame, key: str, min_rows: int = 1_000_000,
                      salts: int = 64) -> DataFrame:
     """``facts`` left join ``lookup`` (one row per key), frequent keys spread over ``salts`` parts.
 
-    Only the frequent keys of ``lookup`` are repeated, at most ``HOT_KEYS * salts`` extra rows, and
-    only their list (at most ``HOT_KEYS`` rows) is broadcast. Keys that are frequent but not listed
-    are joined unsalted: the result is the same, and the adaptive planner splits what is left.
-    The salt is a hash of the row, so a recomputed task places its rows as before.
+    One count over the key column finds the frequent keys; without any this is a plain join. Only
+    the frequent keys of ``lookup`` are repeated, at most ``HOT_KEYS * salts`` extra rows. A key
+    that is frequent but not among the first ``HOT_KEYS`` is joined unsalted: the result is the
+    same, and the adaptive planner splits its partition. The salt is a hash of the row, so a
+    recomputed task places its rows as before.
     """
-    hot = F.broadcast(hot_keys(facts.select(key), key, min_rows).withColumn("_hot", F.lit(True)))
+    hot = hot_keys(facts, key, min_rows)
+    if not hot:
+        return facts.join(lookup, key, "left")
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     row_salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    spread = facts.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), row_salt).otherwise(0)
-    ).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    spread = facts.withColumn("_salt", F.when(is_hot, row_salt).otherwise(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = lookup.withColumn("_salt", F.explode(copies))
     return spread.join(repeated, [key, "_salt"], "left").drop("_salt")

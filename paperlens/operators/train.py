@@ -101,7 +101,7 @@ def _tree_input(train: DataFrame, label: str, features: list[str]) -> DataFrame:
 def _estimator(spark: SparkSession, params: dict) -> GBTClassifier:
     # Boosting grows the lineage by a stage per tree: cut it in the shared folder.
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if not context.getCheckpointDir():
         context.setCheckpointDir(work_dir(spark, "boosting"))
     return GBTClassifier(
         labelCol="_label", weightCol="_weight", seed=SEED, checkpointInterval=10,

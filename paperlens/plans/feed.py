@@ -38,8 +38,8 @@ def paper_detail(papers: DataFrame, model: TreeModel, arxiv_id: str, text_unit:
     return serving_view(score_papers(paper_by_id(papers, arxiv_id), model, text_unit))
 
 
-def card_view(scored: DataFrame) -> DataFrame:
-    """Display texts of a paper card."""
+def card_view(scored: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Display texts of a paper card, followed by the ``keep`` columns."""
     return scored.select(
         "arxiv_id", "title",
         author_line(F.col("author_names")).alias("author_line"),
@@ -48,6 +48,7 @@ def card_view(scored: DataFrame) -> DataFrame:
         score_percent(F.col("hype_score")).alias("score_percent"),
         score_bar(F.col("hype_score")).alias("score_bar"),
         tier_badge(F.col("hype_tier")).alias("tier_badge"),
+        *keep,
     )
 
 
@@ -56,6 +57,4 @@ def feed_screen(papers: DataFrame, model: TreeModel, as_of, days: int | None = N
     """Arguments, window, scores, tier, search and page in one plan."""
     args = client_feed_args(days, tier)
     feed = ranked_feed(papers, model, as_of, args["days"], args["limit"], args["tier"])
-    shown = feed_page(feed_search(feed, search), page)
-    cards = card_view(shown)
-    return cards.join(F.broadcast(shown.select("arxiv_id", "position", "page", "pages")), "arxiv_id")
+    return card_view(feed_page(feed_search(feed, search), page), ("position", "page", "pages"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 SETTINGS = {
     # Timestamps are UTC wall clock everywhere.
@@ -26,24 +26,40 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
+_local_folder: str | None = None
+
 
-    A machine-local folder is used only on a local master, where it is set for the session;
-    a cluster without the setting is an error.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which all executors can reach.
+
+    Unset, a machine-local folder stands in on a local master only; on a cluster it is an error.
     """
+    global _local_folder
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    _local_folder = _local_folder or tempfile.mkdtemp(prefix="run-")
+    return _local_folder
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_rows(df: DataFrame, limit: int, what: str) -> list[Row]:
+    """All rows of a table that must be small; an error, not a cut, when it is not."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} {what}")
+    return rows
