@@ -27,7 +27,8 @@ def chi2_p_value(x: Column, dof: Column) -> Column:
     """Upper tail for 2, 3 or 4 degrees of freedom, in closed form."""
     half = x / 2
     return (
-        F.when(dof == 2, F.exp(-half))
+        F.when(x == float("inf"), F.lit(0.0))
+        .when(dof == 2, F.exp(-half))
         .when(dof == 3, erfc(F.sqrt(half)) + F.sqrt(4 * half / math.pi) * F.exp(-half))
         .when(dof == 4, F.exp(-half) * (1 + half))
     )
