@@ -26,10 +26,10 @@ def recent_topn(spark, sf):
 
 @check(PS + f"""
 SELECT arxiv_id, round(hype_score, 6) AS hype_score, hype_tier
-FROM ({RECENT.format(table='scored', since='2024-01-13', limit=200)}) x
+FROM ({RECENT.format(table='scored', since='2023-12-14', limit=200)}) x
 """)
 def ranked_feed(spark, sf):
-    feed = ranking.ranked_feed(papers(spark, sf), toy_model(), AS_OF, limit=1000)
+    feed = ranking.ranked_feed(papers(spark, sf), toy_model(), AS_OF, days=60, limit=1000)
     return rounded(feed.select("arxiv_id", "hype_score", "hype_tier"), "hype_score")
 
 

@@ -109,7 +109,7 @@ def feature_drift(reference: DataFrame, current: DataFrame, features: list[str]
     chosen = stats.withColumn("method", method)
     if small is not False:
         chosen = chosen.withColumns({
-            "_ks": ks_p_value("ks", "n_ref", "n_cur"),
+            "_ks": ks_p_value(F.when(F.col("method") == "ks", F.col("ks")), "n_ref", "n_cur"),
             "_chi2": chi2_p_value(F.col("chi2"), distinct - 1),
             "_z": z_p_value(F.col("z")),
         })
