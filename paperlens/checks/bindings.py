@@ -11,9 +11,25 @@ from ..session import configure
 
 AS_OF = "2024-02-12 00:00:00"
 
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": """o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string,
+        l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id long, ts timestamp_ntz, user_id long, event_type string, value double,
+        props string""",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+    "pages": "page_id long, url string, html string",
+}
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf}/{name}.parquet")
+    return configure(spark).read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def papers(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,7 +189,7 @@ def stored_incoming(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
     o = table(spark, sf, "orders")
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     arxiv_id = key.cast("string").alias("arxiv_id")
-    stored = o.filter(key % 3 != 0).select(
+    stored = o.filter("o_orderstatus <> 'P'").select(
         arxiv_id,
         F.col("o_orderpriority").alias("title"),
         F.col("o_orderdate").cast("timestamp").alias("submitted_at"),
@@ -183,7 +199,7 @@ def stored_incoming(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
         F.when(key % 5 != 0, customer % 200).cast("int").alias("github_stars_t60"),
         F.when(key % 5 != 0, customer % 200 > 100).alias("hype_label"),
     )
-    incoming = o.filter(key % 3 != 1).select(
+    incoming = o.filter("o_orderstatus <> 'O'").select(
         arxiv_id,
         F.col("o_orderstatus").alias("title"),
         (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 1 DAY")).alias("submitted_at"),
@@ -203,7 +219,7 @@ SIDES = """s AS (
     o_orderkey % 7 = 0 AS has_code,
     CASE WHEN o_orderkey % 5 <> 0 THEN cast(o_custkey % 200 AS INT) END AS github_stars_t60,
     CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey % 200 > 100 END AS hype_label
-  FROM orders WHERE o_orderkey % 3 <> 0),
+  FROM orders WHERE o_orderstatus <> 'P'),
 i AS (
   SELECT cast(o_orderkey AS VARCHAR) AS arxiv_id, o_orderstatus AS title,
     o_orderdate + INTERVAL '1' DAY AS submitted_at,
@@ -212,7 +228,7 @@ i AS (
     o_orderkey % 11 = 0 AS has_code,
     cast(o_custkey % 150 AS INT) AS github_stars_t60,
     CASE WHEN o_orderkey % 8 <> 0 THEN o_custkey % 150 > 100 END AS hype_label
-  FROM orders WHERE o_orderkey % 3 <> 1)"""
+  FROM orders WHERE o_orderstatus <> 'O')"""
 SI = f"WITH {SIDES}\n"
 
 

@@ -12,7 +12,7 @@ from . import check
 from .bindings import PF, SERIES, papers, rounded, series
 
 LONG = "long AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, cast({c} AS DOUBLE) AS value, doc_id % 2 AS side FROM features"
+    f"SELECT '{c}' AS feature, cast({c} AS DOUBLE) AS value, cast(hype_label IS NULL AS INT) AS side FROM features"
     for c in FEATURE_COLS
 ) + ")"
 
@@ -42,8 +42,9 @@ distance AS (SELECT feature, CASE WHEN u > 5 THEN 'wasserstein' ELSE 'js' END AS
 
 
 def halves(spark, sf):
+    """The labelled papers as reference, the others as current."""
     rows = papers(spark, sf)
-    return [build_features(rows.filter(F.col("doc_id") % 2 == side)) for side in (0, 1)]
+    return [build_features(rows.filter(side)) for side in ("has_code", "NOT has_code")]
 
 
 @check(STATS + """
@@ -88,7 +89,7 @@ def dataset_drift(spark, sf):
 
 @check(STATS + """
 SELECT 'current_papers_count' AS name, '' AS feature, cast(count(*) AS DOUBLE) AS value
-  FROM papers WHERE doc_id % 2 = 1
+  FROM papers WHERE NOT has_code
 UNION ALL SELECT 'drift_share', '', round(avg(cast(score >= 0.1 AS INT)), 6) FROM distance
 UNION ALL SELECT 'drift_detected', '', cast(avg(cast(score >= 0.1 AS INT)) >= 0.5 AS DOUBLE) FROM distance
 UNION ALL SELECT 'feature_drift_score', feature, round(score, 6) FROM distance

@@ -92,7 +92,7 @@ def feed_files(spark, sf):
     """Documents as feed pages with padded titles and versioned ids; some ids are unusable."""
     doc = F.col("doc_id")
     rows = papers(spark, sf)
-    url = F.when(doc % 20 == 9, F.concat(F.lit("http://host/pdf/"), "arxiv_id")).otherwise(
+    url = F.when(F.col("max_h_index") < 6, F.concat(F.lit("http://host/pdf/"), "arxiv_id")).otherwise(
         F.concat(F.lit("http://host/abs/"), F.col("arxiv_id"), F.lit("v"), (doc % 12 + 1).cast("string"))
     )
     words = F.regexp_replace("title", r"[^\p{L}\p{N} .,]+", " ")
@@ -114,7 +114,7 @@ SELECT arxiv_id, trim(regexp_replace(title, '[^\p{L}\p{N} .,]+', ' ', 'g')) AS t
   array_to_string(categories, '|') AS categories, 'Alice Smith|Bob Jones' AS authors,
   strftime(submitted_at, '%Y-%m-%d %H:%M:%S') AS submitted_at,
   strftime(submitted_at, '%Y-%m-%d 00:00:00') AS updated_at_api
-FROM papers WHERE doc_id % 20 <> 9
+FROM papers WHERE coalesce(max_h_index, 99) >= 6
 """)
 def read_atom_pages(spark, sf):
     read = readers.read_atom_pages(spark, feed_files(spark, sf))

@@ -60,14 +60,17 @@ def dump(spark, sf):
 @check(f"""
 WITH {LINKED},
 a AS (SELECT cast(doc_id AS VARCHAR) AS arxiv_id, trim(substring(text, 1, 60)) AS title,
-    trim(text) AS abstract, CASE WHEN doc_id % 3 = 0 THEN 'cs.LG|stat.ML' ELSE 'cs.CL' END AS categories,
-    TIMESTAMP '2023-12-15 08:30:00' + doc_id * INTERVAL '1' HOUR AS ts,
+    trim(text) AS abstract, CASE doc_id % 3 WHEN 0 THEN 'cs.LG|stat.ML' WHEN 1 THEN 'math.ST'
+      ELSE 'cs.CL' END AS categories,
+    CASE WHEN doc_id % 50 <> 7 THEN TIMESTAMP '2023-12-15 08:30:00' + doc_id * INTERVAL '1' HOUR END AS ts,
+    TIMESTAMP '2023-12-15 08:30:00' + doc_id * INTERVAL '1' HOUR AS updated,
     trim(lang) || ' ' || trim(source) AS authors
-  FROM documents WHERE doc_id % 3 <> 1 AND doc_id % 50 <> 7)
+  FROM documents)
 SELECT a.arxiv_id, title, abstract, categories, strftime(ts, '%Y-%m-%d %H:%M:%S') AS submitted_at,
-  strftime(ts, '%Y-%m-%d 00:00:00') AS updated_at_api, authors,
+  strftime(updated, '%Y-%m-%d 00:00:00') AS updated_at_api, authors,
   one.arxiv_id IS NOT NULL AS has_code, hf_github_repo, one.arxiv_id IS NOT NULL AS hype_label
 FROM a LEFT JOIN one ON a.arxiv_id = one.arxiv_id WHERE ts >= TIMESTAMP '2024-01-01 00:00:00'
+  AND categories <> 'math.ST'
 """)
 def curate(spark, sf):
     made = curate_plan(dump(spark, sf), links(spark, sf))

@@ -15,6 +15,7 @@ from ..constants import (
     TIERS,
 )
 from .aggregates import latest_sample
+from .cumulative import running_sums, store_ranges
 from .filters import recent_window, tier_filter
 from .trees import TreeModel, score_papers
 
@@ -75,24 +76,17 @@ def head_pending(pending: DataFrame, n: int, key: str = "arxiv_id") -> DataFrame
     return pending.orderBy(key).limit(n).coalesce(1)
 
 
-def chunk_requests(ids: DataFrame, size: int, key: str = "arxiv_id", buckets: int = 4096) -> DataFrame:
+def chunk_requests(ids: DataFrame, size: int, key: str = "arxiv_id") -> DataFrame:
     """Distinct ids in request batches of exactly ``size``, the last one smaller: ``(chunk, ids)``.
 
-    Ids are numbered by hash bucket: the bucket totals, at most ``buckets`` rows, are summed up and
-    broadcast, and rows are numbered inside their bucket.
+    Ids are numbered by running counts over stored ranges, so no task sees more than its range.
     """
-    spread = ids.select(F.col(key).alias("id")).filter(F.col("id").isNotNull()).distinct().withColumn(
-        "bucket", F.pmod(F.xxhash64("id"), F.lit(buckets))
+    distinct = ids.select(F.col(key).alias("id")).filter(F.col("id").isNotNull()).distinct()
+    ranges = store_ranges(distinct.withColumn("n", F.lit(1)), "id")
+    chunk = F.floor((F.col("cum_n") - 1) / size)
+    return running_sums(ranges, "id", ["n"]).groupBy(chunk.alias("chunk")).agg(
+        F.sort_array(F.collect_list("id")).alias("ids")
     )
-    totals = spread.groupBy("bucket").agg(F.count("*").alias("n"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-    numbered = spread.join(F.broadcast(offsets), "bucket").select(
-        "id", (F.col("before") + within - 1).alias("number")
-    )
-    chunk = F.floor(F.col("number") / size)
-    return numbered.groupBy(chunk.alias("chunk")).agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
 def best_trial(runs: DataFrame, metric: str = "val_pr_auc") -> DataFrame:

@@ -19,10 +19,11 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
-    for key, value in SETTINGS.items():
-        if spark.conf.get(key, None) != value:
+    """Apply the runtime settings to an existing session, once."""
+    if not getattr(spark, "_paperlens_configured", False):
+        for key, value in SETTINGS.items():
             spark.conf.set(key, value)
+        spark._paperlens_configured = True
     return spark
 
 

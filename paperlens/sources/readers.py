@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,10 +44,19 @@ def read_papers_window(papers: DataFrame, as_of, days: int) -> DataFrame:
     )
 
 
-def read_papers_jdbc(spark: SparkSession, url: str, table: str, as_of, days: int, **options) -> DataFrame:
-    """The same window from a database, the date filter pushed down to it."""
-    rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-    return read_papers_window(rows, as_of, days)
+def day_predicates(as_of: datetime, days: int) -> list[str]:
+    """One condition per day of the window, the last one open, in standard SQL."""
+    starts = [as_of - timedelta(days=days - i) for i in range(days)]
+    texts = [s.strftime("TIMESTAMP '%Y-%m-%d %H:%M:%S'") for s in starts]
+    closed = [f"submitted_at >= {a} AND submitted_at < {b}" for a, b in zip(texts, texts[1:])]
+    return [*closed, f"submitted_at >= {texts[-1]}"]
+
+
+def read_papers_jdbc(spark: SparkSession, url: str, table: str, as_of: datetime, days: int,
+                     **properties: str) -> DataFrame:
+    """The same window from a database, read by one task per day."""
+    rows = spark.read.jdbc(url, table, predicates=day_predicates(as_of, days), properties=properties)
+    return rows.withColumn("has_author_enrichment", F.col("max_h_index").isNotNull())
 
 
 def feed_papers(entries: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def append_metrics(metrics: DataFrame, path: str) -> None:
 def label_list(name, labels):
     """Labels in sink order: ``__name__`` first, then by label name."""
     own = F.array(F.struct(F.lit("__name__").alias("key"), name.alias("value")))
-    return F.concat(own, F.array_sort(F.map_entries(labels)))
+    return F.concat(own, F.sort_array(F.map_entries(labels)))
 
 
 def write_drift_report(report: DataFrame, path: str, report_date: str) -> None:

@@ -87,7 +87,7 @@ def test_screen_and_detail(spark):
 
 def test_request_batches(spark):
     ids = spark.range(1234).select((F.col("id") % 1003).cast("string").alias("arxiv_id"))
-    chunks = [r["ids"] for r in ops.chunk_requests(ids, 100, buckets=16).orderBy("chunk").collect()]
+    chunks = [r["ids"] for r in ops.chunk_requests(ids, 100).orderBy("chunk").collect()]
     assert [len(c) for c in chunks] == [100] * 10 + [3]
     assert sorted(sum(chunks, []), key=int) == [str(i) for i in range(1003)]
 

@@ -157,3 +157,12 @@ def test_metric_labels_in_order(spark):
     df = spark.createDataFrame([("m", {"z": "1", "a": "2"})], "name string, labels map<string,string>")
     found = df.select(writers.label_list(F.col("name"), F.col("labels")).alias("l")).first()["l"]
     assert [(x["key"], x["value"]) for x in found] == [("__name__", "m"), ("a", "2"), ("z", "1")]
+
+
+def test_database_window_has_a_task_per_day():
+    found = readers.day_predicates(datetime(2024, 3, 2, 6), 3)
+    assert found == [
+        "submitted_at >= TIMESTAMP '2024-02-28 06:00:00' AND submitted_at < TIMESTAMP '2024-02-29 06:00:00'",
+        "submitted_at >= TIMESTAMP '2024-02-29 06:00:00' AND submitted_at < TIMESTAMP '2024-03-01 06:00:00'",
+        "submitted_at >= TIMESTAMP '2024-03-01 06:00:00'",
+    ]
