@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EXACT_ROWS = 10_000
 
+# Ship the functions themselves: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @F.pandas_udf(T.DoubleType())
 def erfc(x: pd.Series) -> pd.Series:

@@ -1,8 +1,12 @@
 import math
+import os
 import random
+import subprocess
+import sys
 from fractions import Fraction
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from paperlens.functions import pvalues
@@ -160,3 +164,18 @@ def test_profile(spark):
     assert a["std"] == pytest.approx(4.193248541803041)
     assert (rows["b"]["nulls"], rows["b"]["most_common"]) == (1, 5.0)
     assert tuple(dataset_summary(df, ["a", "b"]).first()) == (4, 2, 1)
+
+
+def test_functions_travel_without_the_package(tmp_path):
+    """Executors do not have this package: a worker must be able to load what is sent to it."""
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(pvalues.ks_p_value.func))
+    code = (
+        "import pandas as pd, pickle; f = pickle.load(open('f.pkl', 'rb'));"
+        "print(f(pd.Series([1.0]), pd.Series([5]), pd.Series([5]))[0])"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+        env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
+    )
+    assert done.returncode == 0, done.stderr
+    assert float(done.stdout) == pytest.approx(2 / 252)
