@@ -129,7 +129,7 @@ WITH {PAIRS}, l AS (SELECT DISTINCT l_orderkey FROM lineitem)
 SELECT concat('arXiv:', cast(l_orderkey AS VARCHAR)) AS id, ss_paper_id, citation_count
 FROM l LEFT JOIN answered a ON cast(l_orderkey AS VARCHAR) = a.arxiv_id
 """)
-def read_paper_batches(spark, sf):
+def read_ss_batches(spark, sf):
     path = work_dir(spark, "batches")
     paper_batches(spark, sf).write.option("ignoreNullFields", "false").json(path)
     read = readers.read_paper_batches(spark, path)
@@ -144,7 +144,7 @@ def read_paper_batches(spark, sf):
 SELECT cast(s_suppkey AS VARCHAR) AS author_id, cast(s_suppkey % 60 AS INT) AS h_index,
   cast(s_suppkey % 300 AS INT) AS paper_count FROM supplier WHERE s_suppkey % 5 <> 0
 """)
-def read_author_batches(spark, sf):
+def read_ss_author_batches(spark, sf):
     from ..operators.joins import author_responses
 
     path = work_dir(spark, "batches")

@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -59,6 +60,24 @@ def test_logreg(split):
     assert auc(model, split) > 0.7
 
 
+def test_logreg_solves_the_weighted_problem(spark):
+    """Against Newton steps on 0.5*|w|^2 + C * sum(weight * log loss), intercept free."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 2)) * [3.0, 0.5] + [1.0, -2.0]
+    y = (x @ [0.4, 1.5] + rng.normal(size=300) > 0.5).astype(int)
+    df = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, label int")
+    model = train.train_logreg(df, features=["a", "b"], c=0.7).stages[-1]
+
+    z = np.column_stack([(x - x.mean(0)) / x.std(0), np.ones(300)])
+    weight = np.where(y == 1, 300 / (2 * y.sum()), 300 / (2 * (300 - y.sum())))
+    w, ridge = np.zeros(3), np.diag([1.0, 1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-z @ w))
+        gradient = ridge @ w + 0.7 * z.T @ (weight * (p - y))
+        w -= np.linalg.solve(ridge + 0.7 * z.T @ (z * (weight * p * (1 - p))[:, None]), gradient)
+    assert [*model.coefficients, model.intercept] == pytest.approx(list(w), abs=1e-3)
+
+
 def test_trees(spark, split):
     model = train.train_gbt(split.filter("split = 'train'"), params={"maxIter": 15, "maxDepth": 4})
     assert auc(model, split) > 0.75
