@@ -19,7 +19,7 @@ _NUMBER = r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
 
 
 def list_len(values: Column) -> Column:
-    return F.coalesce(F.size(values), F.lit(0))
+    return F.coalesce(F.array_size(values), F.lit(0))
 
 
 def text_len(text: Column, unit: str = "chars") -> Column:

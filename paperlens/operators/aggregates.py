@@ -23,20 +23,21 @@ def seed_summary(papers: DataFrame, label: str = "hype_label") -> DataFrame:
         "total",
         "positive",
         (F.col("total") - F.col("positive")).alias("negative"),
-        (F.col("positive") / F.nullif("total", F.lit(0))).alias("positive_rate"),
+        F.try_divide("positive", "total").alias("positive_rate"),
     ).withColumn("negative_rate", 1 - F.col("positive_rate"))
 
 
 def class_balance(labeled: DataFrame, label: str = "label") -> DataFrame:
     """Class counts, shares in percent, and whether the positives are fewer than a tenth."""
     return labeled.agg(
-        F.count("*").alias("total"), F.sum(F.col(label).cast("int")).alias("positive")
+        F.count("*").alias("total"),
+        F.coalesce(F.sum(F.col(label).cast("int")), F.lit(0)).alias("positive"),
     ).select(
         "total",
         "positive",
         (F.col("total") - F.col("positive")).alias("negative"),
-        (100 * F.col("positive") / F.col("total")).alias("positive_pct"),
-        (F.col("positive") / F.col("total") < 0.10).alias("imbalanced"),
+        (100 * F.try_divide("positive", "total")).alias("positive_pct"),
+        (F.try_divide("positive", "total") < 0.10).alias("imbalanced"),
     ).withColumn("negative_pct", 100 - F.col("positive_pct"))
 
 
@@ -109,10 +110,10 @@ def author_backfill_summary(papers: DataFrame) -> DataFrame:
 
 
 def scale_pos_weight(labeled: DataFrame, label: str = "label") -> DataFrame:
-    """Negatives per positive, to two digits."""
+    """Negatives per positive, to two digits; NULL without a positive."""
     positive = F.sum(F.col(label).cast("int"))
     return labeled.agg(
-        F.round((F.count("*") - positive) / positive, 2).alias("scale_pos_weight")
+        F.round(F.try_divide(F.count("*") - positive, positive), 2).alias("scale_pos_weight")
     )
 
 

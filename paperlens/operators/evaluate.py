@@ -31,14 +31,13 @@ def ranking(scored: DataFrame, score: str = "score", label: str = "label") -> Da
 
 def _auc() -> Column:
     lost = F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2)
-    return 1 - F.sum(lost) / F.nullif(
-        F.sum("pos").cast("double") * F.sum("neg").cast("double"), F.lit(0.0)
-    )
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return 1 - F.try_divide(F.sum(lost), pairs)
 
 
 def _average_precision() -> Column:
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    return F.sum(F.col("pos") * precision) / F.sum("pos")
+    return F.coalesce(F.try_divide(F.sum(F.col("pos") * precision), F.sum("pos")), F.lit(0.0))
 
 
 def _f1(threshold: float) -> Column:
@@ -49,12 +48,12 @@ def _f1(threshold: float) -> Column:
 
 
 def roc_auc(ranked: DataFrame) -> DataFrame:
-    """Probability that a positive outranks a negative, ties counting half."""
+    """Probability that a positive outranks a negative, ties counting half; NULL for one class."""
     return ranked.agg(_auc().alias("roc_auc"))
 
 
 def average_precision(ranked: DataFrame) -> DataFrame:
-    """Precision summed over recall steps, one step per distinct score."""
+    """Precision summed over recall steps, one step per distinct score; 0 without a positive."""
     return ranked.agg(_average_precision().alias("average_precision"))
 
 
@@ -64,12 +63,12 @@ def f1_at_threshold(counts: DataFrame, threshold: float) -> DataFrame:
 
 
 def pr_curve(ranked: DataFrame) -> DataFrame:
-    """Precision and recall at every distinct score."""
+    """Precision and recall at every distinct score; recall is 1 without a positive."""
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     return ranked.select(
         F.col("score").alias("threshold"),
         (tp / (tp + fp)).alias("precision"),
-        (tp / F.col("all_pos")).alias("recall"),
+        F.coalesce(F.try_divide(tp, F.col("all_pos")), F.lit(1.0)).alias("recall"),
     )
 
 
@@ -144,9 +143,9 @@ def metric_bundle(ranked: DataFrame, prefix: str, threshold: float = 0.5) -> Dat
 
 def lift_over_base(ranked: DataFrame) -> DataFrame:
     """Average precision against the positive rate a random ranking would reach."""
-    base = F.sum("pos") / (F.sum("pos") + F.sum("neg"))
+    base = F.try_divide(F.sum("pos"), F.sum("pos") + F.sum("neg"))
     return ranked.agg(
         _average_precision().alias("average_precision"),
         base.alias("base_rate"),
-        (_average_precision() / base).alias("lift"),
+        F.try_divide(_average_precision(), base).alias("lift"),
     )

@@ -76,42 +76,55 @@ def _as_expression(model: TreeModel, features: list[Column]) -> Column:
 
 
 def _as_batches(model: TreeModel, features: list[Column], spark: SparkSession) -> Column:
+    """Walk all trees a level at a time over blocks of rows small enough to stay in cache."""
+
     def flat(name: str, kind) -> np.ndarray:
         return np.concatenate([np.asarray(t[name], dtype=kind) for t in model.trees])
 
     sizes = [len(t["left_children"]) for t in model.trees]
-    roots = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    roots = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int32)
     offset = np.repeat(roots, sizes)
-    left, right = flat("left_children", np.int64), flat("right_children", np.int64)
+    left, right = flat("left_children", np.int32), flat("right_children", np.int32)
     leaf = left == -1
-    own = np.arange(len(left))
+    own = np.arange(len(left), dtype=np.int32)
+    left, right = np.where(leaf, own, left + offset), np.where(leaf, own, right + offset)
+    levels, reached = 0, roots[~leaf[roots]]
+    while len(reached):
+        reached = np.concatenate([left[reached], right[reached]])
+        reached = reached[~leaf[reached]]
+        levels += 1
+    width = len(features) + 1
     shared = spark.sparkContext.broadcast({
         "roots": roots,
-        "left": np.where(leaf, own, left + offset),
-        "right": np.where(leaf, own, right + offset),
-        "leaf": leaf,
+        # Place 2n holds where node n goes when the feature is not below the split, 2n+1 when it is.
+        "next": np.stack([right, left], axis=1).ravel().astype(np.int32),
         # Features the row does not have read the NaN column behind the last one.
-        "feature": np.minimum(flat("split_indices", np.int64), len(features)),
+        "feature": np.minimum(flat("split_indices", np.int32), width - 1),
         "split": flat("split_conditions", np.float32).astype(np.float64),
         "weight": flat("base_weights", np.float32).astype(np.float64),
         "base": float(np.log(model.base_score / (1 - model.base_score))),
     })
+    block = 128
 
     @F.pandas_udf(T.DoubleType())
     def margin(*columns: pd.Series) -> pd.Series:
         m = shared.value
         rows = len(columns[0])
-        x = np.full((rows, len(columns) + 1), np.nan)
+        x = np.full((rows, width), np.nan)
         for i, column in enumerate(columns):
             x[:, i] = column.to_numpy(dtype=np.float64, na_value=np.nan)
-        at = np.broadcast_to(m["roots"], (rows, len(m["roots"]))).copy()
-        row = np.arange(rows)[:, None]
-        while not m["leaf"][at].all():
-            below = x[row, m["feature"][at]] < m["split"][at]
-            at = np.where(below, m["left"][at], m["right"][at])
         total = np.full(rows, m["base"])
-        for tree in range(at.shape[1]):
-            total += m["weight"][at[:, tree]]
+        for start in range(0, rows, block):
+            part = x[start : start + block].ravel()
+            first = np.arange(0, len(part), width, dtype=np.int32)[:, None]
+            at = np.broadcast_to(m["roots"], (len(first), len(m["roots"])))
+            for _ in range(levels):
+                below = part.take(first + m["feature"].take(at)) < m["split"].take(at)
+                at = m["next"].take(2 * at + below)
+            weights = m["weight"].take(at)
+            # Tree by tree, so that the sum is the one of a row-wise scorer.
+            for tree in range(weights.shape[1]):
+                total[start : start + block] += weights[:, tree]
         return pd.Series(total)
 
     return margin(*[f.cast("double") for f in features])

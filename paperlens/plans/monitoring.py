@@ -12,7 +12,7 @@ from ..operators.drift import drift_metrics, feature_drift
 from ..operators.filters import has_min_rows
 from ..operators.quality import quality_summary
 from ..operators.split import reference_sample
-from ..operators.trees import TreeModel, score_papers
+from ..operators.trees import TreeModel, score_trees
 from ..session import materialize
 from ..sources.readers import read_papers_window
 from ..sources.writers import append_metrics, write_drift_report
@@ -28,11 +28,14 @@ def monitor(seed_papers: DataFrame, papers: DataFrame, as_of: str, report_path:
     current = read_papers_window(papers, as_of, days)
     if not has_min_rows(current, min_rows):
         return False
+    # Texts are read once: everything below works on the stored 27 columns.
+    matrix = materialize(build_features(current, ("arxiv_id",)), "current")
     reference = build_features(reference_sample(seed_papers, reference_rows))
-    drift = materialize(feature_drift(reference, build_features(current)), "drift")
-    profile = quality_summary(build_features(current))
+    drift = materialize(feature_drift(reference, matrix), "drift")
+    profile = quality_summary(matrix)
+    # Both have one row per feature.
     write_drift_report(profile.join(F.broadcast(drift), "feature", "left"), report_path, as_of[:10])
-    size = current.agg(F.count("*").alias("papers"))
-    mean = mean_score(score_papers(current, model)) if model else None
+    size = matrix.agg(F.count("*").alias("papers"))
+    mean = mean_score(score_trees(matrix, model)) if model else None
     append_metrics(drift_metrics(drift, size, as_of, mean), metrics_path)
     return True

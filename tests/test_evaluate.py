@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperlens.operators import evaluate as ops
+from paperlens.operators.aggregates import class_balance, scale_pos_weight
 from paperlens.operators.cumulative import running_sums, store_ranges
 
 
@@ -110,3 +111,16 @@ def test_lift(spark):
 def test_null_scores_and_labels_are_left_out(spark):
     df = scored(spark, [(0.9, 1), (None, 1), (0.5, None), (0.2, 0)])
     assert ops.score_counts(df).agg(F.sum(F.col("pos") + F.col("neg"))).first()[0] == 2
+
+
+def test_one_class_and_no_rows(spark):
+    negatives = ops.ranking(scored(spark, [(0.9, 0), (0.1, 0)]))
+    assert ops.roc_auc(negatives).first()[0] is None
+    assert ops.average_precision(negatives).first()[0] == 0.0
+    assert ops.best_f1_threshold(negatives).first()[0] == 0.1
+    assert {r["recall"] for r in ops.pr_curve(negatives).collect()} == {1.0}
+    empty = ops.ranking(scored(spark, []))
+    assert ops.pr_curve(empty).count() == 0
+    assert tuple(ops.metric_bundle(empty, "val").first()) == (None, 0.0, 0.0)
+    assert class_balance(spark.createDataFrame([], "label int")).first()["positive_pct"] is None
+    assert scale_pos_weight(spark.createDataFrame([(0,)], "label int")).first()[0] is None
