@@ -73,7 +73,8 @@ def enrich_authors(papers: DataFrame, stats: DataFrame, no_authors: str = "null"
                    min_hot_rows: int = 1_000_000) -> DataFrame:
     """Author signals for answered papers ``(arxiv_id, author_ids, ...)``.
 
-    A paper without author ids gets NULLs (``no_authors="null"``) or zeros (``"zero"``).
+    A paper without author ids gets NULLs (``no_authors="null"``) or zeros (``"zero"``). ``papers``
+    is read three times (count, pairs, result): pass a stored table where making it is dear.
     """
     if no_authors not in ("null", "zero"):
         raise ValueError("no_authors must be 'null' or 'zero'")
