@@ -27,22 +27,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_folder: str | None = None
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which all executors can reach.
-
-    Unset, a machine-local folder stands in on a local master only; on a cluster it is an error.
-    """
-    global _local_folder
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the context's checkpoint folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    _local_folder = _local_folder or tempfile.mkdtemp(prefix="run-")
-    return _local_folder
+    return shared.rstrip("/")
+
+
+def own_folder_if_local(spark: SparkSession) -> None:
+    """For tests, timings and trials: a temporary checkpoint folder on a local master without one."""
+    local = spark.sparkContext.master.partition("[")[0] == "local"
+    unset = not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir()
+    if local and unset:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
