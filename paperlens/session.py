@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -35,12 +36,21 @@ def shared_folder(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
-def own_folder_if_local(spark: SparkSession) -> None:
-    """For tests, timings and trials: a temporary checkpoint folder on a local master without one."""
-    local = spark.sparkContext.master.partition("[")[0] == "local"
-    unset = not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir()
-    if local and unset:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+def prepare_local(spark: SparkSession) -> None:
+    """For tests, timings and trials on a local master; a cluster is left as it was set up.
+
+    Sets a temporary checkpoint folder where none is set, and lets Python workers find this package
+    whatever folder they were started in (on a cluster it is shipped with the job).
+    """
+    context = spark.sparkContext
+    if context.master.partition("[")[0] != "local":
+        return
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
