@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import work_dir
+from . import quality_fm, toxic_segments
 from .byte_bpe import encode_documents
+from .secret_ledger import secret_report
 from .simple8b import token_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +26,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_quality_fm(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every text by a factorisation machine."""
+    docs = table(spark, folder, "documents")
+    return quality_fm.quality_report(docs, quality_fm.fit(docs, table(spark, folder, "labels")))
+
+
+@query
+def op3_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every text and its passages by maximum-scoring segments."""
+    docs = table(spark, folder, "documents")
+    return toxic_segments.toxicity_report(docs, toxic_segments.fit(docs, table(spark, folder, "labels")))
+
+
+@query
+def op6_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every text through a ledger that begins empty."""
+    return secret_report(table(spark, folder, "documents"), work_dir(spark, "ledger"))
+
+
 @query
 def op9_simple8b(spark: SparkSession, folder: str) -> DataFrame:
     """Every text as token ids in files of 64-bit words, read back."""

@@ -79,11 +79,11 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np
         row = end
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, index of each row's first word): runs without space that stay in their row."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    dark = ~SPACE[data]
+    dark = ~space[data]
     first, last = dark.copy(), dark.copy()
     first[1:] &= ~dark[:-1]
     last[:-1] &= ~dark[1:]
