@@ -6,16 +6,76 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import work_dir
 from . import quality_fm, toxic_segments
 from .byte_bpe import encode_documents
+from .pfair_mix import mix
+from .rotated_codes import search
 from .secret_ledger import secret_report
 from .simple8b import token_report
+from .target_ratio import rules_report, trusted_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+ORACLES["op4_rotated_codes"] = """
+    WITH v AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES["op5_pfair_mix"] = """
+    WITH RECURSIVE sized AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+    w AS (
+        SELECT source, n, round(pow(n, 0.8) / sum(pow(n, 0.8)) OVER () * (1000 - count(*) OVER ()), 9) AS e FROM sized
+    ), f AS (
+        SELECT *, row_number() OVER (ORDER BY e - floor(e) DESC, source NULLS FIRST) AS rk,
+               1000 - sum(floor(e) + 1) OVER () AS rest FROM w
+    ), s AS (
+        SELECT source, n, CAST(floor(e) + 1 + CASE WHEN rk <= rest THEN 1 ELSE 0 END AS BIGINT) AS share,
+               row_number() OVER (ORDER BY source NULLS FIRST) AS i FROM f
+    ), m AS (SELECT list(share ORDER BY i) AS a FROM s),
+    edf AS (
+        SELECT 0::BIGINT AS t, list_transform(a, lambda x: 0::BIGINT) AS had, NULL::BIGINT AS pick FROM m
+        UNION ALL
+        SELECT t + 1, list_transform(had, lambda h, k: h + CASE WHEN k = p THEN 1 ELSE 0 END), p FROM (
+            SELECT t, had, list_min(list_transform(range(1, len(a) + 1), lambda k:
+                CASE WHEN (had[k] * 1000) // a[k] <= t
+                     THEN CAST(ceil((had[k] + 1) * 1000 / a[k]) AS BIGINT) * 100000 + k END)) % 100000 AS p
+            FROM edf, m WHERE t < 1000)
+    ), turns AS (
+        SELECT s.source, s.n, s.share, t - 1 AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn
+        FROM edf JOIN s ON s.i = edf.pick
+    ), placed AS (
+        SELECT doc_id, source, count(*) OVER (PARTITION BY source) AS n,
+               (row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id) - 1) // 16 AS block
+        FROM documents
+    ), sized_blocks AS (
+        SELECT source, share, CAST(ceil(n / 16) AS BIGINT) AS b FROM s
+    ), ends AS (
+        SELECT max((z.b - 1) // z.share * 1000 + t.slot) AS e
+        FROM sized_blocks z JOIN turns t ON z.source IS NOT DISTINCT FROM t.source AND t.turn = (z.b - 1) % z.share
+    ), runs AS (
+        SELECT t.source, p.p * 1000 + t.slot AS slot, p.p * t.share + t.turn AS turn, z.b
+        FROM turns t JOIN sized_blocks z ON z.source IS NOT DISTINCT FROM t.source, ends,
+             (SELECT unnest(range(0, (SELECT e // 1000 + 1 FROM ends))) AS p) p
+        WHERE p.p * 1000 + t.slot <= ends.e
+    )
+    SELECT d.doc_id, d.source, r.slot::BIGINT AS slot, (r.turn // r.b)::BIGINT AS epoch, d.block::BIGINT AS block
+    FROM runs r JOIN placed d ON d.source IS NOT DISTINCT FROM r.source AND d.block = r.turn % r.b
+"""
+
 
 def query(run):
     QUERIES[run.__name__] = run
@@ -40,12 +100,32 @@ def op3_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     return toxic_segments.toxicity_report(docs, toxic_segments.fit(docs, table(spark, folder, "labels")))
 
 
+@query
+def op4_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector with all others."""
+    vectors = table(spark, folder, "embeddings")
+    return search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op5_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in a mixture whose sources weigh their size to the power 0.8."""
+    return mix(table(spark, folder, "documents")).select("doc_id", "source", "slot", "epoch", "block")
+
+
 @query
 def op6_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every text through a ledger that begins empty."""
     return secret_report(table(spark, folder, "documents"), work_dir(spark, "ledger"))
 
 
+@query
+def op7_target_ratio(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules and n-gram log ratio of every text; trusted are the documents labelled good."""
+    docs = table(spark, folder, "documents")
+    return rules_report(docs, trusted_documents(docs, table(spark, folder, "labels")))
+
+
 @query
 def op9_simple8b(spark: SparkSession, folder: str) -> DataFrame:
     """Every text as token ids in files of 64-bit words, read back."""
