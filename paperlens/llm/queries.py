@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 from . import quality_fm, toxic_segments
 from .byte_bpe import encode_documents
+from .ngram_join import similar_documents
 from .pfair_mix import mix
 from .rotated_codes import search
 from .secret_ledger import secret_report
@@ -93,6 +94,12 @@ def op1_quality_fm(spark: SparkSession, folder: str) -> DataFrame:
     return quality_fm.quality_report(docs, quality_fm.fit(docs, table(spark, folder, "labels")))
 
 
+@query
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of documents linked by the similarity of their 4-word shingles."""
+    return similar_documents(table(spark, folder, "documents"))
+
+
 @query
 def op3_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every text and its passages by maximum-scoring segments."""
