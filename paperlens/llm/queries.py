@@ -13,6 +13,7 @@ from . import quality_fm, toxic_segments
 from .byte_bpe import encode_documents
 from .ngram_join import similar_documents
 from .pfair_mix import mix
+from .phrase_automata import without_repeats
 from .rotated_codes import search
 from .secret_ledger import secret_report
 from .simple8b import token_report
@@ -133,6 +134,12 @@ def op7_target_ratio(spark: SparkSession, folder: str) -> DataFrame:
     return rules_report(docs, trusted_documents(docs, table(spark, folder, "labels")))
 
 
+@query
+def op8_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every text without the passages of 20 words that came before."""
+    return without_repeats(table(spark, folder, "documents"))
+
+
 @query
 def op9_simple8b(spark: SparkSession, folder: str) -> DataFrame:
     """Every text as token ids in files of 64-bit words, read back."""
