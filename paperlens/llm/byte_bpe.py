@@ -131,7 +131,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_column: str = "doc_id"
     rows are encoded each; a null id stays null; other columns are ignored.
     """
     schema = SCHEMA.replace("doc_id long", f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}")
-    schema += ", ids array<long>" if keep_ids else ""
+    schema += ", ids array<int>" if keep_ids else ""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, table = encoder(ranks_path)
@@ -149,7 +149,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_column: str = "doc_id"
                 ]
                 names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
-                    columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int64())))
+                    columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 

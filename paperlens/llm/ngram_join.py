@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import materialize
 from .components import components
@@ -52,6 +53,11 @@ def token_set(words: np.ndarray, n: int, levels: np.ndarray) -> np.ndarray:
     return np.unique(hashes | (level << np.uint64(60)))
 
 
+def node_of(words: np.ndarray, n: int) -> int | None:
+    """A 64-bit digest of the set of shingles; none for a text without words."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(np.unique(shingles(words, n)).tobytes())).view(np.int64)) if len(words) else None
+
+
 def frequency_levels(docs: DataFrame, n: int) -> np.ndarray:
     """A level from 0 to LEVELS for each of COUNTERS hash buckets, from the shingles of all documents.
 
@@ -128,7 +134,7 @@ def described(docs: DataFrame, n: int, percent: int, levels: np.ndarray) -> Data
                     tokens = token_set(words[a:b], n, levels)
                     size = len(tokens)
                     sizes.append(size)
-                    nodes.append(np.int64(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes()))) if size else None)
+                    nodes.append(node_of(words[a:b], n))
                     prefixes.append(tokens[: size + (-percent * size // 100) + 1].view(np.int64) if size else [])
                     sketches.append(parity_sketch(tokens).tobytes() if size else b"")
                 yield pa.RecordBatch.from_arrays([
@@ -271,16 +277,8 @@ def cross_candidates(lists: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.greatest("node_x", "node_y").alias("a"), F.least("node_x", "node_y").alias("b")).distinct()
 
 
-def similar_documents(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, for every document.
-
-    Words are runs without the six ASCII spaces, A-Z folded. A set holds the distinct ``n``-word
-    shingles; with fewer words the whole sequence as one; a text without words, or null, has an empty set
-    and is linked with nothing. Two documents link when their Jaccard similarity is ``percent`` of a
-    hundred or more. Documents with equal sets are always linked. Rows are not merged: a repeated row
-    comes out again, and a component of null ids alone has the component_id null. Other columns are
-    ignored; an empty table gives no rows. Shingles are compared as 60-bit and sets as 64-bit hashes.
-    """
+def classified(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, node of every document; node, doc, root of every class of equal sets)."""
     docs = docs.select("doc_id", "text")
     levels = frequency_levels(docs, n)
     every = materialize(described(docs, n, percent, levels), "shingle-sets")
@@ -295,7 +293,7 @@ def similar_documents(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     wanted = lists.select("node").distinct().join(classes, "node")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     held = docs.join(wanted.select(F.coalesce(F.col("doc").cast("string"), F.lit("")).alias("_doc"), "node"), key == F.col("_doc"))
-    texts = materialize(matching(held.select("node", "text"), n, levels), "shingle-texts")
+    texts = materialize(matching(held.select("node", "text"), n), "shingle-texts")
 
     stars = near_enough(lists.filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets, FAMILY)
     answers = materialize(decided(stars, texts, n, levels), "shingle-answers")
@@ -310,13 +308,58 @@ def similar_documents(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
 
     roots = components(links, "shingle-links")
     ends = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return every.select("doc_id", "n_shingles", "node"), ends
+
+
+def similar_documents(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, for every document.
+
+    Words are runs without the six ASCII spaces, A-Z folded. A set holds the distinct ``n``-word
+    shingles; with fewer words the whole sequence as one; a text without words, or null, has an empty set
+    and is linked with nothing. Two documents link when their Jaccard similarity is ``percent`` of a
+    hundred or more. Documents with equal sets are always linked. Rows are not merged: a repeated row
+    comes out again, and a component of null ids alone has the component_id null. Other columns are
+    ignored; an empty table gives no rows. Shingles are compared as 60-bit and sets as 64-bit hashes.
+    """
+    every, ends = classified(docs, n, percent)
     smallest = ends.groupBy("root").agg(F.min("doc").alias("component_id"))
-    by_node = ends.join(smallest, "root").select("node", "component_id")
-    out = every.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
+    out = every.join(ends.join(smallest, "root").select("node", "component_id"), "node", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def matching(rows: DataFrame, n: int, levels: np.ndarray) -> DataFrame:
+def first_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component left: that of the smallest doc_id, null ids last.
+
+    All columns stay as they are. Rows that share that id are told apart by a digest of their set, and of
+    rows equal in both one stays. Documents without words stay.
+    """
+    _, ends = classified(docs, n, percent)
+    last = F.lit((1 << 63) - 1)
+    chosen = ends.groupBy("root").agg(F.min(F.struct(F.coalesce("doc", last).alias("doc"), "node")).alias("first"))
+    chosen = chosen.select(F.col("first.node").alias("_first"), F.col("first.doc").alias("_doc"))
+    rows = with_node(docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce("doc_id", last).alias("_id"), "text"), n)
+    kept = rows.join(chosen, F.col("_node") == F.col("_first"), "left").filter(F.col("_node").isNull() | (F.col("_id") == F.col("_doc")))
+    # A row without words is a group of its own.
+    own = F.when(F.col("_node").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    return kept.withColumn("_own", own).dropDuplicates(["_node", "_own"]).select("_row.*")
+
+
+def with_node(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` (packed row, id, text) with the digest of each set, in the order without frequencies."""
+    schema = StructType([*rows.schema.fields[:2], StructField("_node", LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = []
+            for _, data, offsets in blocks(batch.column(2)):
+                words, bounds = word_hashes(data, offsets, lower=True)
+                nodes += [node_of(words[a:b], n) for a, b in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64())], names=["_row", "_id", "_node"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def matching(rows: DataFrame, n: int) -> DataFrame:
     """One text for each node (node, text) among those found by document id: the one with that set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,8 +368,7 @@ def matching(rows: DataFrame, n: int, levels: np.ndarray) -> DataFrame:
             for row, data, offsets in blocks(batch.column(1)):
                 words, bounds = word_hashes(data, offsets, lower=True)
                 for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                    tokens = token_set(words[a:b], n, levels)
-                    keep.append(len(tokens) > 0 and np.int64(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes()))) == nodes[row + k])
+                    keep.append(node_of(words[a:b], n) == nodes[row + k])
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return rows.mapInArrow(run, "node long, text string").dropDuplicates(["node"])

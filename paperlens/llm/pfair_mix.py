@@ -125,3 +125,14 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16,
     out = out.withColumn("_turn", F.explode(turns_of)).withColumn("slot", slot_of(F.col("_turn")))
     out = out.filter(F.col("slot") <= F.col("_end")).withColumn("epoch", F.floor(F.col("_turn") / F.col("_blocks")))
     return out.drop(*helpers, "_end", "_turn")
+
+
+def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as the mixture places them, in its order, with their columns as they are.
+
+    Rows come out in ranges of slots, sorted within each, so that files written from them hold the
+    mixture from the first to the last; a document that goes round again comes out again.
+    """
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source")
+    placed = mix(packed, **options)
+    return placed.repartitionByRange("slot").sortWithinPartitions("slot", "doc_id").select("_row.*")

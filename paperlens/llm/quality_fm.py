@@ -243,3 +243,11 @@ def quality_report(docs: DataFrame, model: Model, threshold: float = 0.7) -> Dat
     scored = with_score(docs.select(*columns), model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, with their columns as they are."""
+    name = "_score"
+    while name in docs.columns:
+        name += "_"
+    return with_score(docs, model, name).filter(F.col(name) >= threshold).drop(name)

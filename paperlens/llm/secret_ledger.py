@@ -158,3 +158,17 @@ def redacted(text: Column, secrets: Column) -> Column:
         return F.struct(F.greatest(state["at"], end).alias("at"), F.concat(state["done"], mark).alias("done"))
 
     return F.aggregate(secrets, begin, step, lambda state: F.concat(state["done"], F.substr(text, state["at"], F.length(text))))
+
+
+def without_secrets(docs: DataFrame, folder: str) -> DataFrame:
+    """``docs`` with the secrets in ``text`` replaced by their kind, and ``n_chars`` counted again there.
+
+    All rows stay, and all other columns as they are; texts without findings are not touched.
+    """
+    scan_unseen(docs, folder)
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    rows = findings(packed, folder)
+    found = F.size("secrets") > 0
+    rows = rows.withColumn("text", F.when(found, redacted(F.col("text"), F.col("secrets"))).otherwise(F.col("text")))
+    changed = {"text": F.col("text"), "n_chars": F.when(found, F.length("text").cast("long")).otherwise(F.col("_row")["n_chars"])}
+    return rows.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
