@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 ROOT = os.path.join(os.path.dirname(os.path.abspath(__file__)), "..")
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 
+from paperlens.session import prepare_local  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -17,4 +19,5 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    prepare_local(session)
     return session
