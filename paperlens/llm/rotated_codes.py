@@ -17,40 +17,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SEED = 31
+# Bits of a code for each number of a vector: error bounds shrink with the root of the length.
+CODE_BITS = 8
 OUT = "query_id long, vec_id long, score double"
 
 
 def rotation(dims: int) -> np.ndarray:
-    """A random orthogonal matrix, the same in every task."""
-    q, r = np.linalg.qr(np.random.default_rng(SEED).normal(size=(dims, dims)))
+    """Orthonormal columns that turn a vector, padded with zeros to CODE_BITS for each number, at random."""
+    q, r = np.linalg.qr(np.random.default_rng(SEED).normal(size=(CODE_BITS * dims, dims)))
     return (q * np.sign(np.diag(r))).astype(np.float32)
 
 
 def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(packed signs, lengths, inner product of each direction with its code) of rows of numbers."""
-    dims = vectors.shape[1]
+    turn = rotation(vectors.shape[1])
     lengths = np.linalg.norm(vectors, axis=1)
-    rotated = (vectors / lengths[:, None]).astype(np.float32) @ rotation(dims).T
-    signs = rotated > 0
-    own = np.abs(rotated).sum(1) / np.sqrt(dims)
-    return np.packbits(signs, axis=1), lengths.astype(np.float32), own.astype(np.float32)
-
-
-def estimates(queries: np.ndarray, codes: np.ndarray, lengths: np.ndarray, own: np.ndarray, confidence: float):
-    """(estimated inner products, half widths of their bounds) of query rows with coded vectors."""
-    dims = queries.shape[1]
-    rotated = queries.astype(np.float32) @ rotation(dims).T
-    signs = np.unpackbits(codes, axis=1, count=dims).astype(np.float32) * 2 - 1
-    estimate = (rotated @ signs.T) * (lengths / (own * np.sqrt(dims)))
-    spread = lengths * np.sqrt(np.maximum(1 - own * own, 0)) / own / np.sqrt(max(dims - 1, 1)) * confidence
-    return estimate, np.linalg.norm(rotated, axis=1)[:, None] * spread[None, :]
-
-
-def exact(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products of paired rows in double precision, summed from the first component on."""
-    out = np.zeros(len(queries))
-    for d in range(queries.shape[1]):
-        out += queries[:, d].astype(float) * vectors[:, d].astype(float)
+    rotated = (vectors / lengths[:, None]).astype(np.float32) @ turn.T
+    own = np.abs(rotated).sum(1) / np.sqrt(len(turn))
+    return np.packbits(rotated > 0, axis=1), lengths.astype(np.float32), own.astype(np.float32)
+
+
+def signs_of(codes: np.ndarray, bits: int) -> np.ndarray:
+    return np.unpackbits(codes, axis=1, count=bits).astype(np.float32) * 2 - 1
+
+
+def estimates(rotated: np.ndarray, signs: np.ndarray, lengths: np.ndarray, own: np.ndarray, confidence: float):
+    """(lower, upper) bounds on the inner products of rotated query rows with coded vectors."""
+    bits = rotated.shape[1]
+    estimate = (rotated @ signs.T) * (lengths / (own * np.sqrt(bits)))
+    spread = lengths * np.sqrt(np.maximum(1 - own * own, 0)) / own / np.sqrt(max(bits - 1, 1)) * confidence
+    width = np.linalg.norm(rotated, axis=1)[:, None] * spread[None, :]
+    return estimate - width, estimate + width
+
+
+def exact(queries: np.ndarray, vectors: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products of pairs of rows in double precision, summed from the first component on."""
+    out = np.zeros(len(q))
+    for one, two in zip(np.ascontiguousarray(queries.T), np.ascontiguousarray(vectors.T)):
+        out += one[q] * two[v]
     return out
 
 
@@ -58,18 +62,18 @@ def block_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
                  lengths: np.ndarray, own: np.ndarray, k: int, confidence: float):
     """(query ids, vector ids, scores): the k best of a block for each query, ties to the smaller id."""
     found = []
-    for a in range(0, len(queries), 256):
-        asked = query_ids[a: a + 256]
-        estimate, width = estimates(queries[a: a + 256], codes, lengths, own, confidence)
-        low, high = estimate - width, estimate + width
+    turn = rotation(queries.shape[1])
+    signs = signs_of(codes, len(turn))
+    for a in range(0, len(queries), 128):
+        asked, some = query_ids[a: a + 128], queries[a: a + 128]
+        low, high = estimates(some.astype(np.float32) @ turn.T, signs, lengths, own, confidence)
         itself = asked[:, None] == ids[None, :]
         low[itself] = high[itself] = -np.inf
+        floor = np.full(len(asked), -np.inf)
         if low.shape[1] > k:
-            floor = -np.partition(-low, k - 1, axis=1)[:, k - 1]
-        else:
-            floor = np.full(len(asked), -np.inf)
+            floor = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
         q, v = np.nonzero((high >= floor[:, None]) & ~itself)
-        score = exact(queries[a: a + 256][q], vectors[v])
+        score = exact(some, vectors, q, v)
         order = np.lexsort((ids[v], -score, q))
         q, v, score = q[order], v[order], score[order]
         rank = np.arange(len(q)) - np.searchsorted(q, q)
@@ -115,7 +119,7 @@ def packed_blocks(rows: DataFrame, blocks: int, with_codes: bool) -> DataFrame:
     return dealt.mapInArrow(run, fields)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, confidence: float = 4.0, block_rows: int = 8192,
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, confidence: float = 2.5, block_rows: int = 8192,
            id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """The k vectors of largest inner product for each query: query_id, rank, vec_id, score.
 
@@ -139,7 +143,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, confidence: floa
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                dims, *raw = (batch.column(c)[row].as_py() for c in range(8))
+                dims, raw = batch.column(0)[row].as_py(), [batch.column(c)[row].as_buffer() for c in range(1, 8)]
                 ids, matrix = np.frombuffer(raw[0], "<i8"), np.frombuffer(raw[1]).reshape(-1, dims)
                 packed = np.frombuffer(raw[2], np.uint8).reshape(len(ids), -1)
                 lengths, own = np.frombuffer(raw[3], np.float32), np.frombuffer(raw[4], np.float32)

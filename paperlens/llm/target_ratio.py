@@ -76,32 +76,34 @@ def places(hashes: Column) -> Column:
     return F.transform(both, lambda h: F.shiftrightunsigned(h, 48).cast("int"))
 
 
-def bucket_counts(docs: DataFrame) -> DataFrame:
-    """bucket, n over all n-grams of ``docs``: summed within each task first."""
+def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """bucket, n, t: n-grams of all documents and of the trusted ones, summed within each task first.
+
+    ``trusted`` has the ids, few enough to be broadcast, so that no text is shuffled.
+    """
+    marked = docs.join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("_t"))), "doc_id", "left")
     hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
-    rows = docs.select(hashes.alias("_hashes")).select(F.explode(places(F.col("_hashes"))).alias("bucket"))
-    return rows.groupBy("bucket").agg(F.count("*").alias("n"))
+    rows = marked.select("_t", hashes.alias("_hashes")).select("_t", F.explode(places(F.col("_hashes"))).alias("bucket"))
+    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.count("_t").alias("t"))
 
 
-def log_ratios(trusted: DataFrame, raw: DataFrame) -> DataFrame:
+def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row, one column ``ratios``: log of trusted over raw probability of every bucket, in order.
 
     One is added to every count. The array has BUCKETS entries whatever the input.
     """
-    spark = raw.sparkSession
-    every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    target = bucket_counts(trusted).withColumnRenamed("n", "t")
-    both = every.join(bucket_counts(raw), "bucket", "left").join(target, "bucket", "left")
+    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+    both = every.join(bucket_counts(docs, trusted), "bucket", "left")
     both = both.select("bucket", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("t", F.lit(0)).alias("t"))
     rows = both.agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "t"))).alias("rows"), F.sum("n").alias("all_n"), F.sum("t").alias("all_t"))
     ratio = F.transform("rows", lambda r: F.log((r["t"] + 1) / (F.col("all_t") + BUCKETS)) - F.log((r["n"] + 1) / (F.col("all_n") + BUCKETS)))
     return rows.select(ratio.alias("ratios"))
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents whose label says good quality; an id counts once, however often it is labelled."""
-    good = labels.groupBy("doc_id").agg(F.min("quality").alias("_quality")).filter(F.col("_quality") == 1)
-    return docs.join(good.select("doc_id"), "doc_id", "left_semi")
+def trusted_sample(labels: DataFrame, fit_rows: int = 50_000) -> DataFrame:
+    """At most ``fit_rows`` ids labelled good, those of least hash; an id counts once, and null ids do not."""
+    good = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("_quality")).filter(F.col("_quality") == 1)
+    return good.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
 
 
 def rules_report(docs: DataFrame, trusted: DataFrame, threshold: float = -0.15) -> DataFrame:
@@ -110,10 +112,11 @@ def rules_report(docs: DataFrame, trusted: DataFrame, threshold: float = -0.15)
     ``kept`` is false where ``base_failed`` is; else it says whether the mean log ratio of the n-grams
     reaches ``threshold``. A null text counts as empty; a text without words has ``llr`` 0 and fails the
     base rules. Repeated rows are judged each; other columns are ignored. Without trusted documents the
-    target is uniform over the buckets.
+    target is uniform over the buckets. ``trusted`` has the ids of the trusted documents, each once and
+    few enough to be broadcast; the raw counts cover all documents.
     """
     columns = docs.select("doc_id", "text")
-    ratios = log_ratios(trusted.select("text"), columns.select("text")).scalar()
+    ratios = log_ratios(columns, trusted).scalar()
     out = with_base(columns).withColumn("_places", places(F.col("_hashes"))).drop("_hashes")
     out = out.select("*", ratios.alias("_ratios"))
     total = F.aggregate("_places", F.lit(0.0), lambda sum_, b: sum_ + F.get("_ratios", b))

