@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -59,13 +60,33 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss.
+
+    The shuffle files behind the written table are of no more use; ``release`` lets them go.
+    """
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver notice plans that are done, so that their shuffle files are deleted on all executors."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the files of a table made by ``materialize`` that nothing reads any more."""
+    spark = df.sparkSession
+    shared = shared_folder(spark).split(":", 1)[-1].lstrip("/")
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if folder.split(":", 1)[-1].lstrip("/").startswith(shared):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_rows(df: DataFrame, limit: int, what: str) -> list[Row]:
     """All rows of a table that must be small; an error, not a cut, when it is not."""
     rows = df.limit(limit + 1).collect()
