@@ -4,9 +4,8 @@ Texts are sets of hashed shingles, rare ones first by counts over all documents.
 sets are one class. The index lists of the shingles in the prefixes of the classes tell which sets can
 be similar. Two relations between sets save most of the work:
 
-* Each list has a pivot. A set that is similar to a pivot joins its family, and the answers among the
-  members of a family are derived from their differences to the pivot, which are small, in blocks of
-  bounded size. Members that are linked to the pivot need no answers among themselves.
+* Each list has a pivot. A set that can be similar to a pivot joins its family, and the answers among the
+  members of a family are derived from their differences to the pivot, in cells of bounded size.
 * Lists are cut into blocks by position. A pair of blocks is skipped when it lies within one family or
   when positions or sizes cannot give enough overlap; only pairs of entries from other block pairs are
   candidates. A parity sketch, whose distance never exceeds that of the sets, drops most of these.
@@ -23,11 +22,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..session import materialize
+from ..session import materialize, remove
 from .components import components
 from .textblocks import blocks, gram_hashes, word_hashes
 
@@ -189,70 +188,81 @@ def similar(percent: int) -> Column:
 
 
 def family_links(members: DataFrame, texts: DataFrame, n: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """Links (a, b) among the members (pivot, node, linked) of each family, as a forest for each cell.
+    """Links (a, b) among the members (pivot, node) of each family and its pivot, as a forest for each cell.
 
     A family is dealt out over groups of about CELL members, and every two groups meet in a cell of
-    their own, to which the pivot comes too. Families whose members are all linked to the pivot are
-    connected already.
+    their own, to which the pivot comes too.
     """
-    sizes = members.groupBy("pivot").agg(F.count("*").alias("size"), F.min("linked").alias("all_linked"))
-    open_ = sizes.filter(~F.col("all_linked")).select("pivot", F.ceil(F.col("size") / CELL).cast("int").alias("groups"))
-    rows = members.join(open_, "pivot").withColumn("group", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
-    rows = rows.withColumn("other", other).select(
-        "pivot", "node", "linked", F.least("group", "other").alias("i"), F.greatest("group", "other").alias("j"))
-    cells = open_.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    groups = members.groupBy("pivot").agg(F.ceil(F.count("*") / CELL).cast("int").alias("groups"))
+    rows = members.join(groups, "pivot").withColumn("group", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(
+        "pivot", "node", F.least("group", "other").alias("i"), F.greatest("group", "other").alias("j"))
+    cells = groups.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
     cells = cells.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("groups") - 1)))
-    pivots = cells.select("pivot", F.col("pivot").alias("node"), F.lit(None).cast("boolean").alias("linked"), "i", "j")
-    rows = rows.unionByName(pivots).join(texts, "node")
-
-    def run(key, cell: pd.DataFrame) -> pd.DataFrame:
-        of_pivot = cell.linked.isna()
-        if of_pivot.all():
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        pivot = text_tokens(cell.text[of_pivot].iloc[0], n, levels)
-        cell = cell[~of_pivot].drop_duplicates("node")
-        nodes, linked = cell.node.to_numpy(), cell.linked.to_numpy(bool)
+    rows = rows.unionByName(cells.select("pivot", F.col("pivot").alias("node"), "i", "j")).join(texts, "node")
+
+    def run(key: tuple, cell: pd.DataFrame) -> pd.DataFrame:
+        cell = cell.drop_duplicates("node")
+        nodes = cell.node.to_numpy()
         sets = [text_tokens(t, n, levels) for t in cell.text]
-        # Differences to the pivot: what it has more, and what it lacks. The overlap follows from them.
+        pivot = sets[int(np.flatnonzero(nodes == key[0])[0])]
+        # Differences to the pivot: what a set lacks, and what it has more. Every overlap follows from them.
         less = [np.setdiff1d(pivot, s, assume_unique=True) for s in sets]
         more = [np.setdiff1d(s, pivot, assume_unique=True) for s in sets]
         base = np.array([len(pivot) - len(x) for x in less], np.float64)
-        shared = base[:, None] + base[None, :] - len(pivot)
-        for lists in (less, more):
-            owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            _, at, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-            often = times[at] > 1
-            owner, at = owner[often], np.unique(at[often], return_inverse=True)[1]
-            for first in range(0, int(at.max(initial=-1)) + 1, 4096):
-                own = (at >= first) & (at < first + 4096)
-                grid = np.zeros((len(lists), 4096), np.float32)
-                grid[owner[own], at[own] - first] = 1
-                shared += grid @ grid.T
-            if lists is less:
-                # What a set lacks but no other does still counts once for the set itself.
-                np.fill_diagonal(shared, base)
         sizes = np.array([len(s) for s in sets], np.float64)
-        link = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
-        a, b = np.nonzero(np.triu(link, 1) & ~(linked[:, None] & linked[None, :]))
-        parent = list(range(len(nodes)))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        keep = []
-        for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-            p, q = root(x), root(y)
-            if p != q:
-                parent[q] = p
-                keep.append(k)
-        return pd.DataFrame({"a": nodes[a[keep]], "b": nodes[b[keep]]})
+        shared = base[:, None] + base[None, :] - len(pivot) + common(less) + common(more)
+        link = np.triu(100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared), 1)
+        a, b = forest(link)
+        return pd.DataFrame({"a": nodes[a], "b": nodes[b]})
 
     return rows.groupBy("pivot", "i", "j").applyInPandas(run, "a long, b long")
 
 
+def common(lists: list[np.ndarray]) -> np.ndarray:
+    """How many items each two different lists share."""
+    out = np.zeros((len(lists), len(lists)))
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    _, at, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    often = times[at] > 1
+    owner, at = owner[often], np.unique(at[often], return_inverse=True)[1]
+    for first in range(0, int(at.max(initial=-1)) + 1, 4096):
+        own = (at >= first) & (at < first + 4096)
+        grid = np.zeros((len(lists), 4096), np.float32)
+        grid[owner[own], at[own] - first] = 1
+        out += grid @ grid.T
+    return out
+
+
+def forest(link: np.ndarray) -> tuple[list[int], list[int]]:
+    """Links enough to connect what a matrix of links connects, fewer than it has rows."""
+    label, a, b = np.arange(len(link)), [], []
+    link = link | link.T
+    for x in range(len(link)):
+        while True:
+            open_ = np.flatnonzero(link[x] & (label != label[x]))
+            if not len(open_):
+                break
+            y = int(open_[0])
+            label[label == label[y]] = label[x]
+            a.append(x)
+            b.append(y)
+    return a, b
+
+
+def index_lists(sets: DataFrame) -> DataFrame:
+    """token, node, n, pos, pivot: the index lists with more than one entry, the smallest node as pivot.
+
+    Entries are shuffled once. Common shingles come last in every set, so a list is long only where
+    many sets have nothing rarer; it is sorted and read in one stream, without holding it in memory.
+    """
+    postings = sets.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+    in_order = Window.partitionBy("token").orderBy("node")
+    lists = postings.withColumn("pivot", F.first("node").over(in_order))
+    lists = lists.withColumn("_before", F.lag("node").over(in_order)).withColumn("_after", F.lead("node").over(in_order))
+    return lists.filter(F.col("_before").isNotNull() | F.col("_after").isNotNull()).drop("_before", "_after")
+
+
 def cross_candidates(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes of different families that share an index list, at positions and of sizes that allow a link."""
     entries = lists.withColumn("part", F.floor(F.col("pos") / 16).cast("int"))
@@ -281,30 +291,35 @@ def classified(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     """(doc_id, n_shingles, node of every document; node, doc, root of every class of equal sets)."""
     docs = docs.select("doc_id", "text")
     levels = frequency_levels(docs, n)
-    every = materialize(described(docs, n, percent, levels), "shingle-sets")
-    classes = every.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc"))
+    full = materialize(described(docs, n, percent, levels), "shingle-sets")
     # One row for each class: equal nodes have equal sets.
-    sets = every.filter("n_shingles > 0").select("node", F.col("n_shingles").alias("n"), "prefix", "sketch").dropDuplicates(["node"])
+    sets = full.filter("n_shingles > 0").select("node", F.col("n_shingles").alias("n"), "prefix", "sketch").dropDuplicates(["node"])
     sets = materialize(sets, "shingle-classes")
-    postings = sets.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    pivots = postings.groupBy("token").agg(F.count("*").alias("times"), F.min("node").alias("pivot")).filter("times > 1")
-    lists = materialize(postings.join(pivots.drop("times"), "token"), "shingle-lists")
-    # Texts of the nodes in the lists; the set of a text tells whether it is the one that is meant.
-    wanted = lists.select("node").distinct().join(classes, "node")
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    held = docs.join(wanted.select(F.coalesce(F.col("doc").cast("string"), F.lit("")).alias("_doc"), "node"), key == F.col("_doc"))
-    texts = materialize(matching(held.select("node", "text"), n), "shingle-texts")
-
-    stars = near_enough(lists.filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets, FAMILY)
-    answers = materialize(decided(stars, texts, n, levels), "shingle-answers")
-    links = answers.filter(similar(percent)).select("a", "b")
-    families = answers.filter(similar(FAMILY)).groupBy("a").agg(F.min(F.struct("b", similar(percent).alias("linked"))).alias("best"))
-    members = materialize(families.select(F.col("best.b").alias("pivot"), F.col("a").alias("node"), F.col("best.linked").alias("linked")), "shingle-families")
-    links = links.unionByName(family_links(members, texts, n, percent, levels))
+    every = materialize(full.select("doc_id", "n_shingles", "node"), "shingle-documents")
+    remove(full)
+    classes = every.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc"))
+    lists = materialize(index_lists(sets), "shingle-lists")
+
+    # Families by sketches alone; the answers within them are computed from whole texts.
+    stars = lists.filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    families = near_enough(stars, sets, FAMILY).groupBy("a").agg(F.min("b").alias("pivot"))
+    members = materialize(families.select("pivot", F.col("a").alias("node")), "shingle-families")
     named = lists.select("token", "node", "n", "pos").join(members.select("node", "pivot"), "node", "left")
     named = named.select("token", "node", "n", "pos", F.coalesce("pivot", "node").alias("family"))
-    crossing = near_enough(cross_candidates(named, percent), sets, percent)
-    links = links.unionByName(decided(crossing, texts, n, levels).filter(similar(percent)).select("a", "b"))
+    crossing = materialize(near_enough(cross_candidates(named, percent), sets, percent), "shingle-pairs")
+    remove(lists)
+    remove(sets)
+
+    # Texts of the nodes to be compared; the set of a text tells whether it is the one that is meant.
+    ends = [members.select("node"), members.select(F.col("pivot").alias("node")), crossing.select(F.col("a").alias("node")), crossing.select(F.col("b").alias("node"))]
+    wanted = ends[0].union(ends[1]).union(ends[2]).union(ends[3]).distinct().join(classes, "node")
+    wanted = wanted.select("node", F.coalesce(F.col("doc").cast("string"), F.lit("")).alias("_doc"))
+    held = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).join(wanted, "_doc")
+    texts = materialize(matching(held.dropDuplicates(["_doc", "node", "text"]).select("node", "text"), n), "shingle-texts")
+    links = family_links(members, texts, n, percent, levels).unionByName(
+        decided(crossing, texts, n, levels).filter(similar(percent)).select("a", "b"))
+    links = materialize(links, "shingle-links")
+    remove(texts)
 
     roots = components(links, "shingle-links")
     ends = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -371,4 +386,4 @@ def matching(rows: DataFrame, n: int) -> DataFrame:
                     keep.append(node_of(words[a:b], n) == nodes[row + k])
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node long, text string")
