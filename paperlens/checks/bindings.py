@@ -11,6 +11,11 @@ from ..session import configure
 
 AS_OF = "2024-02-12 00:00:00"
 
+
+def first_line():
+    return F.split("text", "\n")[0]
+
+
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
@@ -48,10 +53,10 @@ def papers(spark: SparkSession, sf: str) -> DataFrame:
     return d.join(l, "doc_id", "left").select(
         "doc_id",
         arxiv_id.alias("arxiv_id"),
-        F.substring("text", 1, 80).alias("title"),
+        first_line().alias("title"),
         F.col("text").alias("abstract"),
         F.split(categories, " ").alias("categories"),
-        F.split(F.substring("text", 1, 40), " ").alias("author_names"),
+        F.split(first_line(), " ").alias("author_names"),
         (start + F.make_interval(hours=F.col("doc_id").cast("int"))).alias("submitted_at"),
         F.when(known, F.col("n_chars") % 120).cast("int").alias("max_h_index"),
         F.when(known, F.col("n_chars") % 900).cast("int").alias("total_prior_papers"),
@@ -67,11 +72,11 @@ def papers(spark: SparkSession, sf: str) -> DataFrame:
 PAPERS = """papers AS (
   SELECT d.doc_id,
     concat('2401.', lpad(cast(d.doc_id AS VARCHAR), 6, '0')) AS arxiv_id,
-    substring(d.text, 1, 80) AS title,
+    string_split(d.text, chr(10))[1] AS title,
     d.text AS abstract,
     string_split(CASE d.doc_id % 5 WHEN 0 THEN 'cs.LG cs.AI' WHEN 1 THEN 'cs.CV'
         WHEN 2 THEN 'cs.CL cs.LG stat.ML' WHEN 3 THEN 'math.ST' ELSE 'cs.AI' END, ' ') AS categories,
-    string_split(substring(d.text, 1, 40), ' ') AS author_names,
+    string_split(string_split(d.text, chr(10))[1], ' ') AS author_names,
     TIMESTAMP '2024-01-01 00:00:00' + d.doc_id * INTERVAL '1' HOUR AS submitted_at,
     CASE WHEN d.doc_id % 3 = 0 THEN NULL ELSE cast(d.n_chars % 120 AS INT) END AS max_h_index,
     CASE WHEN d.doc_id % 3 = 0 THEN NULL ELSE cast(d.n_chars % 900 AS INT) END AS total_prior_papers,

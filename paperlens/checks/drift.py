@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLS
 from ..functions.features import build_features
+from ..functions.pvalues import ERFC_FIT
 from ..operators import drift as ops
 from ..operators import quality
 from . import check
@@ -66,17 +67,30 @@ def drift_statistics(spark, sf):
 SELECT feature, method, round(score, 6) AS score, score >= 0.1 AS detected FROM distance
 """)
 def feature_drift(spark, sf):
-    return rounded(ops.feature_drift(*halves(spark, sf), small=False), "score")
+    return rounded(ops.feature_drift(*halves(spark, sf), "distance"), "score")
 
 
-@check(STATS + """
-SELECT feature, CASE WHEN u > 5 THEN 'ks' WHEN u > 2 THEN 'chi2' ELSE 'z' END AS method FROM stats
-""")
+def erfc(x: str) -> str:
+    t, fit = f"(1 / (1 + {x} / 2))", str(ERFC_FIT[-1])
+    for coefficient in reversed(ERFC_FIT[:-1]):
+        fit = f"({fit} * {t} + {coefficient})"
+    return f"({t} * exp({fit} - {x} * {x}))"
+
+
+TESTS = STATS.rstrip() + f""",
+x AS (SELECT *, ks * sqrt(nr / (nr + nc) * nc) AS x, sqrt(chi2 / 2) AS h, abs(z) / sqrt(2) AS a FROM stats),
+tests AS (SELECT feature, CASE WHEN u > 5 THEN 'ks' WHEN u > 2 THEN 'chi2' ELSE 'z' END AS method,
+  CASE WHEN u > 5 THEN CASE WHEN x < 0.2 THEN 1 ELSE least(greatest(2 * list_sum(list_transform(
+      range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2 * k * k * x * x))), 0), 1) END
+    WHEN u > 2 AND chi2 > 1e299 THEN 0 WHEN u = 3 THEN exp(-h * h)
+    WHEN u = 4 THEN {erfc('h')} + sqrt(4 * h * h / pi()) * exp(-h * h)
+    WHEN u = 5 THEN exp(-h * h) * (1 + h * h) WHEN z = 0 THEN 1 ELSE {erfc('a')} END AS score FROM x)
+"""
+
+
+@check(TESTS + "SELECT feature, method, round(score, 6) AS score, score < 0.05 AS detected FROM tests")
 def feature_drift_tests(spark, sf):
-    """The p-value branch; its p-values are checked against brute force in the tests."""
-    return ops.feature_drift(*halves(spark, sf), small=True).filter(
-        F.col("score").between(0, 1)
-    ).select("feature", "method")
+    return rounded(ops.feature_drift(*halves(spark, sf), "p_value"), "score")
 
 
 @check(STATS + """
@@ -84,7 +98,7 @@ SELECT count(*) AS features, round(avg(cast(score >= 0.1 AS INT)), 6) AS share,
   avg(cast(score >= 0.1 AS INT)) >= 0.5 AS detected FROM distance
 """)
 def dataset_drift(spark, sf):
-    return rounded(ops.dataset_drift(ops.feature_drift(*halves(spark, sf), small=False)), "share")
+    return rounded(ops.dataset_drift(ops.feature_drift(*halves(spark, sf), "distance")), "share")
 
 
 @check(STATS + """
@@ -98,7 +112,7 @@ def drift_metrics(spark, sf):
     reference, current = halves(spark, sf)
     size = current.agg(F.count("*").alias("papers"))
     rows = ops.drift_metrics(
-        ops.feature_drift(reference, current, small=False), size, "2024-02-12 00:00:00"
+        ops.feature_drift(reference, current, "distance"), size, "2024-02-12 00:00:00"
     )
     feature = F.coalesce(F.element_at("labels", "feature"), F.lit("")).alias("feature")
     return rounded(rows.select("name", feature, "value"), "value")

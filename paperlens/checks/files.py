@@ -18,7 +18,7 @@ from .joins import PAIRS, author_batches, dump, paper_batches
 
 @check("""
 SELECT CASE WHEN doc_id % 40 <> 3 THEN concat(cast(doc_id AS VARCHAR), 'v', cast(doc_id % 4 + 1 AS VARCHAR)) END AS id,
-  CASE WHEN doc_id % 40 <> 3 THEN concat('  ', substring(text, 1, 60)) END AS title,
+  CASE WHEN doc_id % 40 <> 3 THEN concat('  ', string_split(text, chr(10))[1]) END AS title,
   CASE WHEN doc_id % 40 <> 3 THEN concat(text, '  ') END AS abstract,
   doc_id % 40 = 3 AS malformed
 FROM documents
@@ -80,9 +80,9 @@ def write_backfill(spark, sf):
     writers.write_seed(half_starred(spark, sf), first)
     stored = readers.read_papers(spark, first)
     stars = pending_stars(stored).select(
-        "arxiv_id", (F.col("doc_id") % 150).cast("int").alias("github_stars_t60")
+        "arxiv_id", (F.col("doc_id") % 150).cast("int").alias("github_stars_t60"), F.lit(0).alias("pos")
     )
-    writers.write_backfill(backfill_columns(stored, stars), second)
+    writers.write_backfill(backfill_columns(stored, stars, "pos"), second)
     return readers.read_papers(spark, second).select(
         "arxiv_id", "github_stars_t60", F.col("submitted_month").cast("string").alias("submitted_month")
     )
@@ -100,10 +100,10 @@ def feed_files(spark, sf):
     rows.select(
         url.alias("id"),
         F.concat(F.lit("  "), words, F.lit("  ")).alias("title"),
-        words.alias("summary"),
+        F.concat(F.lit(" "), F.regexp_replace("abstract", r"[^\p{L}\p{N} .,]+", " "), F.lit("  ")).alias("summary"),
         F.date_format("submitted_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published"),
         F.date_format("submitted_at", "yyyy-MM-dd'T'00:00:00'Z'").alias("updated"),
-        F.array(F.struct(F.lit(" Alice Smith ").alias("name")), F.struct(F.lit("Bob Jones").alias("name"))).alias("author"),
+        F.array(F.struct(F.concat(F.lit("  "), "arxiv_id").alias("name")), F.struct(F.lit("Second Name ").alias("name"))).alias("author"),
         F.transform("categories", lambda c: F.struct(c.alias("_term"), F.lit("s").alias("_scheme"))).alias("category"),
     ).write.format("xml").option("rootTag", "feed").option("rowTag", "entry").save(path)
     return path
@@ -111,7 +111,8 @@ def feed_files(spark, sf):
 
 @check(P + r"""
 SELECT arxiv_id, trim(regexp_replace(title, '[^\p{L}\p{N} .,]+', ' ', 'g')) AS title,
-  array_to_string(categories, '|') AS categories, 'Alice Smith|Bob Jones' AS authors,
+  trim(regexp_replace(abstract, '[^\p{L}\p{N} .,]+', ' ', 'g')) AS abstract,
+  array_to_string(categories, '|') AS categories, concat(arxiv_id, '|Second Name') AS authors,
   strftime(submitted_at, '%Y-%m-%d %H:%M:%S') AS submitted_at,
   strftime(submitted_at, '%Y-%m-%d 00:00:00') AS updated_at_api
 FROM papers WHERE coalesce(max_h_index, 99) >= 6
@@ -119,7 +120,7 @@ FROM papers WHERE coalesce(max_h_index, 99) >= 6
 def read_atom_pages(spark, sf):
     read = readers.read_atom_pages(spark, feed_files(spark, sf))
     return read.select(
-        "arxiv_id", "title", F.array_join("categories", "|").alias("categories"),
+        "arxiv_id", "title", "abstract", F.array_join("categories", "|").alias("categories"),
         F.array_join("authors.name", "|").alias("authors"), stamp("submitted_at"), stamp("updated_at_api"),
     )
 
@@ -166,7 +167,7 @@ def read_daily_feed(spark, sf):
         F.when(key % 5 != 0, F.col("o_custkey")).alias("upvotes"),
         F.when(key % 3 != 0, "https://github.com/o/r").alias("githubRepo"),
     ).alias("paper")).write.json(path)
-    return readers.read_daily_feed(spark, path)
+    return readers.read_daily_feed(spark, path).drop("pos")
 
 
 def lookup_rows(spark, sf):

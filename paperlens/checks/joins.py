@@ -9,7 +9,7 @@ from ..operators.filters import official_links
 from ..operators.joins import author_aggregate_join as aggregate_join
 from ..plans.curate import curate as curate_plan
 from . import check
-from .bindings import P, papers, stamp, table
+from .bindings import P, first_line, papers, stamp, table
 from .filters import LINKS, links
 
 LINKED = f"""{LINKS},
@@ -44,7 +44,7 @@ def dump(spark, sf):
     created = F.date_format(submitted, "EEE, d MMM yyyy HH:mm:ss 'GMT'")
     return d.select(
         F.concat(doc.cast("string"), F.lit("v"), (doc % 4 + 1).cast("string")).alias("id"),
-        F.concat(F.lit("  "), F.substring("text", 1, 60)).alias("title"),
+        F.concat(F.lit("  "), first_line()).alias("title"),
         F.concat(F.col("text"), F.lit("  ")).alias("abstract"),
         F.when(doc % 3 == 0, " cs.LG stat.ML").when(doc % 3 == 1, "math.ST").otherwise("cs.CL")
         .alias("categories"),
@@ -59,7 +59,7 @@ def dump(spark, sf):
 
 @check(f"""
 WITH {LINKED},
-a AS (SELECT cast(doc_id AS VARCHAR) AS arxiv_id, trim(substring(text, 1, 60)) AS title,
+a AS (SELECT cast(doc_id AS VARCHAR) AS arxiv_id, trim(string_split(text, chr(10))[1]) AS title,
     trim(text) AS abstract, CASE doc_id % 3 WHEN 0 THEN 'cs.LG|stat.ML' WHEN 1 THEN 'math.ST'
       ELSE 'cs.CL' END AS categories,
     CASE WHEN doc_id % 50 <> 7 THEN TIMESTAMP '2023-12-15 08:30:00' + doc_id * INTERVAL '1' HOUR END AS ts,
@@ -197,7 +197,7 @@ def author_aggregate_join_hot(spark, sf):
     lines = table(spark, sf, "lineitem")
     author = F.when(F.col("l_linenumber") <= 3, F.lit(1)).otherwise(F.col("l_suppkey")).cast("long")
     pairs = lines.select(F.col("l_orderkey").alias("paper_id"), author.alias("author_id"))
-    return aggregate_join(pairs, author_stats(spark, sf), min_hot_rows=10_000)
+    return aggregate_join(pairs, author_stats(spark, sf), salts=8)
 
 
 DAILY = """daily AS (SELECT arxiv_id, doc_id % 11 AS upvotes,

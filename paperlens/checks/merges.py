@@ -22,8 +22,18 @@ FROM s FULL OUTER JOIN i ON s.arxiv_id = i.arxiv_id
 """
 
 
+def after_earlier(changes):
+    """Every change twice: an earlier row with another title and nothing else known comes first."""
+    earlier = changes.select(*[
+        F.col(c) if c in ("arxiv_id", "submitted_at") else F.lit("earlier").alias(c) if c == "title"
+        else F.lit(None).cast(t).alias(c) for c, t in changes.dtypes
+    ])
+    return earlier.withColumn("pos", F.lit(0)).unionByName(changes.withColumn("pos", F.lit(1)))
+
+
 def merged(spark, sf, **options):
-    result = ops.upsert_papers(*stored_incoming(spark, sf), **options)
+    stored, incoming = stored_incoming(spark, sf)
+    result = ops.upsert_papers(stored, after_earlier(incoming), "pos", **options)
     return result.withColumn("submitted_at", stamp("submitted_at"))
 
 
@@ -54,7 +64,7 @@ def update_lookup_fields(spark, sf):
         F.col("title").alias("hf_github_repo"), "has_code", "hype_label",
     )
     columns = ["arxiv_id", "title", "hf_paper_id", "has_code", "hype_label"]
-    return ops.update_lookup_fields(stored.select(*columns), outcomes)
+    return ops.update_lookup_fields(stored.select(*columns), after_earlier(outcomes), "pos")
 
 
 @check(SI + """
@@ -66,7 +76,7 @@ FROM s LEFT JOIN i ON s.arxiv_id = i.arxiv_id
 def update_labels(spark, sf):
     stored, incoming = stored_incoming(spark, sf)
     rows = stored.select("arxiv_id", "title", "github_stars_t60", "hype_label")
-    return ops.update_labels(rows, incoming)
+    return ops.update_labels(rows, after_earlier(incoming), "pos")
 
 
 @check(SI + """
@@ -77,7 +87,7 @@ FROM s LEFT JOIN i ON s.arxiv_id = i.arxiv_id
 def apply_label_update(spark, sf):
     stored, incoming = stored_incoming(spark, sf)
     rows = stored.select("arxiv_id", "title", "github_stars_t60", "hype_label")
-    return ops.update_labels(rows, incoming).drop("hype_label")
+    return ops.update_labels(rows, after_earlier(incoming), "pos").drop("hype_label")
 
 
 @check(SI + """
@@ -90,4 +100,4 @@ def backfill_columns(spark, sf):
         "arxiv_id", F.col("citation_count").alias("max_h_index"),
         F.col("github_stars_t60").alias("total_prior_papers"),
     )
-    return ops.backfill_columns(stored.select("arxiv_id", "title", "has_code"), values)
+    return ops.backfill_columns(stored.select("arxiv_id", "title", "has_code"), after_earlier(values), "pos")

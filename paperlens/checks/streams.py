@@ -17,13 +17,17 @@ COLUMNS = ["arxiv_id", "title", "citation_count", "hf_paper_id", "has_code", "gi
 
 @check("SELECT event_id, event_type, user_id FROM events")
 def stream_dedup(spark, sf):
-    """Events arriving twice where their value is high: each comes out once."""
-    stored = table(spark, sf, "events")
+    """Events in three micro-batches, the newest first, some of them twice: each comes out once."""
+    stored = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     landed, out = work_dir(spark, "landed"), work_dir(spark, "once")
-    stored.unionByName(stored.filter("value > 50")).write.parquet(landed)
-    arriving = spark.readStream.schema(stored.schema).parquet(landed)
-    arriving = arriving.withColumn("ts", F.col("ts").cast("timestamp"))
-    once = jobs.stream_dedup(arriving, "event_id", "ts")
+    cuts = stored.agg(F.expr("percentile(unix_micros(ts), array(0.33, 0.66))")).first()[0]
+    age = F.when(F.unix_micros("ts") > cuts[1], 0).when(F.unix_micros("ts") > cuts[0], 1).otherwise(2)
+    for part in range(3):
+        some = stored.filter((age == part) | ((F.col("value") > 50) & (age < part)))
+        some.coalesce(1).write.mode("append").parquet(landed)
+    arriving = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    arriving = arriving.withColumn("landed_at", F.col("_metadata.file_modification_time"))
+    once = jobs.stream_dedup(arriving, "event_id")
     query = (
         once.writeStream.format("parquet").option("checkpointLocation", work_dir(spark, "checkpoint"))
         .trigger(availableNow=True).start(out)
@@ -34,7 +38,7 @@ def stream_dedup(spark, sf):
 
 def stored_table(spark, sf) -> PaperTable:
     held = PaperTable(spark, work_dir(spark, "papers"))
-    held.commit(stored_incoming(spark, sf)[0])
+    held.replace_months(stored_incoming(spark, sf)[0])
     return held
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import STAR_THRESHOLD
@@ -56,19 +56,23 @@ def distinct_authors(papers: DataFrame, ids: str = "author_ids") -> DataFrame:
     ).distinct()
 
 
-def _one_per_key(df: DataFrame, key: str, pick, order) -> DataFrame:
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(F.col(key).alias("_key")).agg(pick(row, order).alias("_row")).select("_row.*")
+def _one_per_key(df: DataFrame, key: str, order) -> DataFrame:
+    """The first row of each key by ``order``; equal orders are told apart by a hash of the row.
+
+    Every task keeps one row of a key before the shuffle, so a frequent key costs one row per task.
+    """
+    ranked = Window.partitionBy(key).orderBy(order, F.xxhash64(*df.columns))
+    return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
 def dedup_first(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The row with the smallest ``order`` of each key."""
-    return _one_per_key(df, key, F.min_by, F.col(order))
+    """The row with the smallest ``order`` of each key; NULL orders come last."""
+    return _one_per_key(df, key, F.asc_nulls_last(order))
 
 
 def dedup_last(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The row with the largest ``order`` of each key."""
-    return _one_per_key(df, key, F.max_by, F.col(order))
+    """The row with the largest ``order`` of each key; NULL orders come last."""
+    return _one_per_key(df, key, F.desc_nulls_last(order))
 
 
 def label_backfill_summary(papers: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from ..constants import FEATURE_COLS
 from ..functions.pvalues import chi2_p_value, ks_p_value, z_p_value
 from .cumulative import running_sums, store_ranges
 
-SMALL_REFERENCE = 1000
 DISTANCE_LIMIT = 0.1
 P_VALUE_LIMIT = 0.05
 DRIFT_SHARE_LIMIT = 0.5
@@ -90,44 +89,32 @@ def drift_statistics(reference: DataFrame, current: DataFrame,
     )
 
 
-def feature_drift(reference: DataFrame, current: DataFrame, features: list[str] = FEATURE_COLS,
-                  small: bool | None = None) -> DataFrame:
-    """Method, score and verdict per feature.
+def feature_drift(reference: DataFrame, current: DataFrame, family: str,
+                  features: list[str] = FEATURE_COLS) -> DataFrame:
+    """Method, score and verdict per feature; the caller names the family of methods.
 
-    Up to 1000 reference rows p-values decide (drift below .05): Kolmogorov-Smirnov above five
-    distinct values, chi-square for three to five, a z-test of proportions below. With more rows
-    distances decide (drift from .1): Wasserstein over the reference deviation above five distinct
-    values, Jensen-Shannon up to five. ``small`` forces one of the two.
+    With ``"p_value"`` tests decide (drift below .05): Kolmogorov-Smirnov above five distinct values,
+    chi-square for three to five, a z-test of proportions below. With ``"distance"`` distances decide
+    (drift from .1): Wasserstein over the reference deviation above five distinct values,
+    Jensen-Shannon up to five. The number of distinct values tells kinds of columns apart; the
+    number of rows plays no part.
     """
+    if family not in ("p_value", "distance"):
+        raise ValueError("family must be 'p_value' or 'distance'")
     stats = drift_statistics(reference, current, features)
     distinct = F.col("distinct_values")
-    is_small = F.col("n_ref") <= SMALL_REFERENCE if small is None else F.lit(small)
-    method = F.when(
-        is_small,
-        F.when(distinct > 5, "ks").when(distinct > 2, "chi2").otherwise("z"),
-    ).otherwise(F.when(distinct > 5, "wasserstein").otherwise("js"))
-    chosen = stats.withColumn("method", method)
-    if small is not False:
-        chosen = chosen.withColumns({
-            "_ks": ks_p_value(F.when(F.col("method") == "ks", F.col("ks")), "n_ref", "n_cur"),
-            "_chi2": chi2_p_value(F.col("chi2"), distinct - 1),
-            "_z": z_p_value(F.col("z")),
-        })
+    if family == "p_value":
+        method = F.when(distinct > 5, "ks").when(distinct > 2, "chi2").otherwise("z")
+        score = (
+            F.when(distinct > 5, ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
+            .when(distinct > 2, chi2_p_value(F.col("chi2"), distinct - 1)).otherwise(z_p_value(F.col("z")))
+        )
+        detected = F.col("score") < P_VALUE_LIMIT
     else:
-        chosen = chosen.withColumns({c: F.lit(None).cast("double") for c in ("_ks", "_chi2", "_z")})
-    value = F.col("method")
-    score = (
-        F.when(value == "ks", F.col("_ks")).when(value == "chi2", F.col("_chi2"))
-        .when(value == "z", F.col("_z")).when(value == "wasserstein", F.col("wasserstein"))
-        .otherwise(F.col("js"))
-    )
-    by_distance = value.isin("wasserstein", "js")
-    detected = F.when(by_distance, F.col("score") >= DISTANCE_LIMIT).otherwise(
-        F.col("score") < P_VALUE_LIMIT
-    )
-    return chosen.withColumn("score", score).select(
-        "feature", "method", "score", detected.alias("detected")
-    )
+        method = F.when(distinct > 5, "wasserstein").otherwise("js")
+        score = F.when(distinct > 5, F.col("wasserstein")).otherwise(F.col("js"))
+        detected = F.col("score") >= DISTANCE_LIMIT
+    return stats.select("feature", method.alias("method"), score.alias("score")).withColumn("detected", detected)
 
 
 def dataset_drift(drift: DataFrame) -> DataFrame:

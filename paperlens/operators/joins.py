@@ -9,7 +9,6 @@ from ..constants import ENRICHMENT_PREFIX
 from ..functions.labels import has_code_from_repo, prelim_label
 from ..functions.text import empty_to_null
 from .aggregates import author_signals_agg, dedup_last
-from .filters import drop_blank_ids
 from .skew import salted_left_join
 
 
@@ -62,24 +61,24 @@ def author_responses(batches: DataFrame) -> DataFrame:
 
 
 def author_aggregate_join(pairs: DataFrame, stats: DataFrame, paper: str = "paper_id",
-                          min_hot_rows: int = 1_000_000) -> DataFrame:
+                          salts: int = 1) -> DataFrame:
     """Per paper, over its ``(paper, author_id)`` pairs: highest h-index and summed paper counts."""
     stats = stats.select("author_id", "h_index", "paper_count")
-    joined = salted_left_join(pairs.select(paper, "author_id"), stats, "author_id", min_hot_rows)
+    joined = salted_left_join(pairs.select(paper, "author_id"), stats, "author_id", salts)
     return author_signals_agg(joined, paper)
 
 
 def enrich_authors(papers: DataFrame, stats: DataFrame, no_authors: str = "null",
-                   min_hot_rows: int = 1_000_000) -> DataFrame:
+                   salts: int = 1) -> DataFrame:
     """Author signals for answered papers ``(arxiv_id, author_ids, ...)``.
 
     A paper without author ids gets NULLs (``no_authors="null"``) or zeros (``"zero"``). ``papers``
-    is read three times (count, pairs, result): pass a stored table where making it is dear.
+    is read twice (pairs, result): pass a stored table where making it is dear.
     """
     if no_authors not in ("null", "zero"):
         raise ValueError("no_authors must be 'null' or 'zero'")
     pairs = papers.select("arxiv_id", F.explode("author_ids").alias("author_id"))
-    signals = author_aggregate_join(pairs, stats, "arxiv_id", min_hot_rows)
+    signals = author_aggregate_join(pairs, stats, "arxiv_id", salts)
     joined = papers.join(signals, "arxiv_id", "left")
     if no_authors == "zero":
         joined = joined.fillna(0, ["max_h_index", "total_prior_papers"])
@@ -89,11 +88,8 @@ def enrich_authors(papers: DataFrame, stats: DataFrame, no_authors: str = "null"
 def hydrate_from_daily(papers: DataFrame, daily: DataFrame) -> DataFrame:
     """Featured papers take id, upvotes, repository, code flag and early label; others stay.
 
-    ``daily`` is ``(arxiv_id, upvotes, github_repo)``; with a ``pos`` column its last entry per
-    paper counts, without one it has one row per paper.
+    ``daily`` is ``(arxiv_id, upvotes, github_repo, pos)``: of several entries the last one counts.
     """
-    if "pos" in daily.columns:
-        daily = dedup_last(daily, "arxiv_id", "pos")
     new = daily.select(
         "arxiv_id",
         F.struct(
@@ -103,15 +99,20 @@ def hydrate_from_daily(papers: DataFrame, daily: DataFrame) -> DataFrame:
             has_code_from_repo(F.col("github_repo")).alias("has_code"),
             prelim_label(F.col("upvotes")).alias("hype_label"),
         ).alias("_new"),
+        "pos",
     )
     return replace_matched(
-        papers, new, ["hf_paper_id", "hf_upvotes", "hf_github_repo", "has_code", "hype_label"]
+        papers, new, ["hf_paper_id", "hf_upvotes", "hf_github_repo", "has_code", "hype_label"], "pos"
     )
 
 
-def replace_matched(papers: DataFrame, new: DataFrame, columns: list[str], key: str = "arxiv_id") -> DataFrame:
-    """Take ``columns`` from ``new._new`` for matching keys, NULLs included; add missing columns."""
-    joined = papers.join(new, key, "left")
+def replace_matched(papers: DataFrame, new: DataFrame, columns: list[str], order: str,
+                    key: str = "arxiv_id") -> DataFrame:
+    """Take ``columns`` from ``new._new`` for matching keys, NULLs included; add missing columns.
+
+    Of several rows of a key in ``new`` the one with the largest ``order`` counts.
+    """
+    joined = papers.join(dedup_last(new, key, order).select(key, "_new"), key, "left")
     matched = F.col("_new").isNotNull()
     replaced = {
         c: F.when(matched, F.col("_new")[c]).otherwise(F.col(c) if c in papers.columns else None)
@@ -133,7 +134,3 @@ def union_categories(*fetches: DataFrame) -> DataFrame:
     for fetch in ranked[1:]:
         union = union.unionByName(fetch)
     return union
-
-
-def fetched_papers(feed: DataFrame) -> DataFrame:
-    return drop_blank_ids(feed)

@@ -18,15 +18,35 @@ OLD_ELSE_NEW = ["github_stars_t60"]
 EMPTY_IS_NULL = ["ss_paper_id", "hf_paper_id", "hf_github_repo"]
 
 
-def upsert(stored: DataFrame, incoming: DataFrame, key: str, overwrite=(), new_else_old=(),
+def one_row_per_key(incoming: DataFrame, key: str, order: str, overwrite=(), new_else_old=()) -> DataFrame:
+    """What the rows of a key come to when they are applied one after the other in ``order``.
+
+    An overwritten column has its last value, a new-else-old one its last known value, any other its
+    first known value. Equal orders are told apart by a hash of the row.
+    """
+    at = F.struct(F.col(order), F.xxhash64(*incoming.columns))
+
+    def value(name: str) -> Column:
+        known = F.when(F.col(name).isNotNull(), at)
+        if name in overwrite:
+            return F.max_by(name, at)
+        return F.max_by(name, known) if name in new_else_old else F.min_by(name, known)
+
+    columns = [c for c in incoming.columns if c not in (key, order)]
+    return incoming.groupBy(key).agg(*[value(c).alias(c) for c in columns])
+
+
+def upsert(stored: DataFrame, incoming: DataFrame, key: str, order: str, overwrite=(), new_else_old=(),
            old_else_new=(), special: dict[str, Column] | None = None) -> DataFrame:
-    """Insert new keys, resolve known ones column by column. Both sides have one row per key.
+    """Insert new keys, resolve known ones column by column. The stored side has one row per key.
 
+    Incoming rows of the same key are first made one, in the order of their ``order`` column.
     Known keys are a left join from the stored side, so its wide rows stay where they are when the
     batch is small enough to broadcast; new keys are an anti join against the stored keys alone.
     Keys are unique on both sides, so none is frequent. Columns the incoming side lacks count as
     NULL. ``special`` columns refer to the sides as ``s`` and ``i``.
     """
+    incoming = one_row_per_key(incoming, key, order, overwrite, new_else_old)
     matched = F.col(f"i.{key}").isNotNull()
 
     def resolve(name: str) -> Column:
@@ -56,10 +76,11 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str, overwrite=(), new_e
     return known.unionByName(added)
 
 
-def upsert_papers(stored: DataFrame, incoming: DataFrame, as_of: Column | None = None,
+def upsert_papers(stored: DataFrame, incoming: DataFrame, order: str, as_of: Column | None = None,
                   protect_t60: bool = False) -> DataFrame:
     """Daily ingest into the paper table. Applying the same batch twice changes nothing.
 
+    ``order`` names the incoming column by which copies of a paper are applied one after the other.
     New rows get ``as_of`` as their ``ingested_at``. With ``protect_t60`` a label that comes from
     a known star count is not replaced by the early label of a later ingest.
     """
@@ -73,25 +94,25 @@ def upsert_papers(stored: DataFrame, incoming: DataFrame, as_of: Column | None =
         special["hype_label"] = F.when(
             F.col("s.github_stars_t60").isNotNull(), F.col("s.hype_label")
         ).otherwise(F.coalesce("i.hype_label", "s.hype_label"))
-    return upsert(stored, incoming, "arxiv_id", OVERWRITE, NEW_ELSE_OLD, OLD_ELSE_NEW, special)
+    return upsert(stored, incoming, "arxiv_id", order, OVERWRITE, NEW_ELSE_OLD, OLD_ELSE_NEW, special)
 
 
-def _update(papers: DataFrame, changes: DataFrame, columns: list[str], key: str) -> DataFrame:
-    new = changes.select(key, F.struct(*columns).alias("_new"))
-    return replace_matched(papers, new, columns, key)
+def _update(papers: DataFrame, changes: DataFrame, columns: list[str], order: str, key: str) -> DataFrame:
+    new = changes.select(key, F.struct(*columns).alias("_new"), F.col(order).alias("_order"))
+    return replace_matched(papers, new, columns, "_order", key)
 
 
-def update_lookup_fields(papers: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Set the five lookup columns of the listed papers, NULLs included."""
+def update_lookup_fields(papers: DataFrame, outcomes: DataFrame, order: str) -> DataFrame:
+    """Set the five lookup columns of the listed papers, NULLs included; the last outcome counts."""
     columns = ["hf_paper_id", "hf_upvotes", "hf_github_repo", "has_code", "hype_label"]
-    return _update(papers, outcomes, columns, "arxiv_id")
+    return _update(papers, outcomes, columns, order, "arxiv_id")
 
 
-def update_labels(papers: DataFrame, labels: DataFrame) -> DataFrame:
-    """Set star count and label of the listed papers."""
-    return _update(papers, labels, ["github_stars_t60", "hype_label"], "arxiv_id")
+def update_labels(papers: DataFrame, labels: DataFrame, order: str) -> DataFrame:
+    """Set star count and label of the listed papers; the last label counts."""
+    return _update(papers, labels, ["github_stars_t60", "hype_label"], order, "arxiv_id")
 
 
-def backfill_columns(papers: DataFrame, values: DataFrame, key: str = "arxiv_id") -> DataFrame:
-    """Add the columns of ``values`` the papers lack, as NULL, then fill the listed keys."""
-    return _update(papers, values, [c for c in values.columns if c != key], key)
+def backfill_columns(papers: DataFrame, values: DataFrame, order: str, key: str = "arxiv_id") -> DataFrame:
+    """Add the columns of ``values`` the papers lack, as NULL, then fill the listed keys with the last values."""
+    return _update(papers, values, [c for c in values.columns if c not in (key, order)], order, key)

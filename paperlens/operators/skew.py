@@ -5,32 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
 
+def salted_left_join(facts: DataFrame, lookup: DataFrame, key: str, salts: int = 1) -> DataFrame:
+    """``facts`` left join ``lookup`` (one row per key), each key spread over ``salts`` parts.
 
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> list:
-    """The at most ``HOT_KEYS`` most frequent keys with at least ``min_rows`` rows."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
-    frequent = counts.filter(F.col("rows") >= min_rows)
-    return [r[0] for r in frequent.orderBy(F.desc("rows"), key).limit(HOT_KEYS).collect()]
-
-
-def salted_left_join(facts: DataFrame, lookup: DataFrame, key: str, min_rows: int = 1_000_000,
-                     salts: int = 64) -> DataFrame:
-    """``facts`` left join ``lookup`` (one row per key), frequent keys spread over ``salts`` parts.
-
-    One count over the key column finds the frequent keys; without any this is a plain join. Only
-    the frequent keys of ``lookup`` are repeated, at most ``HOT_KEYS * salts`` extra rows. A key
-    that is frequent but not among the first ``HOT_KEYS`` is joined unsalted: the result is the
-    same, and the adaptive planner splits its partition. The salt is a hash of the row, so a
-    recomputed task places its rows as before.
+    ``salts`` is chosen by the caller and treats all keys alike: ``lookup`` is repeated that many
+    times, and a row of ``facts`` takes the part that its hash names, so that a recomputed task places
+    its rows as before. With one part the adaptive planner alone splits what is skewed.
     """
-    hot = hot_keys(facts, key, min_rows)
-    if not hot:
+    if salts == 1:
         return facts.join(lookup, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    row_salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    spread = facts.withColumn("_salt", F.when(is_hot, row_salt).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.withColumn("_salt", F.explode(copies))
+    spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(repeated, [key, "_salt"], "left").drop("_salt")

@@ -12,7 +12,6 @@ from ..session import small_rows
 from .filters import enriched_only
 
 BUCKET_BITS = 14
-MAX_LABELS = 100
 
 
 def row_position(key: str, seed: int) -> Column:
@@ -20,10 +19,10 @@ def row_position(key: str, seed: int) -> Column:
     return F.struct(F.xxhash64(F.lit(seed), F.col(key)).alias("h"), F.col(key).alias("k"))
 
 
-def label_totals(df: DataFrame, label: Column) -> dict:
-    """Rows per label; labels are few, and more than ``MAX_LABELS`` are an error."""
+def label_totals(df: DataFrame, label: Column, max_labels: int = 100) -> dict:
+    """Rows per label; labels are few, and more than ``max_labels`` are an error."""
     counts = df.groupBy(label.alias("label")).agg(F.count("*").alias("n"))
-    rows = small_rows(counts, MAX_LABELS, "labels")
+    rows = small_rows(counts, max_labels, "labels")
     return {r["label"]: r["n"] for r in rows}
 
 
@@ -33,7 +32,7 @@ def hash_cuts(df: DataFrame, label: Column, key: str, seed: int, quotas: dict) -
     ``quotas`` maps a label to ``{cut: rows}``. Instead of one sort per label there are two passes
     over key and label: counts per hash range, then the exact place inside the one range that holds
     the quota, where copies of a key are one counted row. The result has one row per label, at most
-    ``MAX_LABELS``, and is broadcast. Copies of a key fall on the same side.
+    ``max_labels`` of ``label_totals``, and is broadcast. Copies of a key fall on the same side.
     """
     spark = df.sparkSession
     rows = df.select(label.alias("label"), row_position(key, seed).alias("at")).filter(

@@ -15,10 +15,6 @@ from ..constants import DEFAULT_THRESHOLD, FEATURE_COLS
 from ..functions.features import feature_columns
 from ..functions.scores import hype_tier, logit, sigmoid
 
-# Ensembles up to this many nodes become plain expressions, larger ones are walked in batches.
-NATIVE_NODES = 256
-# A model is one file read on the driver and sent to every executor.
-MAX_NODES = 5_000_000
 
 
 @dataclass
@@ -30,9 +26,11 @@ class TreeModel:
     threshold: float = DEFAULT_THRESHOLD
     feature_cols: list[str] = field(default_factory=lambda: list(FEATURE_COLS))
     version: str = ""
+    # A model is one file read on the driver and sent to every executor.
+    max_nodes: int = 5_000_000
 
     def __post_init__(self):
-        if self.nodes > MAX_NODES:
+        if self.nodes > self.max_nodes:
             raise ValueError(f"model of {self.nodes} nodes is too large to send to every executor")
 
     @property
@@ -131,29 +129,29 @@ def _as_batches(model: TreeModel, features: list[Column], spark: SparkSession) -
 
 
 def tree_score(model: TreeModel, features: list[Column], spark: SparkSession,
-               native: bool | None = None) -> Column:
+               native: bool = False) -> Column:
     """Probability from the summed leaf weights.
 
     A row goes left where its feature is below the split; a missing, NaN or unknown feature goes
-    right. Small ensembles stay inside generated code.
+    right. Trees are walked in batches, at a cost that does not depend on their number of nodes for
+    the planner; with ``native`` they become one expression in generated code, which suits a few
+    hundred nodes.
     """
     if not model.trees:
         return sigmoid(logit(F.lit(model.base_score)))
-    if native is None:
-        native = model.nodes <= NATIVE_NODES
     if native:
         return sigmoid(_as_expression(model, features))
     return sigmoid(_as_batches(model, features, spark))
 
 
-def score_trees(df: DataFrame, model: TreeModel, native: bool | None = None) -> DataFrame:
+def score_trees(df: DataFrame, model: TreeModel, native: bool = False) -> DataFrame:
     """Add ``hype_score`` to a feature matrix."""
     features = [F.col(c) for c in model.feature_cols]
     return df.withColumn("hype_score", tree_score(model, features, df.sparkSession, native))
 
 
 def score_papers(papers: DataFrame, model: TreeModel, text_unit: str = "chars",
-                 native: bool | None = None) -> DataFrame:
+                 native: bool = False) -> DataFrame:
     """Papers with ``hype_score`` and ``hype_tier``; the features exist only inside the expression."""
     by_name = dict(zip(FEATURE_COLS, feature_columns(papers, text_unit)))
     features = [by_name[c] for c in model.feature_cols]

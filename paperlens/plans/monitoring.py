@@ -20,10 +20,12 @@ from ..sources.writers import append_metrics, write_drift_report
 
 def monitor(seed_papers: DataFrame, papers: DataFrame, as_of: str, report_path: str,
             metrics_path: str, model: TreeModel | None = None, days: int = 30,
-            reference_rows: int = REFERENCE_ROWS, min_rows: int = MIN_CURRENT_ROWS) -> bool:
+            reference_rows: int = REFERENCE_ROWS, min_rows: int = MIN_CURRENT_ROWS,
+            family: str = "distance") -> bool:
     """Compare the recent window with a sample of the training papers; append report and metrics.
 
-    Returns whether a report was made: a window with too few papers has none.
+    Returns whether a report was made: a window with too few papers has none. ``family`` names the
+    drift methods: distances suit the reference sample of thousands of rows, p-values small ones.
     """
     current = read_papers_window(papers, as_of, days)
     if not has_min_rows(current, min_rows):
@@ -31,7 +33,7 @@ def monitor(seed_papers: DataFrame, papers: DataFrame, as_of: str, report_path:
     # Texts are read once: everything below works on the stored 27 columns.
     matrix = materialize(build_features(current, ("arxiv_id",)), "current")
     reference = build_features(reference_sample(seed_papers, reference_rows))
-    drift = materialize(feature_drift(reference, matrix), "drift")
+    drift = materialize(feature_drift(reference, matrix, family), "drift")
     profile = quality_summary(matrix)
     # Both have one row per feature.
     write_drift_report(profile.join(F.broadcast(drift), "feature", "left"), report_path, as_of[:10])

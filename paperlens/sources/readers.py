@@ -59,9 +59,10 @@ def read_papers_jdbc(spark: SparkSession, url: str, table: str, as_of: datetime,
     return rows.withColumn("has_author_enrichment", F.col("max_h_index").isNotNull())
 
 
-def feed_papers(entries: DataFrame) -> DataFrame:
-    """Feed entries to paper rows; entries without a usable identifier are skipped."""
+def feed_papers(entries: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Feed entries to paper rows; entries without a usable identifier are skipped. ``keep`` names more columns."""
     return entries.select(
+        *keep,
         extract_paper_id(F.col("id")).alias("arxiv_id"),
         clean_text(F.col("title"), True).alias("title"),
         clean_text(F.col("summary"), True).alias("abstract"),
@@ -107,8 +108,9 @@ def read_author_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def daily_papers(entries: DataFrame) -> DataFrame:
-    """Featured papers; entries without an id are dropped, missing counts are 0."""
+    """Featured papers with their place ``pos``; entries without an id are dropped, missing counts are 0."""
     return entries.select(
+        "pos",
         F.col("paper.id").alias("arxiv_id"),
         F.coalesce(F.col("paper.upvotes"), F.lit(0)).alias("upvotes"),
         F.coalesce(F.col("paper.githubRepo"), F.lit("")).alias("github_repo"),
@@ -116,7 +118,11 @@ def daily_papers(entries: DataFrame) -> DataFrame:
 
 
 def read_daily_feed(spark: SparkSession, path: str) -> DataFrame:
-    return daily_papers(spark.read.schema(schemas.DAILY_ENTRY).json(path))
+    """Featured papers; ``pos`` orders entries by file, then by their place in it."""
+    entries = spark.read.schema(schemas.DAILY_ENTRY).json(path)
+    file = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"))
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return daily_papers(entries.withColumn("pos", F.struct(file.alias("file"), place.alias("place"))))
 
 
 def read_paper_lookups(spark: SparkSession, path: str) -> DataFrame:

@@ -1,9 +1,10 @@
-"""The paper table as plain parquet: month directories plus a log of which write holds each month.
+"""The paper table: plain parquet in month directories.
 
-A change rewrites only the months it touches, under a new commit number, and becomes visible
-when its log rows land. Readers see a whole commit or none, a failed write leaves only
-unreferenced files, and a replayed streaming batch is recognised by its number. One writer per
-table, as a streaming query is one.
+A change rewrites only the months it touches. The new rows of these months are first written to the
+shared folder, because the rows they come from lie in the directories to be replaced; then exactly
+those directories are overwritten. Merges are idempotent, so a batch that is applied again after a
+failure leaves the table as one that was applied once. There is one writer at a time: jobs on one
+table run one after the other.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import submitted_month
 from ..schemas import PAPERS
-
-LOG = "commit long, submitted_month string, data_commit long, stream string, batch long"
+from ..session import materialize, remove
 
 
 class PaperTable:
@@ -23,40 +23,16 @@ class PaperTable:
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
         self.schema = schema
 
-    def _log(self) -> DataFrame:
+    def read(self, months: list[str] | None = None) -> DataFrame:
+        """Rows with their ``submitted_month``; ``months`` lists only those directories."""
+        schema = self.schema + ", submitted_month string"
         try:
-            return self.spark.read.schema(LOG).json(f"{self.path}/log")
+            rows = self.spark.read.schema(schema).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], LOG)
-
-    def months(self) -> dict[str, int]:
-        """Month -> commit that holds it, as of the newest commit. One entry per month."""
-        log = self._log()
-        newest = log.agg(F.max("commit").alias("commit"))
-        rows = log.join(F.broadcast(newest), "commit", "left_semi").collect()
-        return {r.submitted_month: r.data_commit for r in rows if r.submitted_month is not None}
-
-    def last_commit(self) -> int:
-        return self._log().agg(F.coalesce(F.max("commit"), F.lit(0))).first()[0]
-
-    def last_batch(self, stream: str) -> int:
-        done = self._log().filter(F.col("stream") == stream)
-        return done.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
-
-    def read(self, months: list[str] | None = None) -> DataFrame:
-        """Current rows with their ``submitted_month``; ``months`` lists only those directories."""
-        held = self.months()
-        paths = [
-            f"{self.path}/data/commit={commit}/submitted_month={month}"
-            for month, commit in sorted(held.items()) if months is None or month in months
-        ]
-        schema = self.schema + ", submitted_month string"
-        if not paths:
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema + ", commit long")
-        return reader.option("basePath", f"{self.path}/data").parquet(*paths).drop("commit")
+        return rows if months is None else rows.filter(F.col("submitted_month").isin(months))
 
     def touched_months(self, changes: DataFrame) -> list[str]:
         """Months holding a row for any key of ``changes``: a scan of the key column only."""
@@ -64,18 +40,12 @@ class PaperTable:
         hit = self.read().select(self.key, "submitted_month").join(keys, self.key, "left_semi")
         return [r[0] for r in hit.select("submitted_month").distinct().collect()]
 
-    def commit(self, rows: DataFrame, stream: str = "", batch: int = -1) -> None:
-        """Write ``rows`` as the whole content of the months they fall in, and publish."""
-        number = self.last_commit() + 1
-        target = f"{self.path}/data/commit={number}"
+    def replace_months(self, rows: DataFrame) -> None:
+        """Write ``rows`` as the whole content of the months they fall in."""
         placed = rows.withColumn("submitted_month", submitted_month(F.col("submitted_at")))
+        staged = materialize(placed, "months")
         (
-            placed.hint("rebalance", "submitted_month")
-            .write.mode("overwrite").partitionBy("submitted_month").parquet(target)
+            staged.hint("rebalance", "submitted_month").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("submitted_month").parquet(self.path)
         )
-        written = self.spark.read.schema("submitted_month string").parquet(target).distinct()
-        held = self.months() | {r.submitted_month: number for r in written.collect()}
-        entries = [(number, m, c, stream, batch) for m, c in sorted(held.items())]
-        entries = entries or [(number, None, number, stream, batch)]
-        log = self.spark.createDataFrame(entries, LOG)
-        log.coalesce(1).write.mode("append").json(f"{self.path}/log")
+        remove(staged)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..constants import DEFAULT_THRESHOLD, FEATURE_COLS
 from ..functions.dates import submitted_month
-from ..functions.scores import round4
 
 
 def write_seed(papers: DataFrame, path: str) -> None:
@@ -90,7 +89,3 @@ def save_model(spark: SparkSession, model: PipelineModel, path: str, *, name: st
 
 def load_model_meta(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MODEL_META).json(f"{path}/meta")
-
-
-def rounded_metrics(metrics: DataFrame, columns: list[str]) -> DataFrame:
-    return metrics.select(*[round4(F.col(c)).alias(c) for c in columns])

@@ -1,8 +1,8 @@
 """Structured Streaming jobs over landed files.
 
 Each job takes a streaming DataFrame, applies one of the merge operators to every micro-batch and
-publishes the touched months of the paper table. A replayed batch is recognised by its number, and
-the merges are idempotent as well. Empty batches, which a watermark produces, are skipped.
+replaces the touched months of the paper table. Merges are idempotent, so a replayed batch does no
+harm. Empty batches, which a watermark produces, are skipped.
 """
 
 from __future__ import annotations
@@ -35,10 +35,13 @@ def stream_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).json(path)
 
 
-def stream_dedup(papers: DataFrame, key: str = "arxiv_id", ts: str = "submitted_at",
+def stream_dedup(papers: DataFrame, key: str = "arxiv_id", landed: str = "landed_at",
                  delay: str = "7 days") -> DataFrame:
-    """Each key once; its state is dropped when the watermark has passed it."""
-    return papers.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    """Each key once among what lands within ``delay``; the state of a key is dropped after that.
+
+    The watermark runs on the time of arrival: a back-fill of old papers is as new as anything else.
+    """
+    return papers.withWatermark(landed, delay).dropDuplicatesWithinWatermark([key])
 
 
 def _run(changes: DataFrame, checkpoint: str, name: str,
@@ -49,52 +52,64 @@ def _run(changes: DataFrame, checkpoint: str, name: str,
     )
 
 
-def _publish(table: PaperTable, batch: DataFrame, number: int, stream: str,
+def _publish(table: PaperTable, batch: DataFrame,
              merge: Callable[[DataFrame, DataFrame], DataFrame], inserts: bool) -> None:
-    if table.last_batch(stream) >= number or batch.isEmpty():
-        return
     batch = batch.persist()
     try:
+        if batch.isEmpty():
+            return
         months = set(table.touched_months(batch))
         if inserts:
             new = batch.select(submitted_month(F.col("submitted_at"))).distinct().collect()
             months |= {r[0] for r in new}
         if months:
             stored = table.read(sorted(months)).drop("submitted_month")
-            table.commit(merge(stored, batch), stream, number)
+            table.replace_months(merge(stored, batch))
     finally:
         batch.unpersist()
 
 
 def ingest_stream(papers: DataFrame, table: PaperTable, checkpoint: str,
                   enrich: Callable[[DataFrame], DataFrame] | None = None,
-                  name: str = "ingest", protect_t60: bool = False) -> StreamingQuery:
-    """Paper rows into the table. Of several copies the first category in fetch order counts,
-    taken from a ``fetch_category`` column where there is one."""
-    order = (
-        F.array_position(F.array(*map(F.lit, INGEST_PRIORITY)), F.col("fetch_category"))
-        if "fetch_category" in papers.columns else F.lit(0)
-    )
+                  name: str = "ingest", protect_t60: bool = False, as_of: str | None = None) -> StreamingQuery:
+    """Paper rows into the table. Of several copies that of the first category in fetch order counts.
+
+    The category a row was fetched for is in ``fetch_category``; rows without one, or of another
+    category, come after the listed ones. ``as_of`` is the time of ingest, by default the present one.
+    """
+    now = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    place = F.array_position(F.array(*map(F.lit, INGEST_PRIORITY)), F.col("fetch_category"))
 
     def apply(batch: DataFrame, number: int) -> None:
+        order = F.nullif(place, F.lit(0)) if "fetch_category" in batch.columns else F.lit(None).cast("long")
         once = dedup_first(batch.withColumn("_order", order), "arxiv_id", "_order")
         once = once.drop("_order", "fetch_category")
         once = enrich(once) if enrich else once
         if "enriched_at" not in once.columns:
-            once = once.withColumn("enriched_at", F.current_timestamp())
+            once = once.withColumn("enriched_at", now)
 
         def merge(stored, incoming):
-            return upsert_papers(stored, incoming, F.current_timestamp(), protect_t60)
+            return upsert_papers(stored, incoming.withColumn("_pos", F.lit(0)), "_pos", now, protect_t60)
 
-        _publish(table, once, number, name, merge, True)
+        _publish(table, once, merge, True)
 
     return _run(papers, checkpoint, name, apply)
 
 
 def ingest_feed(spark: SparkSession, path: str, table: PaperTable, checkpoint: str,
-                enrich: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Landed feed pages into the table."""
-    return ingest_stream(feed_papers(stream_feed(spark, path)), table, checkpoint, enrich)
+                enrich: Callable[[DataFrame], DataFrame] | None = None, as_of: str | None = None) -> StreamingQuery:
+    """Landed feed pages into the table; pages of a category lie in a folder of its name.
+
+    A page outside such a folder counts for the first category of each entry that the ingest lists.
+    """
+    entries = stream_feed(spark, path)
+    wanted = F.array(*map(F.lit, INGEST_PRIORITY))
+    folder = F.get(F.filter(
+        wanted, lambda c: F.contains(F.col("_metadata.file_path"), F.concat(F.lit("/"), c, F.lit("/")))), F.lit(0))
+    papers = feed_papers(entries.withColumn("fetch_category", folder), ("fetch_category",))
+    listed = F.get(F.array_intersect(wanted, F.col("categories")), F.lit(0))
+    papers = papers.withColumn("fetch_category", F.coalesce("fetch_category", listed))
+    return ingest_stream(papers, table, checkpoint, enrich, as_of=as_of)
 
 
 def lookup_outcomes(lookups: DataFrame) -> DataFrame:
@@ -117,12 +132,17 @@ def label_outcomes(lookups: DataFrame) -> DataFrame:
     return once.withColumn("hype_label", label)
 
 
+def _in_order(update: Callable[[DataFrame, DataFrame, str], DataFrame]):
+    """Outcomes have one row per paper already: any order will do."""
+    return lambda stored, changes: update(stored, changes, "_pos")
+
+
 def backfill_stream(lookups: DataFrame, table: PaperTable, checkpoint: str,
                     name: str = "backfill") -> StreamingQuery:
     """Paper lookups into the lookup columns."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        _publish(table, lookup_outcomes(batch), number, name, update_lookup_fields, False)
+        _publish(table, lookup_outcomes(batch).withColumn("_pos", F.lit(0)), _in_order(update_lookup_fields), False)
 
     return _run(lookups, checkpoint, name, apply)
 
@@ -132,6 +152,6 @@ def label_stream(lookups: DataFrame, table: PaperTable, checkpoint: str,
     """Repository lookups into star counts and ground-truth labels."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        _publish(table, label_outcomes(batch), number, name, update_labels, False)
+        _publish(table, label_outcomes(batch).withColumn("_pos", F.lit(0)), _in_order(update_labels), False)
 
     return _run(lookups, checkpoint, name, apply)

@@ -9,7 +9,7 @@ from paperlens.operators import joins
 from paperlens.operators.aggregates import dedup_first, dedup_last
 from paperlens.operators.filters import lookup_candidates
 from paperlens.operators.merge import backfill_columns, update_labels, update_lookup_fields, upsert_papers
-from paperlens.operators.skew import hot_keys, salted_left_join
+from paperlens.operators.skew import salted_left_join
 
 
 def batches(spark, kind, rows):
@@ -24,17 +24,17 @@ def enriched(spark, papers, authors, **options):
 
 
 def test_author_signals(spark):
-    papers = [(["arXiv:1"], [("s1", 42, [("a1",), ("a2",), ("",), (None,)])])]
-    row = enriched(spark, papers, [(["a1", "a2"], [(15, 30), (8, 12)])])["1"]
-    assert (row["ss_paper_id"], row["citation_count"], row["author_ids"]) == ("s1", 42, ["a1", "a2"])
-    assert (row["max_h_index"], row["total_prior_papers"], row["has_author_enrichment"]) == (15, 42, True)
+    papers = [(["arXiv:1"], [("p-9", 7, [(None,), ("u",), ("",), ("v",), ("w",)])])]
+    row = enriched(spark, papers, [(["u", "v"], [(3, 100), (21, 4)]), (["w"], [(20, 1)])])["1"]
+    assert (row["ss_paper_id"], row["citation_count"], row["author_ids"]) == ("p-9", 7, ["u", "v", "w"])
+    assert (row["max_h_index"], row["total_prior_papers"], row["has_author_enrichment"]) == (21, 105, True)
 
 
 def test_unknown_paper_and_author(spark):
-    papers = [(["arXiv:1", "arXiv:2"], [None, ("s2", 10, [("a1",)])])]
-    found = enriched(spark, papers, [(["a1"], [None])])
-    assert set(found) == {"2"}
-    assert (found["2"]["citation_count"], found["2"]["max_h_index"], found["2"]["total_prior_papers"]) == (10, 0, 0)
+    papers = [(["arXiv:1", "arXiv:2", "arXiv:3"], [("p", 6, [("u",), ("x",)]), None, None])]
+    found = enriched(spark, papers, [(["x", "u"], [None, (2, 3)])])
+    assert set(found) == {"1"}
+    assert (found["1"]["citation_count"], found["1"]["max_h_index"], found["1"]["total_prior_papers"]) == (6, 2, 3)
 
 
 @pytest.mark.parametrize("policy, expected", [("null", (None, None, False)), ("zero", (0, 0, True))])
@@ -55,12 +55,11 @@ def test_hot_author_is_spread_and_exact(spark):
     pairs = [(i % 300, 7 if rng.random() < 0.4 else rng.randrange(50)) for i in range(3000)]
     facts = spark.createDataFrame(pairs, "paper_id long, author_id long")
     stats = spark.createDataFrame([(a, a % 9, a * 2) for a in range(45)], "author_id long, h_index long, paper_count long")
-    assert hot_keys(facts, "author_id", 500) == [7]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = salted_left_join(facts, stats, "author_id", min_rows=500, salts=8)
+        joined = salted_left_join(facts, stats, "author_id", salts=8)
         assert "_salt" in joined._jdf.queryExecution().executedPlan().toString()
-        found = {r["paper_id"]: tuple(r)[1:] for r in joins.author_aggregate_join(facts, stats, min_hot_rows=500).collect()}
+        found = {r["paper_id"]: tuple(r)[1:] for r in joins.author_aggregate_join(facts, stats, salts=8).collect()}
         assert joined.count() == len(pairs)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -69,7 +68,7 @@ def test_hot_author_is_spread_and_exact(spark):
         assert found[paper] == (max(a % 9 if a < 45 else 0 for a in own), sum(a * 2 for a in own if a < 45))
 
 
-def test_no_hot_author_is_a_plain_join(spark):
+def test_one_part_is_a_plain_join(spark):
     facts = spark.createDataFrame([(1, 1), (2, None)], "paper_id long, author_id long")
     stats = spark.createDataFrame([(1, 5, 6)], "author_id long, h_index long, paper_count long")
     joined = salted_left_join(facts, stats, "author_id")
@@ -83,7 +82,7 @@ def test_first_and_last_of_copies(spark):
 
 
 def test_skip_predicate(spark):
-    rows = [("found", "2401.12345", 0), ("old", "checked_none", 8), ("recent", "checked_none", 3), ("never", "", 30), ("null", None, 30)]
+    rows = [("found", "x/7", 90), ("old", "checked_none", 11), ("recent", "checked_none", 1), ("never", "", 400), ("null", None, 2)]
     df = spark.createDataFrame(rows, "arxiv_id string, hf_paper_id string, age int").withColumn(
         "submitted_at", F.lit("2024-03-01 00:00:00").cast("timestamp") - F.make_interval(days=F.col("age"))
     )
@@ -97,8 +96,8 @@ def paper(**values):
 
 FULL = dict(
     arxiv_id="1", title="Title", abstract="Abstract", categories=["cs.LG"], authors=[("A",)],
-    submitted_at=datetime(2024, 1, 1), updated_at_api=datetime(2024, 1, 2), ss_paper_id="ss", citation_count=42,
-    max_h_index=15, total_prior_papers=30, has_code=True, hf_paper_id="1", hf_upvotes=9, hf_github_repo="r",
+    submitted_at=datetime(2024, 1, 1), updated_at_api=datetime(2024, 1, 2), ss_paper_id="ss", citation_count=17,
+    max_h_index=4, total_prior_papers=88, has_code=True, hf_paper_id="1", hf_upvotes=9, hf_github_repo="r",
     github_stars_t60=120, hype_label=True, enriched_at=datetime(2024, 1, 3),
 )
 
@@ -106,7 +105,8 @@ FULL = dict(
 def upserted(spark, old, new, **options):
     stored = spark.createDataFrame([paper(**o) for o in old], schemas.PAPERS)
     incoming = spark.createDataFrame([paper(**n) for n in new], schemas.PAPERS)
-    made = upsert_papers(stored, incoming, F.lit("2024-02-01 00:00:00").cast("timestamp"), **options)
+    incoming = incoming.withColumn("pos", F.monotonically_increasing_id())
+    made = upsert_papers(stored, incoming, "pos", F.lit("2024-02-01 00:00:00").cast("timestamp"), **options)
     assert made.schema.simpleString() == stored.schema.simpleString()
     return {r["arxiv_id"]: r.asDict(True) for r in made.collect()}
 
@@ -119,10 +119,10 @@ def test_insert_reads_back(spark):
 
 
 def test_second_upsert_keeps_enrichment(spark):
-    again = dict(arxiv_id="1", title="Updated Title", submitted_at=datetime(2025, 1, 1), has_code=False,
+    again = dict(arxiv_id="1", title="Renamed", submitted_at=datetime(2025, 1, 1), has_code=False,
                  hf_paper_id="", ss_paper_id="", github_stars_t60=5)
     row = upserted(spark, [FULL | {"ingested_at": datetime(2023, 1, 1)}], [again])["1"]
-    assert (row["title"], row["abstract"], row["categories"]) == ("Updated Title", None, None)
+    assert (row["title"], row["abstract"], row["categories"]) == ("Renamed", None, None)
     for kept in ("ss_paper_id", "citation_count", "max_h_index", "hf_paper_id", "hype_label", "enriched_at", "submitted_at"):
         assert row[kept] == FULL[kept]
     assert row["has_code"] is False and row["github_stars_t60"] == 120
@@ -140,26 +140,37 @@ def test_upsert_twice_changes_nothing(spark):
     incoming = spark.createDataFrame(
         [paper(arxiv_id="1", title="New", hype_label=False), paper(arxiv_id="2", title="Two")], schemas.PAPERS
     )
+    incoming = incoming.withColumn("pos", F.lit(0))
     now = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    once = upsert_papers(stored, incoming, now)
-    twice = upsert_papers(once, incoming, now)
+    once = upsert_papers(stored, incoming, "pos", now)
+    twice = upsert_papers(once, incoming, "pos", now)
     assert once.count() == 2 and once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
 
 
+def test_rows_of_a_key_are_applied_in_order(spark):
+    new = [dict(arxiv_id="1", title="First", hf_upvotes=1, github_stars_t60=5), dict(arxiv_id="1", title="Last", github_stars_t60=6),
+           dict(arxiv_id="2", title="Two", hf_upvotes=3), dict(arxiv_id="2", abstract="a", hf_upvotes=4)]
+    found = upserted(spark, [dict(arxiv_id="1", title="Old", citation_count=9)], new)
+    assert set(found) == {"1", "2"}
+    assert [found["1"][c] for c in ("title", "hf_upvotes", "github_stars_t60", "citation_count")] == ["Last", 1, 5, 9]
+    assert [found["2"][c] for c in ("title", "abstract", "hf_upvotes")] == [None, "a", 4]
+
+
 def test_updates_by_key(spark):
     rows = spark.createDataFrame([paper(**FULL), paper(**FULL | {"arxiv_id": "2"})], schemas.PAPERS)
-    gone = spark.createDataFrame([("1", "checked_none", None, None, False, None), ("9", "9", 1, "r", True, True)],
-                                 "arxiv_id string, hf_paper_id string, hf_upvotes int, hf_github_repo string, has_code boolean, hype_label boolean")
-    found = {r["arxiv_id"]: r for r in update_lookup_fields(rows, gone).collect()}
-    assert set(found) == {"1", "2"}
+    gone = spark.createDataFrame([("1", "z", 4, "r", True, True, 0), ("1", "checked_none", None, None, False, None, 1), ("9", "9", 1, "r", True, True, 0)],
+                                 "arxiv_id string, hf_paper_id string, hf_upvotes int, hf_github_repo string, has_code boolean, hype_label boolean, pos int")
+    updated = update_lookup_fields(rows, gone, "pos")
+    found = {r["arxiv_id"]: r for r in updated.collect()}
+    assert set(found) == {"1", "2"} and updated.count() == 2
     assert (found["1"]["hf_paper_id"], found["1"]["hf_upvotes"], found["1"]["hype_label"]) == ("checked_none", None, None)
     assert found["2"]["hf_upvotes"] == 9 and found["1"]["github_stars_t60"] == 120
 
-    stars = spark.createDataFrame([("2", 3, False)], "arxiv_id string, github_stars_t60 int, hype_label boolean")
-    found = {r["arxiv_id"]: (r["github_stars_t60"], r["hype_label"]) for r in update_labels(rows, stars).collect()}
-    assert found == {"1": (120, True), "2": (3, False)}
+    stars = spark.createDataFrame([("2", 3, False, 9), ("2", 300, True, 8)], "arxiv_id string, github_stars_t60 int, hype_label boolean, pos int")
+    found = [(r["arxiv_id"], r["github_stars_t60"], r["hype_label"]) for r in update_labels(rows, stars, "pos").collect()]
+    assert sorted(found) == [("1", 120, True), ("2", 3, False)]
 
-    added = backfill_columns(rows.select("arxiv_id"), stars.select("arxiv_id", "github_stars_t60"))
+    added = backfill_columns(rows.select("arxiv_id"), stars.select("arxiv_id", "github_stars_t60", "pos"), "pos")
     assert sorted(map(tuple, added.collect())) == [("1", None), ("2", 3)]
 
 

@@ -9,8 +9,8 @@ from paperlens.functions import features as ops
 SCHEMA = """authors array<struct<name: string>>, abstract string, title string,
     categories array<string>, submitted_at string, hype_label int"""
 ROW = {
-    "authors": [("Alice",), ("Bob",)], "abstract": "This is a test abstract.", "title": "Test Paper",
-    "categories": ["cs.LG", "cs.AI"], "submitted_at": "2024-01-08T12:00:00Z", "hype_label": 1,
+    "authors": [("M. Okoro",)], "abstract": "Trees, maps and what lies between.", "title": "Maps of trees",
+    "categories": ["cs.DS"], "submitted_at": "2019-07-02T06:30:00Z", "hype_label": 0,
 }
 
 
@@ -26,14 +26,14 @@ def test_columns_are_the_contract(spark):
     assert None not in built(spark).values()
 
 
-@pytest.mark.parametrize("authors, n", [([("a",), ("b",), ("c",)], 3), (None, 0), ([], 0)])
+@pytest.mark.parametrize("authors, n", [([("a",), ("b",), ("c",), ("a",)], 4), (None, 0), ([], 0)])
 def test_author_count(spark, authors, n):
     assert built(spark, authors=authors)["num_authors"] == n
 
 
 def test_lengths(spark):
-    row = built(spark, abstract="hello", title="Hi")
-    assert (row["abstract_length"], row["title_length"]) == (5, 2)
+    row = built(spark, abstract="né en été", title=" x ")
+    assert (row["abstract_length"], row["title_length"]) == (9, 3)
     row = built(spark, abstract=None, title=None)
     assert (row["abstract_length"], row["title_length"]) == (0, 0)
 
@@ -54,10 +54,10 @@ def test_category_flags(spark, categories, flags):
 
 
 @pytest.mark.parametrize("title, hits", [
-    ("A Transformer for Vision", {"buzz_transformer", "buzz_vision"}),
-    ("DIFFUSION Models Are Great", {"buzz_diffusion"}),
-    ("Dense retrieval", {"buzz_eval"}),
-    ("A plain title", set()),
+    ("TransFormers see: revisions of computer-vision", {"buzz_transformer", "buzz_vision"}),
+    ("heat diffusion", {"buzz_diffusion"}),
+    ("Medieval roads", {"buzz_eval"}),
+    ("Maps of trees", set()),
     (None, set()),
 ])
 def test_buzzwords(spark, title, hits):
@@ -66,8 +66,8 @@ def test_buzzwords(spark, title, hits):
 
 
 @pytest.mark.parametrize("ts, weekday, month", [
-    ("2024-01-08T12:00:00Z", 0, 1), ("2024-01-12T00:00:00Z", 4, 1), ("2024-01-14T10:00:00Z", 6, 1),
-    ("2024-03-15T12:00:00Z", 4, 3), ("2024-01-08T23:30:00-05:00", 1, 1), ("soon", None, None),
+    ("2019-07-02T06:30:00Z", 1, 7), ("2020-02-29T00:00:00Z", 5, 2), ("2018-12-31T23:59:59Z", 0, 12),
+    ("1999-01-03T12:00:00Z", 6, 1), ("2018-12-31T23:30:00-05:00", 1, 1), ("soon", None, None),
     (None, None, None),
 ])
 def test_calendar(spark, ts, weekday, month):

@@ -4,11 +4,12 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from paperlens import schemas
+from paperlens.constants import INGEST_PRIORITY
 from paperlens.operators.joins import hydrate_from_daily
 from paperlens.sources.snapshots import PaperTable
 from paperlens.streaming import jobs
 from test_enrich_merge import FULL, paper
-from test_sources import FEED
+from test_sources import FEED, entry
 
 
 def land(path, name, rows):
@@ -20,7 +21,7 @@ def table(spark, tmp_path):
     held = PaperTable(spark, str(tmp_path / "papers"))
     rows = [paper(**FULL), paper(**FULL | {"arxiv_id": "2", "submitted_at": datetime(2024, 3, 5)}),
             paper(**FULL | {"arxiv_id": "3", "submitted_at": datetime(2024, 6, 5)})]
-    held.commit(spark.createDataFrame(rows, schemas.PAPERS))
+    held.replace_months(spark.createDataFrame(rows, schemas.PAPERS))
     return held
 
 
@@ -28,68 +29,78 @@ def current(held):
     return {r["arxiv_id"]: r for r in held.read().collect()}
 
 
+def files_of(held):
+    return {f.split("submitted_month=")[1] for f in held.read().inputFiles()}
+
+
 def test_table_rewrites_only_touched_months(spark, tmp_path):
     held = table(spark, tmp_path)
-    assert held.months() == {"2024-01": 1, "2024-03": 1, "2024-06": 1}
+    before = files_of(held)
     march = held.read(["2024-03"]).drop("submitted_month")
-    held.commit(march.withColumn("title", F.lit("changed")))
-    assert held.months() == {"2024-01": 1, "2024-03": 2, "2024-06": 1}
+    held.replace_months(march.withColumn("title", F.lit("changed")))
+    assert {f[:7] for f in before - files_of(held)} == {"2024-03"} == {f[:7] for f in files_of(held) - before}
     assert {k: r["title"] for k, r in current(held).items()} == {"1": "Title", "2": "changed", "3": "Title"}
     keys = spark.createDataFrame([("2",), ("9",)], "arxiv_id string")
     assert held.touched_months(keys) == ["2024-03"]
 
 
-def test_unfinished_write_is_invisible(spark, tmp_path):
-    held = table(spark, tmp_path)
-    before = current(held)
-    # A write that died before its log rows landed.
-    held.read().withColumn("title", F.lit("lost")).write.partitionBy("submitted_month").parquet(
-        f"{held.path}/data/commit=2"
-    )
-    assert current(held) == before
-    held.commit(held.read(["2024-06"]).drop("submitted_month").withColumn("title", F.lit("kept")))
-    assert current(held)["3"]["title"] == "kept" and current(held)["1"]["title"] == "Title"
+def test_no_table_yet(spark, tmp_path):
+    held = PaperTable(spark, str(tmp_path / "none"))
+    assert held.read().count() == 0 and held.touched_months(spark.createDataFrame([("1",)], "arxiv_id string")) == []
+
+
+def feed_of(*entries):
+    return FEED.format(entries="\n".join(entries))
 
 
 def test_feed_files_arrive_in_two_rounds(spark, tmp_path):
     held, feed, checkpoint = PaperTable(spark, str(tmp_path / "papers")), tmp_path / "feed", str(tmp_path / "cp")
     feed.mkdir()
-    (feed / "one.xml").write_text(FEED.replace("{second}", "http://arxiv.org/abs/2401.11111v1"))
-    daily = spark.createDataFrame([("2401.12345", 8, "https://github.com/o/r")], "arxiv_id string, upvotes int, github_repo string")
+    (feed / "one.xml").write_text(feed_of(entry("1907.00042v1", "2019-07-02"), entry("1906.00001v1", "2019-06-30")))
+    daily = spark.createDataFrame([("1907.00042", 1, "", 0), ("1907.00042", 8, "https://code.test/a", 1)],
+                                  "arxiv_id string, upvotes int, github_repo string, pos int")
 
     def enrich(papers):
         empty = {c: F.lit(None).cast(t) for c, t in [("hf_paper_id", "string"), ("hf_upvotes", "int"), ("hf_github_repo", "string"), ("hype_label", "boolean")]}
         return hydrate_from_daily(papers.withColumns(empty).withColumn("has_code", F.lit(False)), daily)
 
-    jobs.ingest_feed(spark, str(feed), held, checkpoint, enrich).awaitTermination()
+    jobs.ingest_feed(spark, str(feed), held, checkpoint, enrich, as_of="2019-07-03 00:00:00").awaitTermination()
     rows = current(held)
-    assert set(rows) == {"2401.12345", "2401.11111"}
-    assert (rows["2401.12345"]["hf_upvotes"], rows["2401.12345"]["hype_label"]) == (8, True)
-    assert rows["2401.11111"]["hf_paper_id"] is None and rows["2401.11111"]["ingested_at"] is not None
+    assert set(rows) == {"1907.00042", "1906.00001"}
+    assert (rows["1907.00042"]["hf_upvotes"], rows["1907.00042"]["hype_label"]) == (8, True)
+    assert rows["1906.00001"]["hf_paper_id"] is None and rows["1906.00001"]["ingested_at"] == datetime(2019, 7, 3)
 
-    (feed / "two.xml").write_text(
-        FEED.replace("{second}", "http://arxiv.org/abs/2402.00009v1").replace("A Survey of Something", "Second Version")
-    )
+    (feed / "two.xml").write_text(feed_of(entry("1907.00042v2", "2019-07-02", title="Second version"), entry("1908.7v1", "2019-08-01")))
     jobs.ingest_feed(spark, str(feed), held, checkpoint).awaitTermination()
     rows = current(held)
-    assert set(rows) == {"2401.12345", "2401.11111", "2402.00009"}
-    assert rows["2401.12345"]["title"] == "Second Version" and rows["2401.12345"]["hf_upvotes"] == 8
-    commits = held.last_commit()
-    jobs.ingest_feed(spark, str(feed), held, checkpoint).awaitTermination()
-    assert held.last_commit() == commits
+    assert set(rows) == {"1907.00042", "1906.00001", "1908.7"}
+    assert rows["1907.00042"]["title"] == "Second version" and rows["1907.00042"]["hf_upvotes"] == 8
+    # Nothing new has landed; then the checkpoint is lost and everything comes again.
+    for again in (checkpoint, str(tmp_path / "cp2")):
+        jobs.ingest_feed(spark, str(feed), held, again).awaitTermination()
+        assert {k: (r["title"], r["ingested_at"]) for k, r in current(held).items()} == {k: (r["title"], r["ingested_at"]) for k, r in rows.items()}
+
+
+def test_first_category_in_fetch_order_counts(spark, tmp_path):
+    held, feed = PaperTable(spark, str(tmp_path / "papers")), tmp_path / "feed"
+    for place, category in enumerate(reversed(INGEST_PRIORITY)):
+        (feed / category).mkdir(parents=True)
+        (feed / category / "page.xml").write_text(feed_of(entry("1907.00042v1", "2019-07-02", title=f"From {category}", terms=(category,))))
+    jobs.ingest_feed(spark, str(feed) + "/*", held, str(tmp_path / "cp")).awaitTermination()
+    assert current(held)["1907.00042"]["title"] == f"From {INGEST_PRIORITY[0]}"
 
 
-def test_replayed_batch_is_recognised(spark, tmp_path):
+def test_replayed_batch_changes_nothing(spark, tmp_path):
     held, landed = table(spark, tmp_path), tmp_path / "landed"
     land(landed, "a.json", [{"arxiv_id": "1", "status": 200, "body": {"stargazers_count": 7}}])
 
     def run(checkpoint):
         jobs.label_stream(jobs.stream_json(spark, str(landed), schemas.REPO_LOOKUP), held, str(tmp_path / checkpoint)).awaitTermination()
+        return sorted(map(repr, held.read().collect()))
 
-    run("cp1")
-    assert held.last_commit() == 2 and current(held)["1"]["github_stars_t60"] == 7
-    run("cp2")  # the checkpoint is lost: batch 0 comes again
-    assert held.last_commit() == 2
+    once = run("cp1")
+    assert current(held)["1"]["github_stars_t60"] == 7
+    assert run("cp2") == once  # the checkpoint is lost: batch 0 comes again
 
 
 def test_lookups_and_labels(spark, tmp_path):
@@ -117,7 +128,8 @@ def test_stream_dedup_over_two_runs(spark, tmp_path):
     schema = "arxiv_id string, submitted_at timestamp"
 
     def run():
-        once = jobs.stream_dedup(jobs.stream_json(spark, str(landed), schema))
+        arriving = jobs.stream_json(spark, str(landed), schema).withColumn("landed_at", F.col("_metadata.file_modification_time"))
+        once = jobs.stream_dedup(arriving)
         once.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
         return sorted(r["arxiv_id"] for r in spark.read.schema(schema).parquet(out).collect())
 
@@ -125,3 +137,6 @@ def test_stream_dedup_over_two_runs(spark, tmp_path):
     assert run() == ["1"]
     land(landed, "b.json", [{"arxiv_id": "1", "submitted_at": "2024-01-02T00:00:00Z"}, {"arxiv_id": "2", "submitted_at": "2024-01-02T00:00:00Z"}])
     assert run() == ["1", "2"]
+    # A paper much older than all before.
+    land(landed, "c.json", [{"arxiv_id": "0", "submitted_at": "2001-01-01T00:00:00Z"}, {"arxiv_id": "2", "submitted_at": "2024-01-02T00:00:00Z"}])
+    assert run() == ["0", "1", "2"]

@@ -9,11 +9,12 @@ from paperlens.operators.trees import TreeModel, read_tree_model, tree_score
 
 LEAF = {
     "left_children": [-1], "right_children": [-1], "split_indices": [0], "split_conditions": [0.0],
-    "base_weights": [0.5],
+    "base_weights": [-0.375],
 }
+# A root on the first feature at -2, and on its right side a second split at 11.
 SPLIT = {
-    "left_children": [1, -1, -1], "right_children": [2, -1, -1], "split_indices": [0, 0, 0],
-    "split_conditions": [5.0, 0.0, 0.0], "base_weights": [0.0, 0.1, 0.9],
+    "left_children": [1, -1, 3, -1, -1], "right_children": [2, -1, 4, -1, -1], "split_indices": [0, 0, 0, 0, 0],
+    "split_conditions": [-2.0, 0.0, 11.0, 0.0, 0.0], "base_weights": [0.0, 1.25, 0.0, -0.7, 0.05],
 }
 
 
@@ -28,8 +29,8 @@ def score(spark, model, value, native):
 
 @pytest.mark.parametrize("native", [True, False])
 @pytest.mark.parametrize("tree, value, weight", [
-    (LEAF, 1.0, 0.5), (SPLIT, 3.0, 0.1), (SPLIT, 7.0, 0.9), (SPLIT, 5.0, 0.9), (SPLIT, None, 0.9),
-    (SPLIT, float("nan"), 0.9), (SPLIT | {"split_indices": [9, 0, 0]}, 3.0, 0.9),
+    (LEAF, 1.0, -0.375), (SPLIT, -2.5, 1.25), (SPLIT, -2.0, -0.7), (SPLIT, 10.9, -0.7), (SPLIT, 11.0, 0.05), (SPLIT, None, 0.05),
+    (SPLIT, float("nan"), 0.05), (SPLIT | {"split_indices": [9, 0, 0, 0, 0]}, -9.0, -0.7),
 ])
 def test_walk(spark, native, tree, value, weight):
     found = score(spark, TreeModel([tree]), value, native)
@@ -37,8 +38,8 @@ def test_walk(spark, native, tree, value, weight):
 
 
 def test_empty_ensemble(spark):
-    assert score(spark, TreeModel([]), 1.0, None) == 0.5
-    assert score(spark, TreeModel([], base_score=0.3), 1.0, None) == pytest.approx(0.3)
+    assert score(spark, TreeModel([]), 1.0, False) == 0.5
+    assert score(spark, TreeModel([], base_score=0.3), 1.0, False) == pytest.approx(0.3)
 
 
 def random_tree(rng, features, depth):
@@ -94,7 +95,7 @@ def test_read(spark, tmp_path, base):
     write_model(tmp_path, base)
     model = read_tree_model(spark, str(tmp_path))
     assert (model.base_score, model.threshold, model.feature_cols, model.version) == (0.3, 0.8837, ["a", "b"], "6")
-    assert margin(score(spark, model, 3.0, None)) == pytest.approx(margin(0.3) + float(np.float32(0.1)))
+    assert margin(score(spark, model, -3.0, False)) == pytest.approx(margin(0.3) + float(np.float32(1.25)))
 
 
 @pytest.mark.parametrize("base", ["", "[]"])
