@@ -35,6 +35,7 @@ def load_all() -> None:
         feed,
         files,
         filters,
+        flows,
         joins,
         merges,
         scalars,

@@ -57,7 +57,7 @@ def dump(spark, sf):
     )
 
 
-@check(f"""
+CURATED = f"""
 WITH {LINKED},
 a AS (SELECT cast(doc_id AS VARCHAR) AS arxiv_id, trim(string_split(text, chr(10))[1]) AS title,
     trim(text) AS abstract, CASE doc_id % 3 WHEN 0 THEN 'cs.LG|stat.ML' WHEN 1 THEN 'math.ST'
@@ -71,9 +71,10 @@ SELECT a.arxiv_id, title, abstract, categories, strftime(ts, '%Y-%m-%d %H:%M:%S'
   one.arxiv_id IS NOT NULL AS has_code, hf_github_repo, one.arxiv_id IS NOT NULL AS hype_label
 FROM a LEFT JOIN one ON a.arxiv_id = one.arxiv_id WHERE ts >= TIMESTAMP '2024-01-01 00:00:00'
   AND categories <> 'math.ST'
-""")
-def curate(spark, sf):
-    made = curate_plan(dump(spark, sf), links(spark, sf))
+"""
+
+
+def curated_view(made):
     return made.withColumns({
         "categories": F.array_join("categories", "|"),
         "authors": F.array_join("authors.name", "|"),
@@ -83,6 +84,11 @@ def curate(spark, sf):
     )
 
 
+@check(CURATED)
+def curate(spark, sf):
+    return curated_view(curate_plan(dump(spark, sf), links(spark, sf)))
+
+
 def paper_batches(spark, sf):
     """Orders in batches of 100, parallel to their ids; every seventh paper is unknown."""
     lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(

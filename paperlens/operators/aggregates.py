@@ -128,13 +128,20 @@ def mean_score(scored: DataFrame, score: str = "hype_score") -> DataFrame:
 def ingest_counts(papers: DataFrame) -> DataFrame:
     """Rows per category, and the number of distinct papers as category ``total``.
 
-    Two-step distinct count: ids are made unique by a shuffle on the id, never in one task.
+    One scan: every paper gives a row for each category, and one with its id and no category. Ids are
+    made unique by a shuffle on the id, never in one task.
     """
-    per_category = papers.select(F.explode("categories").alias("category")).groupBy(
-        "category"
-    ).agg(F.count("*").alias("papers"))
-    unique = papers.select("arxiv_id").distinct().agg(F.count("*").alias("papers"))
-    return per_category.unionByName(unique.withColumn("category", F.lit("total")))
+    entry = F.struct(F.lit(False).alias("whole"), F.lit(None).cast("string").alias("category"))
+    listed = F.transform(
+        F.coalesce("categories", F.array().cast("array<string>")),
+        lambda c: F.struct(F.lit(False).alias("whole"), c.alias("category")),
+    )
+    rows = papers.select("arxiv_id", F.explode(F.concat(listed, F.array(entry.withField("whole", F.lit(True))))).alias("e"))
+    rows = rows.select("e.*", F.when(F.col("e.whole"), F.col("arxiv_id")).alias("id"))
+    counts = rows.groupBy("whole", "category", "id").agg(F.count("*").alias("rows"))
+    return counts.groupBy("whole", "category").agg(
+        F.sum(F.when(F.col("whole"), 1).otherwise(F.col("rows"))).alias("papers")
+    ).select(F.when(F.col("whole"), "total").otherwise(F.col("category")).alias("category"), "papers")
 
 
 def null_report(df: DataFrame, columns: list[str]) -> DataFrame:

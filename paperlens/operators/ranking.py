@@ -73,7 +73,8 @@ def topk_per_time(series: DataFrame, k: int = 8, ts: str = "ts", feature: str =
 
 
 def head_pending(pending: DataFrame, n: int, key: str = "arxiv_id") -> DataFrame:
-    return pending.orderBy(key).limit(n).coalesce(1)
+    """The first ``n`` rows by key: a page of a request queue, which its limit keeps small."""
+    return pending.orderBy(key).limit(n)
 
 
 def chunk_requests(ids: DataFrame, size: int, key: str = "arxiv_id") -> DataFrame:
