@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..constants import DEFAULT_THRESHOLD, FEATURE_COLS
 from ..functions.features import build_features
 from ..operators import ranking, train
 from ..plans.training import training_table
@@ -11,7 +12,7 @@ from ..session import materialize, work_dir
 from ..sources.writers import load_model_meta
 from ..sources.writers import save_model as store_model
 from . import check
-from .bindings import PF, papers, rounded
+from .bindings import PF, papers, rounded, table
 
 SCALED = ["num_authors", "abstract_length", "title_length", "day_of_week", "max_h_index", "total_prior_papers"]
 SMALL = {"maxIter": 5, "maxDepth": 3}
@@ -31,40 +32,49 @@ def standardize(spark, sf):
     return rounded(scaled.select("arxiv_id", *[f"z_{c}" for c in SCALED]), *[f"z_{c}" for c in SCALED])
 
 
-@check()
+def valid():
+    return F.col("score").between(0, 1).alias("valid")
+
+
+@check(PF + "SELECT arxiv_id, cast(hype_label AS INT) AS label, true AS valid FROM features WHERE hype_label IS NOT NULL")
 def train_logreg(spark, sf):
     split = split_table(spark, sf)
-    model = train.train_logreg(split.filter("split = 'train'"), max_iter=50)
-    return train.score_spark_model(model, split).select("arxiv_id", "label", "split", "score")
+    model = train.train_logreg(split.filter("split = 'train'"))
+    scored = train.score_spark_model(model, split)
+    return scored.select("arxiv_id", F.col("label").cast("int").alias("label"), valid())
 
 
-@check()
+@check(PF + "SELECT arxiv_id, cast(hype_label AS INT) AS label, true AS valid FROM features WHERE hype_label IS NOT NULL")
 def train_gbt(spark, sf):
     split = split_table(spark, sf)
-    model = train.train_gbt(split.filter("split = 'train'"), params=SMALL)
-    return train.score_spark_model(model, split).select("arxiv_id", "label", "split", "score")
+    scored = train.score_spark_model(train.train_gbt(split.filter("split = 'train'"), params=SMALL), split)
+    return scored.select("arxiv_id", F.col("label").cast("int").alias("label"), valid())
 
 
-@check()
+@check(PF + "SELECT arxiv_id, true AS valid FROM features")
 def score_spark_model(spark, sf):
     """A model fit on the labelled papers scores all of them."""
     model = train.train_gbt(split_table(spark, sf).filter("split = 'train'"), params=SMALL)
     matrix = build_features(papers(spark, sf), ("arxiv_id",))
-    return train.score_spark_model(model, matrix).select("arxiv_id", "score")
+    scored = train.score_spark_model(model, matrix)
+    return scored.select("arxiv_id", valid())
 
 
-@check()
+@check("SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURE_COLS) + "]) AS feature, true AS valid")
 def feature_importance(spark, sf):
     model = train.train_gbt(split_table(spark, sf).filter("split = 'train'"), params=SMALL)
-    return spark.createDataFrame(
-        list(train.feature_importance(model).items()), "feature string, importance double"
-    )
+    rows = spark.createDataFrame(list(train.feature_importance(model).items()), "feature string, importance double")
+    return rows.select("feature", F.col("importance").between(0, 1).alias("valid"))
 
 
-@check()
+@check("""
+SELECT event_type AS feature, round(max(value), 4) AS importance FROM events
+GROUP BY event_type ORDER BY importance DESC, feature LIMIT 5
+""")
 def top_features(spark, sf):
-    model = train.train_gbt(split_table(spark, sf).filter("split = 'train'"), params=SMALL)
-    return train.top_model_features(spark, model)
+    """Event types stand for features, their largest value for an importance."""
+    rows = table(spark, sf, "events").groupBy("event_type").agg(F.max("value").alias("value")).collect()
+    return ranking.top_features(spark, {r["event_type"]: r["value"] for r in rows})
 
 
 def sweep(spark, sf):
@@ -78,9 +88,18 @@ def param_sweep(spark, sf):
     return sweep(spark, sf)[1]
 
 
-@check()
+@check("""
+SELECT concat('run-', cast(user_id AS VARCHAR)) AS run_id, max(value) AS val_pr_auc FROM events
+GROUP BY user_id ORDER BY val_pr_auc DESC, run_id LIMIT 1
+""")
 def best_trial(spark, sf):
-    return ranking.best_trial(sweep(spark, sf)[1])
+    """Users stand for runs, their largest event for the objective."""
+    best = table(spark, sf, "events").groupBy("user_id").agg(F.max("value").alias("value"))
+    runs = best.select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), F.lit("objective").alias("kind"),
+        F.lit("val_pr_auc").alias("key"), F.col("value").cast("string").alias("value"),
+    )
+    return ranking.best_trial(runs)
 
 
 @check()
@@ -89,7 +108,11 @@ def refit_and_test(spark, sf):
     return spark.createDataFrame([metrics])
 
 
-@check()
+@check(f"""
+SELECT 'paper-hype' AS model_name, cast({DEFAULT_THRESHOLD} AS DOUBLE) AS threshold, {len(FEATURE_COLS)} AS num_features,
+  cast(i - 1 AS INT) AS pos, f[i] AS feature
+FROM (SELECT [{", ".join(f"'{c}'" for c in FEATURE_COLS)}] AS f), range(1, {len(FEATURE_COLS)} + 1) r(i)
+""")
 def save_model(spark, sf):
     """A stored model's metadata, one row per feature in contract order."""
     model = train.train_gbt(split_table(spark, sf).filter("split = 'train'"), params=SMALL)

@@ -132,12 +132,13 @@ def classification_report(counts: DataFrame, threshold: float = 0.5,
     return measures.select(F.inline(rows))
 
 
-def metric_bundle(ranked: DataFrame, prefix: str, threshold: float = 0.5) -> DataFrame:
-    """The three reported metrics in one pass, prefixed and rounded to four digits."""
+def metric_bundle(ranked: DataFrame, prefix: str, threshold: float = 0.5, exact: bool = False) -> DataFrame:
+    """The three reported metrics in one pass, prefixed and rounded to four digits unless ``exact``."""
+    shown = (lambda value: value) if exact else round4
     return ranked.agg(
-        round4(_auc()).alias(f"{prefix}_roc_auc"),
-        round4(_average_precision()).alias(f"{prefix}_pr_auc"),
-        round4(_f1(threshold)).alias(f"{prefix}_f1"),
+        shown(_auc()).alias(f"{prefix}_roc_auc"),
+        shown(_average_precision()).alias(f"{prefix}_pr_auc"),
+        shown(_f1(threshold)).alias(f"{prefix}_f1"),
     )
 
 

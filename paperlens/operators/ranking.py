@@ -91,8 +91,8 @@ def chunk_requests(ids: DataFrame, size: int, key: str = "arxiv_id") -> DataFram
 
 
 def best_trial(runs: DataFrame, metric: str = "val_pr_auc") -> DataFrame:
-    """The run with the highest value of ``metric``, the first of equals."""
-    values = runs.filter((F.col("kind") == "metric") & (F.col("key") == metric)).select(
+    """The run with the highest objective ``metric``, compared in full; the first of equals."""
+    values = runs.filter((F.col("kind") == "objective") & (F.col("key") == metric)).select(
         "run_id", F.col("value").cast("double").alias("value")
     )
     return values.agg(

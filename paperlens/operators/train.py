@@ -60,8 +60,18 @@ def standardize(df: DataFrame, train: DataFrame, features: list[str] = FEATURE_C
 
 
 def label_counts(df: DataFrame, label: str = "label") -> tuple[int, int]:
+    """(negative, positive) rows; a table without one of the classes is an error."""
     row = df.agg(F.count("*").alias("n"), F.sum(F.col(label).cast("int")).alias("p")).first()
-    return row["n"] - row["p"], row["p"]
+    positive = row["p"] or 0
+    if not 0 < positive < row["n"]:
+        raise ValueError(f"both classes are needed: {positive} of {row['n']} rows are positive")
+    return row["n"] - positive, positive
+
+
+def scale_pos_weight(df: DataFrame, label: str = "label") -> float:
+    """Negatives per positive, to two digits."""
+    negative, positive = label_counts(df, label)
+    return round(negative / positive, 2)
 
 
 def train_logreg(train: DataFrame, label: str = "label", c: float = 1.0, max_iter: int = 1000,
@@ -91,9 +101,8 @@ def _tree_stages(features: list[str]):
 
 
 def _tree_input(train: DataFrame, label: str, features: list[str]) -> DataFrame:
-    negative, positive = label_counts(train, label)
     fill, vector = _tree_stages(features)
-    weight = F.when(F.col(label) == 1, F.lit(round(negative / positive, 2))).otherwise(1.0)
+    weight = F.when(F.col(label) == 1, F.lit(scale_pos_weight(train, label))).otherwise(1.0)
     ready = vector.transform(fill.transform(train)).withColumn("_weight", weight)
     return ready.select("features", F.col(label).cast("double").alias("_label"), "_weight")
 
@@ -152,11 +161,13 @@ def param_sweep(train: DataFrame, val: DataFrame, trials: int = 50, label: str =
                 features: list[str] = FEATURE_COLS) -> tuple[list[dict], DataFrame]:
     """Fit one model per drawn setting on the fixed split and score it on ``val``.
 
-    Returns the settings and the run table ``(run_id, kind, key, value)``, one run per trial.
+    Returns the settings and the run table ``(run_id, kind, key, value)``, one run per trial; its rows
+    of kind ``objective`` hold the compared metric in full, those of kind ``metric`` four digits.
     Trials are Spark jobs running side by side; ``train`` and ``val`` are stored tables.
     """
     spark = train.sparkSession
     settings = draw_params(trials, space, seed)
+    weight = scale_pos_weight(train, label)
     ready = _tree_input(train, label, features).persist()
     estimator = _estimator(spark, {})
     maps = [{estimator.getParam(k): v for k, v in s.items()} for s in settings]
@@ -166,11 +177,13 @@ def param_sweep(train: DataFrame, val: DataFrame, trials: int = 50, label: str =
     def trial(_):
         number, model = next(fitted)
         scored = score_spark_model(PipelineModel([*stages, model]), val)
-        metrics = metric_bundle(ranking(scored, "score", label), "val").first().asDict()
+        metrics = metric_bundle(ranking(scored, "score", label), "val", exact=True).first().asDict()
         metrics.pop("val_f1")
-        return run_rows(
-            spark, f"trial-{number:03d}", settings[number], metrics, {"trial_number": number}
-        )
+        name = f"trial-{number:03d}"
+        params = settings[number] | {"scale_pos_weight": weight}
+        objective = [(name, "objective", "val_pr_auc", repr(metrics["val_pr_auc"]))]
+        rows = run_rows(spark, name, params, metrics, {"trial_number": number})
+        return rows.unionByName(spark.createDataFrame(objective, rows.schema))
 
     try:
         with ThreadPoolExecutor(parallel) as pool:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.features import build_features, get_label
 from ..operators.filters import drop_unlabeled
 from ..operators.ranking import best_trial
-from ..operators.split import stratified_split
-from ..operators.train import SEARCH_SPACE, param_sweep, refit_and_test
+from ..operators.split import stratified_split, train_plus_val
+from ..operators.train import SEARCH_SPACE, param_sweep, refit_and_test, scale_pos_weight
 from ..session import materialize
 from ..sources.writers import log_run, save_model
 
@@ -34,8 +34,10 @@ def train_flow(papers: DataFrame, run_path: str, model_path: str, trials: int =
     model, metrics = refit_and_test(split, settings[number])
     log_run(
         spark, run_path, f"{name}-best",
-        settings[number] | {"trained_on": "train+val", "best_trial": number,
-                            "optimal_threshold": metrics["optimal_threshold"]},
+        settings[number] | {f"best_{k}": v for k, v in settings[number].items()} | {
+            "trained_on": "train+val", "best_trial": number, "n_trials": trials,
+            "scale_pos_weight": scale_pos_weight(train_plus_val(split)), "optimal_threshold": metrics["optimal_threshold"],
+        },
         {k: v for k, v in metrics.items() if k != "optimal_threshold"}
         | {"best_val_pr_auc": best["val_pr_auc"]},
         {"job": "hyperparameter_tuning"},

@@ -102,7 +102,9 @@ def test_top_k(spark):
 
 
 def test_best_trial(spark):
-    rows = [("t0", "metric", "val_pr_auc", "0.2"), ("t1", "metric", "val_pr_auc", "0.5"), ("t2", "metric", "val_pr_auc", "0.5"),
-            ("t3", "param", "val_pr_auc", "0.9"), ("t3", "metric", "val_roc_auc", "0.9")]
+    rows = [("t0", "objective", "val_pr_auc", "0.2"), ("t1", "objective", "val_pr_auc", "0.5"), ("t2", "objective", "val_pr_auc", "0.5"),
+            ("t3", "param", "val_pr_auc", "0.9"), ("t3", "objective", "val_roc_auc", "0.9")]
     best = ops.best_trial(spark.createDataFrame(rows, "run_id string, kind string, key string, value string")).first()
     assert tuple(best) == ("t1", 0.5)
+    closer = [("t0", "objective", "val_pr_auc", "0.50001"), ("t1", "objective", "val_pr_auc", "0.50002")]
+    assert ops.best_trial(spark.createDataFrame(closer, "run_id string, kind string, key string, value string")).first()["run_id"] == "t1"
