@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows of whole texts go to Python in batches of some megabytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
