@@ -10,31 +10,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from paperlens.llm import byte_bpe, ngram_join, pfair_mix, quality_fm, secret_ledger
-from paperlens.session import materialize, prepare_local, work_dir
+from paperlens.session import configure, materialize, prepare_local, work_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go; it learns from the labels of those that are here."""
+    configure(spark)
     return quality_fm.keep_good(docs, quality_fm.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of each group linked by five-word shingles at a similarity of 0.8."""
+    configure(spark)
     return ngram_join.first_of_each(docs, n=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by their kind; the ledger of this run begins empty."""
+    configure(spark)
     return secret_ledger.without_secrets(docs, work_dir(spark, "ledger"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources weigh their size to the power 0.8: small ones go round again until the largest has gone once."""
+    configure(spark)
     return pfair_mix.in_mixed_order(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every placed document, with their digests."""
+    configure(spark)
     return byte_bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=True)
 
 

@@ -34,8 +34,10 @@ COUNTERS = 1 << 20
 SLICE = 1 << 16
 LEVELS = 15
 # A set joins the family of a pivot from this similarity on, in parts of a hundred.
-FAMILY = 40
+FAMILY = 50
+# Members and shingles that a group of a family holds, about.
 CELL = 512
+CELL_SHINGLES = 200_000
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
@@ -105,8 +107,8 @@ def frequency_levels(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def parity_sketch(tokens: np.ndarray) -> np.ndarray:
-    """One bit for each hash place: whether an odd number of members fall there. Four places a member, at least."""
-    size = max(64, 1 << int(4 * len(tokens) - 1).bit_length())
+    """One bit for each hash place: whether an odd number of members fall there. Two places a member, at least."""
+    size = max(64, 1 << int(2 * len(tokens) - 1).bit_length())
     return np.packbits(np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little")
 
 
@@ -145,17 +147,18 @@ def described(docs: DataFrame, n: int, percent: int, levels: np.ndarray) -> Data
 
 
 def near_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose sketches allow a similarity of ``percent`` of a hundred."""
+    """Those pairs (a, b) whose sizes and sketches allow a similarity of ``percent`` of a hundred, with the size of a."""
     sides = sets.select("node", "n", "sketch")
     joined = pairs.join(sides.toDF("a", "n_a", "s_a"), "a").join(sides.toDF("b", "n_b", "s_b"), "b")
+    joined = joined.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_a, s_a, n_b, s_b = (batch.column(k).to_pylist() for k in range(2, 6))
             keep = [(p + q) * (100 - percent) >= sketch_distance(s, t) * (100 + percent) for p, s, q, t in zip(n_a, s_a, n_b, s_b)]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(batch.columns[:3], names=["a", "b", "n_a"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(run, "a long, b long, n_a long")
 
 
 def text_tokens(text: str, n: int, levels: np.ndarray) -> np.ndarray:
@@ -190,11 +193,12 @@ def similar(percent: int) -> Column:
 def family_links(members: DataFrame, texts: DataFrame, n: int, percent: int, levels: np.ndarray) -> DataFrame:
     """Links (a, b) among the members (pivot, node) of each family and its pivot, as a forest for each cell.
 
-    A family is dealt out over groups of about CELL members, and every two groups meet in a cell of
-    their own, to which the pivot comes too.
+    A family is dealt out over groups of about CELL members or CELL_SHINGLES shingles, and every two
+    groups meet in a cell of their own, to which the pivot comes too.
     """
-    groups = members.groupBy("pivot").agg(F.ceil(F.count("*") / CELL).cast("int").alias("groups"))
-    rows = members.join(groups, "pivot").withColumn("group", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
+    parts = F.greatest(F.ceil(F.count("*") / CELL), F.ceil(F.sum("n") / CELL_SHINGLES))
+    groups = members.groupBy("pivot").agg(parts.cast("int").alias("groups"))
+    rows = members.drop("n").join(groups, "pivot").withColumn("group", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(
         "pivot", "node", F.least("group", "other").alias("i"), F.greatest("group", "other").alias("j"))
     cells = groups.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
@@ -256,11 +260,12 @@ def index_lists(sets: DataFrame) -> DataFrame:
     Entries are shuffled once. Common shingles come last in every set, so a list is long only where
     many sets have nothing rarer; it is sorted and read in one stream, without holding it in memory.
     """
-    postings = sets.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+    postings = sets.select("node", F.posexplode("prefix").alias("pos", "token"))
     in_order = Window.partitionBy("token").orderBy("node")
     lists = postings.withColumn("pivot", F.first("node").over(in_order))
     lists = lists.withColumn("_before", F.lag("node").over(in_order)).withColumn("_after", F.lead("node").over(in_order))
-    return lists.filter(F.col("_before").isNotNull() | F.col("_after").isNotNull()).drop("_before", "_after")
+    lists = lists.filter(F.col("_before").isNotNull() | F.col("_after").isNotNull()).drop("_before", "_after")
+    return lists.join(sets.select("node", "n"), "node")
 
 
 def cross_candidates(lists: DataFrame, percent: int) -> DataFrame:
@@ -302,11 +307,11 @@ def classified(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
 
     # Families by sketches alone; the answers within them are computed from whole texts.
     stars = lists.filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    families = near_enough(stars, sets, FAMILY).groupBy("a").agg(F.min("b").alias("pivot"))
-    members = materialize(families.select("pivot", F.col("a").alias("node")), "shingle-families")
+    families = near_enough(stars, sets, FAMILY).groupBy("a").agg(F.min("b").alias("pivot"), F.min("n_a").alias("n"))
+    members = materialize(families.select("pivot", F.col("a").alias("node"), "n"), "shingle-families")
     named = lists.select("token", "node", "n", "pos").join(members.select("node", "pivot"), "node", "left")
     named = named.select("token", "node", "n", "pos", F.coalesce("pivot", "node").alias("family"))
-    crossing = materialize(near_enough(cross_candidates(named, percent), sets, percent), "shingle-pairs")
+    crossing = materialize(near_enough(cross_candidates(named, percent), sets, percent).drop("n_a"), "shingle-pairs")
     remove(lists)
     remove(sets)
 

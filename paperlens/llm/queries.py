@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import work_dir
+from ..session import configure, work_dir
 from . import quality_fm, toxic_segments
 from .byte_bpe import encode_documents
 from .ngram_join import similar_documents
@@ -85,6 +85,7 @@ def query(run):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    configure(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

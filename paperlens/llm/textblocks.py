@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 # Fixed parameters of the hashes: one odd multiplier for positions, one seed for the byte table.
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

@@ -79,8 +79,8 @@ def test_segments_against_all_spans(scores):
     found = toxic_segments.segments(at, [scores[k] for k in at], 0.5)
 
     def maximal(a, b):
-        """Maximal segments of scores[a:b]: the best span, leftmost and shortest, then those on both sides."""
-        best = max(((sum(scores[i:j]), -i, i - j, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=None)
+        """Maximal segments of scores[a:b]: the best span, the shortest of equals, then those on both sides."""
+        best = max(((sum(scores[i:j]), i - j, -i, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=None)
         if best is None or best[0] <= 0:
             return []
         _, _, _, i, j = best
