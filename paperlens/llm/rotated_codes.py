@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 SEED = 31
 # Bits of a code for each number of a vector: error bounds shrink with the root of the length.
 CODE_BITS = 8
+# Rows that are packed together at most, whatever the size of the batches they come in.
+PACKED_ROWS = 16_384
 OUT = "query_id long, vec_id long, score double"
 
 
@@ -92,27 +94,38 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 def packed_blocks(rows: DataFrame, blocks: int, with_codes: bool) -> DataFrame:
     """block, ids, vectors and, if asked for, codes, lengths, own: one row of packed arrays for each part of a block.
 
-    A vector's block is a hash of its id; equal ids and hot groups of equal vectors spread over rows of
-    their own. Tasks pack what they hold, so a block is never gathered in one place before it is packed.
+    A vector's block is a hash of its id. A task packs what it holds, PACKED_ROWS rows at a time, so that
+    many vectors with one id bring more packed rows and not larger ones.
     """
     fields = "block int, dims int, ids binary, vectors binary" + ", codes binary, lengths binary, own binary" * with_codes
 
+    kinds = pa.schema([(n, pa.binary() if t == "binary" else pa.int32()) for n, t in (f.split() for f in fields.split(", "))])
+
+    def packed(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        block, ids = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+        lists = rows.column(2).combine_chunks()
+        sizes, starts = np.diff(lists.offsets.to_numpy()), lists.offsets.to_numpy()[:-1]
+        values = lists.values.to_numpy()
+        for b in np.unique(block):
+            for dims in np.unique(sizes[block == b]):
+                own_rows = np.flatnonzero((block == b) & (sizes == dims))
+                matrix = values[starts[own_rows][:, None] + np.arange(dims)]
+                out = {"block": [int(b)], "dims": [int(dims)], "ids": [ids[own_rows].astype("<i8").tobytes()], "vectors": [matrix.tobytes()]}
+                if with_codes:
+                    codes, lengths, own = encode(matrix)
+                    out |= {"codes": [codes.tobytes()], "lengths": [lengths.tobytes()], "own": [own.tobytes()]}
+                yield pa.RecordBatch.from_pydict(out, kinds)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            block = batch.column(0).to_numpy()
-            ids = batch.column(1).to_numpy()
-            lists = batch.column(2)
-            sizes = np.diff(lists.offsets.to_numpy())
-            values, starts = lists.values.to_numpy(), lists.offsets.to_numpy()[:-1]
-            for b in np.unique(block):
-                for dims in np.unique(sizes[block == b]):
-                    own_rows = np.flatnonzero((block == b) & (sizes == dims))
-                    matrix = values[starts[own_rows][:, None] + np.arange(dims)]
-                    out = {"block": [int(b)], "dims": [int(dims)], "ids": [ids[own_rows].astype("<i8").tobytes()], "vectors": [matrix.tobytes()]}
-                    if with_codes:
-                        codes, lengths, own = encode(matrix)
-                        out |= {"codes": [codes.tobytes()], "lengths": [lengths.tobytes()], "own": [own.tobytes()]}
-                    yield pa.RecordBatch.from_pydict(out, pa.schema([(n, pa.binary() if t == "binary" else pa.int32()) for n, t in (f.split() for f in fields.split(", "))]))
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= PACKED_ROWS:
+                yield from packed(held)
+                held = []
+        if held:
+            yield from packed(held)
 
     block = F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(blocks)).cast("int")
     dealt = rows.select(block.alias("block"), "vec_id", "vector").repartition(blocks, "block")
