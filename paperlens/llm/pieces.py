@@ -7,6 +7,7 @@ once with array operations; a regular expression would take a microsecond for ea
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import cache
 
@@ -82,11 +83,13 @@ class PieceTable:
     """Encodings of the pieces seen so far, as sorted arrays; the oldest are dropped all at once.
 
     ``encode`` turns a list of distinct pieces into lists of ids. ``most`` bounds the memory of a
-    worker; a dropped piece is merely encoded again.
+    worker; a dropped piece is merely encoded again. Strings of ``whole`` are pieces of their own
+    wherever a row holds them, the longest first; what stands between them is split as a text of its own.
     """
 
-    def __init__(self, encode, most: int = 400_000):
-        self.encode, self.most = encode, most
+    def __init__(self, encode, most: int = 400_000, whole: tuple[str, ...] = ()):
+        self.encode, self.most, self.whole = encode, most, whole
+        self.pattern = re.compile("|".join(map(re.escape, sorted(whole, key=len, reverse=True))))
         self.clear()
 
     def clear(self) -> None:
@@ -106,6 +109,18 @@ class PieceTable:
         self.count = np.concatenate([self.count, count])[order]
         self.ids = np.concatenate([self.ids, ids])
 
+    def starts(self, text: str, points: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Positions at which a piece starts, cut at the whole strings that stand within a row."""
+        if not any(w in text for w in self.whole):
+            return piece_starts(points, rows)
+        bounds = rows.tolist()
+        spans = [m.span() for a, b in zip(bounds, bounds[1:]) for m in self.pattern.finditer(text, a, b)]
+        first, end = np.array(spans, np.int64).reshape(-1, 2).T
+        starts = piece_starts(points, np.concatenate([rows, first, end]))
+        # Of the positions in a whole string only the first one stays.
+        last = np.searchsorted(first, starts) - 1
+        return starts[(last < 0) | (starts >= np.append(end, 0)[last])]
+
     def encoded(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, index of each row's first id) of UTF-8 rows."""
         text = data.tobytes().decode()
@@ -114,7 +129,7 @@ class PieceTable:
         heads = np.zeros(len(data) + 1, np.int64)
         np.cumsum((data & 0xC0) != 0x80, out=heads[1:])
         rows = heads[offsets]
-        starts = piece_starts(points, rows)
+        starts = self.starts(text, points, rows)
         ends = np.append(starts[1:], len(points))
         values = points * SPREAD
         values ^= values >> np.uint64(29)

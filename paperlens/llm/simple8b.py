@@ -191,14 +191,22 @@ def byte_alphabet() -> dict[int, str]:
 
 @cache
 def piece_table(path: str) -> PieceTable:
-    """Encodes pieces with the model of a tokenizer file; one for each worker process."""
+    """Encodes pieces with the model of a tokenizer file; one for each worker process.
+
+    The added tokens of the file are ids of their own wherever a text holds them, as in the library.
+    """
     tokenizer = Tokenizer.from_file(path)
     model, letters = tokenizer.model, byte_alphabet()
+    added = {t.content: id_ for id_, t in tokenizer.get_added_tokens_decoder().items()}
+    for t in tokenizer.get_added_tokens_decoder().values():
+        if t.lstrip or t.rstrip or t.single_word or t.normalized:
+            raise ValueError(f"added token {t.content!r} is matched by more than its characters")
 
     def encode(pieces: list[str]) -> list[list[int]]:
-        return [[t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
+        return [[added[p]] if p in added else [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))]
+                for p in pieces]
 
-    return PieceTable(encode)
+    return PieceTable(encode, whole=tuple(added))
 
 
 def store_of(folder: str):

@@ -45,6 +45,32 @@ def test_ids_equal_those_of_the_libraries(library, texts):
     assert encoded([t for t in texts if "<|endoftext|>" not in t], simple8b.piece_table(JSON)) == expected
 
 
+END = "<|endoftext|>"
+PLANTED = ["a <|endoftext|> b", END, END + END, f"  {END}  ", f"x{END}'s", f"<|endo{END}ftext|>", f"é \n{END}\n日本 {END[:-1]}", "<|endo", "ftext|>", "<" + END + ">", "", END[:-2]]
+WITH_END = st.lists(st.sampled_from([*ODD, END, END[:6], END[6:], "<", "|>"]), max_size=12).map("".join)
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(WITH_END, max_size=8))
+def test_added_tokens_are_ids_of_their_own(library, texts):
+    tokenizer = Tokenizer.from_file(JSON)
+    for some in (texts, PLANTED):
+        assert encoded(some, simple8b.piece_table(JSON)) == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        assert encoded(some, byte_bpe.encoder(RANKS)[1]) == [library.encode_ordinary(t) for t in some]
+    assert encoded(["a <|endoftext|> b"], simple8b.piece_table(JSON)) == [[64, 220, 50256, 275]]
+
+
+def test_token_files_with_added_tokens(spark):
+    tokenizer = Tokenizer.from_file(JSON)
+    docs = spark.createDataFrame(list(enumerate(PLANTED)), "doc_id long, text string")
+    expected, start = [], 0
+    for k, text in enumerate(PLANTED):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        expected.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, simple8b.token_report(spark, docs, JSON).collect())) == expected
+
+
 @settings(deadline=None, max_examples=100)
 @given(st.binary(max_size=40))
 def test_backtracking_gives_the_merges(text):
