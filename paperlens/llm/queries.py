@@ -17,7 +17,7 @@ from .phrase_automata import without_repeats
 from .rotated_codes import search
 from .secret_ledger import secret_report
 from .simple8b import token_report
-from .target_ratio import rules_report, trusted_sample
+from .target_ratio import rules_report, trusted_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,9 +130,9 @@ def op6_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_target_ratio(spark: SparkSession, folder: str) -> DataFrame:
-    """Base rules and n-gram log ratio of every text; trusted are documents labelled good."""
+    """Base rules and n-gram log ratio of every text; trusted are all documents labelled good."""
     docs = table(spark, folder, "documents")
-    return rules_report(docs, trusted_sample(table(spark, folder, "labels")))
+    return rules_report(docs, trusted_ids(table(spark, folder, "labels")))
 
 
 @query

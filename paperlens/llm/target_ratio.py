@@ -76,15 +76,20 @@ def places(hashes: Column) -> Column:
     return F.transform(both, lambda h: F.shiftrightunsigned(h, 48).cast("int"))
 
 
-def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """bucket, n, t: n-grams of all documents and of the trusted ones, summed within each task first.
+def bucket_counts(docs: DataFrame, out: str) -> DataFrame:
+    """bucket and ``out``, the n-grams of ``docs`` in it: summed within each task first."""
+    hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
+    rows = docs.select(hashes.alias("_hashes")).select(F.explode(places(F.col("_hashes"))).alias("bucket"))
+    return rows.groupBy("bucket").agg(F.count("*").alias(out))
+
 
-    ``trusted`` has the ids, few enough to be broadcast, so that no text is shuffled.
+def of_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is trusted, however many ids there are.
+
+    Both sides are dealt out by id: a table of ids grows with the labels and is not broadcast. A task
+    holds the ids of its share, and the texts stream past them unsorted.
     """
-    marked = docs.join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("_t"))), "doc_id", "left")
-    hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
-    rows = marked.select("_t", hashes.alias("_hashes")).select("_t", F.explode(places(F.col("_hashes"))).alias("bucket"))
-    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.count("_t").alias("t"))
+    return docs.join(trusted.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -93,17 +98,22 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     One is added to every count. The array has BUCKETS entries whatever the input.
     """
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    both = every.join(bucket_counts(docs, trusted), "bucket", "left")
+    both = every.join(bucket_counts(docs, "n"), "bucket", "left").join(bucket_counts(of_trusted(docs, trusted), "t"), "bucket", "left")
     both = both.select("bucket", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("t", F.lit(0)).alias("t"))
     rows = both.agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "t"))).alias("rows"), F.sum("n").alias("all_n"), F.sum("t").alias("all_t"))
     ratio = F.transform("rows", lambda r: F.log((r["t"] + 1) / (F.col("all_t") + BUCKETS)) - F.log((r["n"] + 1) / (F.col("all_n") + BUCKETS)))
     return rows.select(ratio.alias("ratios"))
 
 
-def trusted_sample(labels: DataFrame, fit_rows: int = 50_000) -> DataFrame:
-    """At most ``fit_rows`` ids labelled good, those of least hash; an id counts once, and null ids do not."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All ids labelled good; an id counts once, and null ids do not."""
     good = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("_quality")).filter(F.col("_quality") == 1)
-    return good.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    return good.select("doc_id")
+
+
+def trusted_sample(labels: DataFrame, fit_rows: int = 50_000) -> DataFrame:
+    """At most ``fit_rows`` of the trusted ids, those of least hash, for trials; the query takes all."""
+    return trusted_ids(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
 
 
 def rules_report(docs: DataFrame, trusted: DataFrame, threshold: float = -0.15) -> DataFrame:
@@ -112,8 +122,8 @@ def rules_report(docs: DataFrame, trusted: DataFrame, threshold: float = -0.15)
     ``kept`` is false where ``base_failed`` is; else it says whether the mean log ratio of the n-grams
     reaches ``threshold``. A null text counts as empty; a text without words has ``llr`` 0 and fails the
     base rules. Repeated rows are judged each; other columns are ignored. Without trusted documents the
-    target is uniform over the buckets. ``trusted`` has the ids of the trusted documents, each once and
-    few enough to be broadcast; the raw counts cover all documents.
+    target is uniform over the buckets. ``trusted`` has the ids of the trusted documents, any number of
+    them; the raw counts cover all documents.
     """
     columns = docs.select("doc_id", "text")
     ratios = log_ratios(columns, trusted).scalar()

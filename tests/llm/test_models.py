@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from paperlens.llm import quality_fm, target_ratio, toxic_segments
+from paperlens.llm import quality_fm, queries, target_ratio, toxic_segments
 
 FOLDER = "/root/testdata/sf0.1"
 
@@ -144,3 +144,21 @@ def test_ratio_tells_junk_from_text(spark, tables):
     report = target_ratio.rules_report(docs, target_ratio.trusted_sample(labels))
     rows = report.join(labels, "doc_id").filter("not base_failed").toPandas()
     assert rows.kept[rows.quality == 1].mean() > 0.99 and rows.kept[rows.quality == 0].mean() < 0.15
+
+
+def test_all_trusted_documents_count(spark, tmp_path):
+    """Where every document is labelled good, both multinomials are the same, however many there are."""
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.concat(F.lit("w"), F.col("id") * 10 + k) for k in range(10)]).alias("text"))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    rows.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    report = queries.QUERIES["op7_target_ratio"](spark, str(tmp_path))
+    assert report.count() == 60_000 and report.filter("llr <> 0 or not kept").count() == 0
+
+
+def test_ratio_by_brute_force(spark, odd, odd_rows):
+    """Repeated ids count with each row of theirs, null ids never are trusted."""
+    trusted = {6, 8, 11, 16}
+    ids = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
+    found = {r.bucket: r.t for r in target_ratio.bucket_counts(target_ratio.of_trusted(odd, ids), "t").collect()}
+    total = sum(2 * len(w) - 1 for w in ((r[1] or "").split() for r in odd_rows if r[0] in trusted))
+    assert sum(found.values()) == total
