@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from ..session import configure, work_dir
 from . import quality_fm, toxic_segments
 from .byte_bpe import encode_documents
+from .merkle_manifest import documents_manifest
 from .ngram_join import similar_documents
+from .periodic_runs import with_runs
+from .personal_data import (
+    BASE, BEFORE, BEHIND, CAPITALS, KINDS, SMALL, STEP, THRESHOLD, let, personal_report,
+)
 from .pfair_mix import mix
 from .phrase_automata import without_repeats
 from .rotated_codes import search
@@ -78,6 +83,121 @@ ORACLES["op5_pfair_mix"] = """
     FROM runs r JOIN placed d ON d.source IS NOT DISTINCT FROM r.source AND d.block = r.turn % r.b
 """
 
+# The kinds of op11 with patterns as the contract has them; the native ones match the same stretches.
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": r"[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]{4}){2,7}(\x20?[A-Z0-9]{1,3})?",
+    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    "local": r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}",
+}
+CONFIRMED = """CASE kind
+    WHEN 'ip' THEN list_max(list_transform(string_split(value, '.'), lambda x: x::HUGEINT)) <= 255
+    WHEN 'card' THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1),
+        lambda i: CASE WHEN i % 2 = 1 THEN substr(reverse(digits), i, 1)::INT
+                       ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][substr(reverse(digits), i, 1)::INT + 1] END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15
+    WHEN 'iban' THEN list_reduce(list_prepend(0::BIGINT, list_transform(
+        string_split(substr(replace(value, ' ', ''), 5) || substr(replace(value, ' ', ''), 1, 4), ''),
+        lambda c: CASE WHEN ascii(c) < 58 THEN ascii(c) - 48 ELSE ascii(c) - 55 END::BIGINT)),
+        lambda a, v: CASE WHEN v < 10 THEN (a * 10 + v) % 97 ELSE (a * 100 + v) % 97 END) = 1
+    WHEN 'ssn' THEN NOT regexp_matches(value, '^(000|666|9)|-00-|-0000$')
+    ELSE true END"""
+
+
+def _personal_sql() -> str:
+    def near(words: str) -> str:
+        if not words:
+            return "0"
+        pattern = f"(^|[^a-z])({words})([^a-z]|$)"
+        return f"(regexp_matches(before, '{pattern}') OR regexp_matches(behind, '{pattern}'))::INT"
+
+    small = f"'{CAPITALS}', '{SMALL}'"
+    parts = [f"""
+        SELECT doc_id, {place} AS place, '{k.name}' AS kind, found[i] AS value, {k.score} AS first_score,
+          {str(k.certain).lower()} AS certain, {str(k.alone).lower()} AS alone,
+          translate(right(gaps[i], {BEFORE}), {small}) AS before, translate(left(gaps[i + 1], {BEHIND}), {small}) AS behind,
+          {near(k.for_it)} - {near(k.against_it)} AS moved,
+          sum(length(gaps[i]) + length(found[i])) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS end_
+        FROM (SELECT doc_id, found, gaps, unnest(range(1, len(found) + 1)) AS i FROM (
+            SELECT doc_id, regexp_extract_all(text, '{PLAIN[k.name]}') AS found,
+                   string_split_regex(text, '{PLAIN[k.name]}') AS gaps FROM t))""" for place, k in enumerate(KINDS)]
+    shown = "coalesce(string_agg(kind || ':' || (end_ - length(value)) || ':' || end_, ',' ORDER BY end_ - length(value), place) {}, '')"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)
+    return f"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        m AS ({" UNION ALL ".join(parts)}),
+        c AS (
+            SELECT *, least(100, first_score + {STEP} * moved) AS score, regexp_replace(value, '[^0-9]', '', 'g') AS digits
+            FROM m WHERE NOT alone OR NOT (regexp_matches(before, '[a-z0-9]\\z') OR regexp_matches(behind, '^[a-z0-9]'))
+        ), s AS (SELECT * FROM c WHERE {CONFIRMED} AND (certain OR score >= {THRESHOLD}))
+        SELECT t.doc_id, {counts}, sha256({shown.format(f"FILTER (place < {len(BASE)})")}) AS base_sha256,
+          {shown.format("FILTER (kind IS NOT NULL)")} AS spans, count(*) FILTER (place >= {len(BASE)}) AS n_added,
+          count(*) FILTER (score >= 80) AS n_likely
+        FROM t LEFT JOIN s ON t.doc_id = s.doc_id GROUP BY t.doc_id"""
+
+
+ORACLES["op11_personal_data"] = _personal_sql()
+
+ORACLES["op13_merkle_manifest"] = """
+    WITH RECURSIVE bits AS (
+        SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+    ), d AS (
+        SELECT doc_id, n_chars, coalesce('=' || lang, '') AS part,
+            concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                   coalesce(strlen(lang) || ':' || lang, '-')) AS head,
+            coalesce(strlen(text) || ':' || text, '-') AS tail,
+            list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])) AS crc
+        FROM documents, bits
+    ), l AS (
+        SELECT doc_id, part,
+            sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+            CASE WHEN xor(crc, 4294967295) % 7 = 0
+                 THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS other
+        FROM d
+    ), p AS (
+        SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+               count(*) OVER (PARTITION BY part) AS size FROM l
+    ), low AS (
+        SELECT part, 0 AS level, place, size, leaf AS node FROM p
+        UNION ALL
+        SELECT part, level + 1, place // 2, (size + 1) // 2, sha256(string_agg(node, '' ORDER BY place))
+        FROM low WHERE size > 1 GROUP BY part, level, place // 2, size
+    ), tops AS (
+        SELECT part, node AS subroot, level AS height, row_number() OVER (ORDER BY part) - 1 AS place, count(*) OVER () AS size
+        FROM low WHERE size = 1
+    ), high AS (
+        SELECT 0 AS level, place, size, subroot AS node FROM tops
+        UNION ALL
+        SELECT level + 1, place // 2, (size + 1) // 2, sha256(string_agg(node, '' ORDER BY place))
+        FROM high WHERE size > 1 GROUP BY level, place // 2, size
+    ), root AS (SELECT node AS root, level AS height FROM high WHERE size = 1),
+    steps AS (
+        SELECT p.part, p.place, s.level AS step, (p.place >> s.level) & 1 AS side, coalesce(n.node, '') AS sibling
+        FROM p JOIN tops t ON p.part = t.part CROSS JOIN LATERAL (SELECT unnest(range(t.height)) AS level) s
+        LEFT JOIN low n ON n.part = p.part AND n.level = s.level AND n.place = xor(p.place >> s.level, 1)
+        UNION ALL
+        SELECT p.part, p.place, t.height + s.level, (t.place >> s.level) & 1, coalesce(n.node, '')
+        FROM p JOIN tops t ON p.part = t.part CROSS JOIN root r CROSS JOIN LATERAL (SELECT unnest(range(r.height)) AS level) s
+        LEFT JOIN high n ON n.level = s.level AND n.place = xor(t.place >> s.level, 1)
+    ), fold AS (
+        SELECT part, place, 0 AS step, coalesce(other, leaf) AS node FROM p
+        UNION ALL
+        SELECT f.part, f.place, f.step + 1, sha256(CASE WHEN s.side = 1 THEN s.sibling || f.node ELSE f.node || s.sibling END)
+        FROM fold f JOIN steps s ON f.part = s.part AND f.place = s.place AND f.step = s.step
+    ), proofs AS (SELECT part, place, sha256(string_agg(sibling, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY part, place)
+    SELECT p.doc_id, p.leaf, t.subroot, r.root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256,
+           f.node AS folded_root, f.node = r.root AS verified
+    FROM p JOIN tops t ON p.part = t.part CROSS JOIN root r
+    JOIN fold f ON f.part = p.part AND f.place = p.place AND f.step = t.height + r.height
+    LEFT JOIN proofs q ON q.part = p.part AND q.place = p.place
+"""
+
+
 
 def query(run):
     QUERIES[run.__name__] = run
@@ -153,3 +273,49 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every text as byte-level BPE ids, decoded again."""
     docs = table(spark, folder, "documents")
     return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every text: patterns, checksums and the words near by."""
+    return personal_report(table(spark, folder, "documents"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by the checksum of its id, repeats a part of its words from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def repeated(w):
+        n, g = F.size(w).cast("bigint"), F.floor(h / 10)
+        return let(F.struct((g % n).alias("a"), n.alias("n"), (3 + g % 8).alias("part")), lambda s: let(
+            1 + F.floor((s["n"] - s["a"]) / s["part"]), lambda p: F.array_join(F.transform(
+                F.sequence(F.lit(0).cast("bigint"), s["n"] - 1),
+                lambda i: F.get(w, F.when(i < s["a"], i).otherwise(s["a"] + (i - s["a"]) % p).cast("int"))), " ")))
+
+    text = F.when(h % 10 == 0, let(words, lambda w: F.when(F.size(w) > 0, repeated(w)))).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of words that repeat four times or more, and what is left without the repeats."""
+    runs = with_runs(planted(table(spark, folder, "documents")))
+    greater = F.aggregate("runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), lambda best, run: F.when(
+        best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return runs.select("*", greater.alias("best")).select(
+        "doc_id", "n_words", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents by language; every seventh is folded as tampered with."""
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    made = documents_manifest(docs, {"n_chars": F.col("n_chars") + 1}, tampered, keep_proof=False)
+    return made.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
