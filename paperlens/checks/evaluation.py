@@ -135,3 +135,49 @@ SELECT round({AP}, 6) AS average_precision, round(sum(pos) / sum(pos + neg), 6)
 """)
 def lift_over_base(spark, sf):
     return rounded(ops.lift_over_base(ranked(spark, sf)), "average_precision", "base_rate", "lift")
+
+
+GROUPED = """WITH labeled AS (
+  SELECT cast(d.n_chars % (13 + 10 * m.model) AS DOUBLE) / 97 AS score, l.quality AS label, m.model
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id, (SELECT unnest(range(0, 9))::INT AS model) m),
+counts AS (
+  SELECT model, score, cast(sum(label) AS DOUBLE) AS pos, cast(sum(1 - label) AS DOUBLE) AS neg
+  FROM labeled GROUP BY model, score),
+ranked AS (
+  SELECT model, score, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
+    sum(pos) OVER (PARTITION BY model) AS all_pos, sum(neg) OVER (PARTITION BY model) AS all_neg
+  FROM counts WINDOW w AS (PARTITION BY model ORDER BY score DESC))
+"""
+
+
+def scored_models(spark, sf):
+    """Nine scores of every labelled document, told apart by ``model``."""
+    d, l = table(spark, sf, "documents"), table(spark, sf, "labels")
+    models = F.explode(F.sequence(F.lit(0), F.lit(8)))
+    rows = d.select("doc_id", "n_chars", models.alias("model"))
+    score = (F.col("n_chars") % (13 + 10 * F.col("model"))).cast("double") / 97
+    return rows.withColumn("score", score).join(l.select("doc_id", F.col("quality").alias("label")), "doc_id")
+
+
+@check(GROUPED + """
+SELECT model, round(1 - sum(pos * (fp - neg / 2)) / (max(all_pos) * max(all_neg)), 4) AS val_roc_auc,
+  round(sum(pos * tp / (tp + fp)) / sum(pos), 4) AS val_pr_auc,
+  round(2 * sum(CASE WHEN score >= 0.5 THEN pos ELSE 0 END)
+    / (sum(CASE WHEN score >= 0.5 THEN pos + neg ELSE 0 END) + sum(pos)), 4) AS val_f1
+FROM ranked GROUP BY model
+""")
+def metric_bundle_by_model(spark, sf):
+    """The reported metrics of all models in one pass over their scores."""
+    ranked = ops.ranking(scored_models(spark, sf), by=("model",))
+    return ops.metric_bundle(ranked, "val", by=("model",))
+
+
+@check(GROUPED + """
+SELECT model, round(max_by(score, struct_pack(f := f1, s := -score)), 4) AS threshold
+FROM (SELECT *, 2 * (tp / (tp + fp)) * (tp / all_pos) / (tp / (tp + fp) + tp / all_pos + 1e-9) AS f1 FROM ranked)
+GROUP BY model
+""")
+def best_f1_threshold_by_model(spark, sf):
+    """The best threshold of every model, found together."""
+    ranked = ops.ranking(scored_models(spark, sf), by=("model",))
+    return ops.best_f1_threshold(ranked, by=("model",))

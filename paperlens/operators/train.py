@@ -1,9 +1,7 @@
-"""Standardising, fitting and tuning classifiers with Spark ML."""
+"""Standardising, fitting, tuning and testing classifiers."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -13,24 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLS
-from ..session import work_dir
-from ..sources.writers import run_rows
+from ..functions.scores import round4
+from ..schemas import RUN_LOG
+from ..session import materialize, work_dir
+from . import boosting
+from .boosting import DEFAULT_TREES, FIT_ROWS, SEED
 from .evaluate import best_f1_threshold, metric_bundle, ranking
 from .ranking import top_features
+from .trees import TreeModel, score_trees
 
-SEED = 42
-
-# Search space: (low, high, kind). L1 and L2 weights of the leaves have no Spark counterpart.
+# The published search space, (low, high, kind).
 SEARCH_SPACE = {
-    "maxIter": (100, 600, "int"),
-    "maxDepth": (3, 9, "int"),
-    "stepSize": (0.01, 0.3, "log"),
-    "subsamplingRate": (0.6, 1.0, "float"),
-    "featureSubsetStrategy": (0.6, 1.0, "share"),
-    "minInstancesPerNode": (1, 10, "int"),
-    "minInfoGain": (0.0, 5.0, "float"),
+    "n_estimators": (100, 600, "int"),
+    "max_depth": (3, 9, "int"),
+    "learning_rate": (0.01, 0.3, "log"),
+    "subsample": (0.6, 1.0, "float"),
+    "colsample_bytree": (0.6, 1.0, "float"),
+    "min_child_weight": (1, 10, "int"),
+    "gamma": (0.0, 5.0, "float"),
+    "reg_alpha": (0.0, 5.0, "float"),
+    "reg_lambda": (0.0, 5.0, "float"),
 }
-DEFAULT_TREES = {
+# The same size of ensemble for Spark's own boosted trees, which fit all rows of a table.
+ML_TREES = {
     "maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
     "featureSubsetStrategy": "0.8",
 }
@@ -114,30 +117,49 @@ def _estimator(spark: SparkSession, params: dict) -> GBTClassifier:
         context.setCheckpointDir(work_dir(spark, "boosting"))
     return GBTClassifier(
         labelCol="_label", weightCol="_weight", seed=SEED, checkpointInterval=10,
-        **(DEFAULT_TREES | params),
+        **(ML_TREES | params),
     )
 
 
-def train_gbt(train: DataFrame, label: str = "label", params: dict | None = None,
-              features: list[str] = FEATURE_COLS) -> PipelineModel:
-    """Boosted trees, positives weighted by the class ratio."""
+def train_ml_gbt(train: DataFrame, label: str = "label", params: dict | None = None,
+                 features: list[str] = FEATURE_COLS) -> PipelineModel:
+    """Spark's boosted trees over all rows, positives weighted by the class ratio: some jobs for each level."""
     ready = _tree_input(train, label, features)
     model = _estimator(train.sparkSession, params or {}).fit(ready)
     return PipelineModel([*_tree_stages(features), model])
 
 
+def train_gbt(train: DataFrame, label: str = "label", params: dict | None = None,
+              features: list[str] = FEATURE_COLS, rows: int = FIT_ROWS) -> TreeModel:
+    """Boosted trees of the published size (300 of depth 6), positives weighted by the class ratio.
+
+    The class ratio is that of all rows; at most about ``rows`` of them are fitted (see ``boosting``).
+    """
+    return boosting.train_gbt(train, scale_pos_weight(train, label), label, params, features, rows)
+
+
+def score_model(model: PipelineModel | TreeModel, df: DataFrame, out: str = "score") -> DataFrame:
+    """Probability of the positive class, whichever kind of model it is."""
+    if isinstance(model, TreeModel):
+        return score_trees(df, model).withColumnRenamed("hype_score", out)
+    return score_spark_model(model, df, out)
+
+
 def score_spark_model(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
-    """Probability of the positive class."""
+    """Probability of the positive class by a fitted Spark ML pipeline."""
     scored = model.transform(df).withColumn(out, vector_to_array("probability")[1])
     return scored.select(*df.columns, out)
 
 
-def feature_importance(model: PipelineModel, features: list[str] = FEATURE_COLS) -> dict[str, float]:
+def feature_importance(model: PipelineModel | TreeModel, features: list[str] = FEATURE_COLS) -> dict[str, float]:
+    """Shares of the features in what the splits gained."""
+    if isinstance(model, TreeModel):
+        return boosting.importance(model)
     values = model.stages[-1].featureImportances.toArray()
     return {f: float(v) for f, v in zip(features, values)}
 
 
-def top_model_features(spark: SparkSession, model: PipelineModel, k: int = 5) -> DataFrame:
+def top_model_features(spark: SparkSession, model: PipelineModel | TreeModel, k: int = 5) -> DataFrame:
     return top_features(spark, feature_importance(model), k)
 
 
@@ -150,61 +172,59 @@ def draw_params(trials: int, space: dict = SEARCH_SPACE, seed: int = SEED) -> li
             return int(random.randint(low, high + 1))
         if kind == "log":
             return float(np.exp(random.uniform(np.log(low), np.log(high))))
-        value = float(random.uniform(low, high))
-        return f"{value:.4f}" if kind == "share" else value
+        return float(random.uniform(low, high))
 
     return [{name: draw(*bounds) for name, bounds in space.items()} for _ in range(trials)]
 
 
+def trial_name(number: int) -> str:
+    return f"trial-{number:03d}"
+
+
 def param_sweep(train: DataFrame, val: DataFrame, trials: int = 50, label: str = "label",
-                space: dict = SEARCH_SPACE, parallel: int = 4, seed: int = SEED,
-                features: list[str] = FEATURE_COLS) -> tuple[list[dict], DataFrame]:
+                space: dict = SEARCH_SPACE, seed: int = SEED, features: list[str] = FEATURE_COLS,
+                rows: int = FIT_ROWS) -> tuple[list[dict], DataFrame]:
     """Fit one model per drawn setting on the fixed split and score it on ``val``.
 
     Returns the settings and the run table ``(run_id, kind, key, value)``, one run per trial; its rows
     of kind ``objective`` hold the compared metric in full, those of kind ``metric`` four digits.
-    Trials are Spark jobs running side by side; ``train`` and ``val`` are stored tables.
+    Fits are tasks side by side, and those that differ in the number of trees alone are one. ``val`` is
+    read once: every row walks all trees, and all trials are ranked together by the metrics' ``by``.
     """
     spark = train.sparkSession
     settings = draw_params(trials, space, seed)
     weight = scale_pos_weight(train, label)
-    ready = _tree_input(train, label, features).persist()
-    estimator = _estimator(spark, {})
-    maps = [{estimator.getParam(k): v for k, v in s.items()} for s in settings]
-    fitted = estimator.fitMultiple(ready, maps)
-    stages = _tree_stages(features)
-
-    def trial(_):
-        number, model = next(fitted)
-        scored = score_spark_model(PipelineModel([*stages, model]), val)
-        metrics = metric_bundle(ranking(scored, "score", label), "val", exact=True).first().asDict()
-        metrics.pop("val_f1")
-        name = f"trial-{number:03d}"
-        params = settings[number] | {"scale_pos_weight": weight}
-        objective = [(name, "objective", "val_pr_auc", repr(metrics["val_pr_auc"]))]
-        rows = run_rows(spark, name, params, metrics, {"trial_number": number})
-        return rows.unionByName(spark.createDataFrame(objective, rows.schema))
-
-    try:
-        with ThreadPoolExecutor(parallel) as pool:
-            tables = list(pool.map(trial, range(trials)))
-    finally:
-        ready.unpersist()
-    runs = tables[0]
-    for table in tables[1:]:
-        runs = runs.unionByName(table)
-    return settings, runs
+    fits, uses = boosting.shared_fits([boosting.DEFAULT_TREES | s for s in settings])
+    trees = materialize(
+        boosting.fit_many(spark, boosting.bounded_rows(train, label, features, weight, rows), fits, seed), "trees")
+    models = boosting.collected(trees, features)
+    scored = boosting.score_ensembles(val.select(label, *features), models, uses)
+    ranked = ranking(scored, "score", label, ("model",))
+    measured = metric_bundle(ranked, "val", exact=True, by=("model",))
+
+    def run(kind: str, key: str, value):
+        return F.struct(F.format_string("trial-%03d", "model").alias("run_id"), F.lit(kind).alias("kind"),
+                        F.lit(key).alias("key"), value.cast("string").alias("value"))
+
+    results = measured.select(F.inline(F.array(
+        run("metric", "val_roc_auc", round4(F.col("val_roc_auc"))),
+        run("metric", "val_pr_auc", round4(F.col("val_pr_auc"))),
+        run("objective", "val_pr_auc", F.col("val_pr_auc")))))
+    drawn = [(trial_name(n), "param", k, str(v)) for n, s in enumerate(settings)
+             for k, v in (s | {"scale_pos_weight": weight}).items()]
+    drawn += [(trial_name(n), "tag", "trial_number", str(n)) for n in range(trials)]
+    return settings, spark.createDataFrame(drawn, RUN_LOG).unionByName(materialize(results, "trials"))
 
 
 def refit_and_test(split: DataFrame, params: dict, label: str = "label",
-                   features: list[str] = FEATURE_COLS) -> tuple[PipelineModel, dict]:
+                   features: list[str] = FEATURE_COLS, rows: int = FIT_ROWS) -> tuple[TreeModel, dict]:
     """Threshold from a model fit on train only, then refit on train and val, measured on test."""
     train, val, test = (split.filter(F.col("split") == s) for s in ("train", "val", "test"))
-    probe = train_gbt(train, label, params, features)
+    probe = train_gbt(train, label, params, features, rows)
     threshold = best_f1_threshold(
-        ranking(score_spark_model(probe, val), "score", label)
+        ranking(score_model(probe, val), "score", label)
     ).first()["threshold"]
-    model = train_gbt(train.unionByName(val), label, params, features)
-    ranked = ranking(score_spark_model(model, test), "score", label)
+    model = train_gbt(train.unionByName(val), label, params, features, rows)
+    ranked = ranking(score_model(model, test), "score", label)
     metrics = metric_bundle(ranked, "test", threshold).first().asDict()
     return model, metrics | {"optimal_threshold": threshold}

@@ -73,8 +73,8 @@ def _as_expression(model: TreeModel, features: list[Column]) -> Column:
     return margin
 
 
-def _as_batches(model: TreeModel, features: list[Column], spark: SparkSession) -> Column:
-    """Walk all trees a level at a time over blocks of rows small enough to stay in cache."""
+def flat_trees(model: TreeModel, features: int) -> dict:
+    """All trees as flat arrays, what ``leaf_weights`` walks; a model is checked to be small enough to send."""
 
     def flat(name: str, kind) -> np.ndarray:
         return np.concatenate([np.asarray(t[name], dtype=kind) for t in model.trees])
@@ -91,39 +91,47 @@ def _as_batches(model: TreeModel, features: list[Column], spark: SparkSession) -
         reached = np.concatenate([left[reached], right[reached]])
         reached = reached[~leaf[reached]]
         levels += 1
-    width = len(features) + 1
-    shared = spark.sparkContext.broadcast({
-        "roots": roots,
+    return {
+        "roots": roots, "levels": levels, "width": features + 1,
         # Place 2n holds where node n goes when the feature is not below the split, 2n+1 when it is.
         "next": np.stack([right, left], axis=1).ravel().astype(np.int32),
         # Features the row does not have read the NaN column behind the last one.
-        "feature": np.minimum(flat("split_indices", np.int32), width - 1),
+        "feature": np.minimum(flat("split_indices", np.int32), features),
         "split": flat("split_conditions", np.float32).astype(np.float64),
         "weight": flat("base_weights", np.float32).astype(np.float64),
         "base": float(np.log(model.base_score / (1 - model.base_score))),
-    })
-    block = 128
+    }
+
+
+def leaf_weights(m: dict, columns, block: int = 128):
+    """Leaf weights (rows by trees) of blocks of rows: a level at a time, blocks small enough to stay in cache."""
+    rows = len(columns[0])
+    x = np.full((rows, m["width"]), np.nan)
+    for i, column in enumerate(columns):
+        x[:, i] = column.to_numpy(dtype=np.float64, na_value=np.nan)
+    for start in range(0, rows, block):
+        part = x[start : start + block].ravel()
+        first = np.arange(0, len(part), m["width"], dtype=np.int32)[:, None]
+        at = np.broadcast_to(m["roots"], (len(first), len(m["roots"])))
+        for _ in range(m["levels"]):
+            below = part.take(first + m["feature"].take(at)) < m["split"].take(at)
+            at = m["next"].take(2 * at + below)
+        yield m["weight"].take(at)
+
+
+def _as_batches(model: TreeModel, features: list[Column], spark: SparkSession) -> Column:
+    shared = spark.sparkContext.broadcast(flat_trees(model, len(features)))
 
     @F.pandas_udf(T.DoubleType())
     def margin(*columns: pd.Series) -> pd.Series:
-        m = shared.value
-        rows = len(columns[0])
-        x = np.full((rows, width), np.nan)
-        for i, column in enumerate(columns):
-            x[:, i] = column.to_numpy(dtype=np.float64, na_value=np.nan)
-        total = np.full(rows, m["base"])
-        for start in range(0, rows, block):
-            part = x[start : start + block].ravel()
-            first = np.arange(0, len(part), width, dtype=np.int32)[:, None]
-            at = np.broadcast_to(m["roots"], (len(first), len(m["roots"])))
-            for _ in range(levels):
-                below = part.take(first + m["feature"].take(at)) < m["split"].take(at)
-                at = m["next"].take(2 * at + below)
-            weights = m["weight"].take(at)
+        out = [np.zeros(0)]
+        for weights in leaf_weights(shared.value, columns):
+            total = np.full(len(weights), shared.value["base"])
             # Tree by tree, so that the sum is the one of a row-wise scorer.
             for tree in range(weights.shape[1]):
-                total[start : start + block] += weights[:, tree]
-        return pd.Series(total)
+                total += weights[:, tree]
+            out.append(total)
+        return pd.Series(np.concatenate(out))
 
     return margin(*[f.cast("double") for f in features])
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..constants import DEFAULT_THRESHOLD, FEATURE_COLS
 from ..functions.dates import submitted_month
+from ..operators.trees import TreeModel
 
 
 def write_seed(papers: DataFrame, path: str) -> None:
@@ -32,8 +33,9 @@ def write_backfill(papers: DataFrame, path: str) -> None:
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append metric samples ``(name, labels, value, ts)``."""
-    metrics.select("name", "labels", "value", "ts").write.mode("append").parquet(path)
+    """Append metric samples ``(name, labels, value, ts)``; labels are stored by label name, in sink order."""
+    ordered = F.map_from_entries(F.sort_array(F.map_entries("labels")))
+    metrics.select("name", ordered.alias("labels"), "value", "ts").write.mode("append").parquet(path)
 
 
 def label_list(name, labels):
@@ -72,19 +74,33 @@ def log_run(spark: SparkSession, path: str, run_id: str, params=None, metrics=No
     run_rows(spark, run_id, params, metrics, tags).coalesce(1).write.mode("append").parquet(path)
 
 
-def save_model(spark: SparkSession, model: PipelineModel, path: str, *, name: str, version: str,
+def save_model(spark: SparkSession, model: PipelineModel | TreeModel, path: str, *, name: str, version: str,
                run_id: str, threshold: float | None = None, feature_version: str = "v3",
                alias: str = "champion") -> None:
-    """Model and a one-row JSON of what is needed to serve it."""
-    model.write().overwrite().save(f"{path}/model")
+    """Model and a one-row JSON of what is needed to serve it.
+
+    A tree ensemble is stored as the files that ``read_tree_model`` takes, a pipeline as Spark ML does.
+    """
+    def text(content, folder: str) -> None:
+        row = spark.createDataFrame([(json.dumps(content),)], "value string")
+        row.coalesce(1).write.mode("overwrite").text(f"{path}/{folder}")
+
+    features = model.feature_cols if isinstance(model, TreeModel) else FEATURE_COLS
     meta = {
         "model_name": name, "alias": alias, "version": version, "run_id": run_id,
-        "feature_cols": FEATURE_COLS, "num_features": len(FEATURE_COLS),
+        "feature_cols": features, "num_features": len(features),
         "threshold": DEFAULT_THRESHOLD if threshold is None else threshold,
         "feature_version": feature_version,
     }
-    row = spark.createDataFrame([(json.dumps(meta),)], "value string")
-    row.coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+    if isinstance(model, TreeModel):
+        text({"learner": {
+            "learner_model_param": {"base_score": repr(model.base_score)},
+            "gradient_booster": {"model": {"trees": model.trees}},
+        }}, "xgb_model.json")
+        text(meta, "model_meta.json")
+    else:
+        model.write().overwrite().save(f"{path}/model")
+    text(meta, "meta")
 
 
 def load_model_meta(spark: SparkSession, path: str) -> DataFrame:

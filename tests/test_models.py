@@ -2,18 +2,18 @@ import json
 
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from paperlens.constants import FEATURE_COLS
-from paperlens.operators import evaluate, train
+from paperlens.operators import boosting, evaluate, train
 from paperlens.operators.drift import feature_drift
+from paperlens.operators.trees import read_tree_model, score_trees
 from paperlens.functions.features import build_features
 from paperlens.plans.monitoring import monitor
 from paperlens.plans.training import train_flow, training_table
 from paperlens.checks.bindings import toy_model
 
-SPACE = {"maxIter": (3, 6, "int"), "maxDepth": (2, 4, "int"), "stepSize": (0.05, 0.3, "log")}
+SPACE = train.SEARCH_SPACE | {"n_estimators": (20, 40, "int"), "max_depth": (2, 4, "int")}
 
 
 def papers(spark, n=1500):
@@ -40,7 +40,7 @@ def split(spark):
 
 
 def auc(model, split):
-    scored = train.score_spark_model(model, split.filter("split = 'test'"))
+    scored = train.score_model(model, split.filter("split = 'test'"))
     return evaluate.roc_auc(evaluate.ranking(scored)).first()[0]
 
 
@@ -79,19 +79,105 @@ def test_logreg_solves_the_weighted_problem(spark):
 
 
 def test_trees(spark, split):
-    model = train.train_gbt(split.filter("split = 'train'"), params={"maxIter": 15, "maxDepth": 4})
-    assert auc(model, split) > 0.75
+    model = train.train_gbt(split.filter("split = 'train'"))
+    assert len(model.trees) == 300 and auc(model, split) > 0.75
     importance = train.feature_importance(model)
     assert list(importance) == FEATURE_COLS and sum(importance.values()) == pytest.approx(1.0)
     top = train.top_model_features(spark, model).collect()
-    assert len(top) == 5 and {"max_h_index", "total_prior_papers"} & {r["feature"] for r in top[:2]}
+    assert len(top) == 5 and {"max_h_index", "total_prior_papers"} & {r["feature"] for r in top[:3]}
 
 
 def test_draws_are_repeatable_and_in_range():
     first = train.draw_params(20)
     assert first == train.draw_params(20) and len(first) == 20
     for p in first:
-        assert 100 <= p["maxIter"] <= 600 and 0.01 <= p["stepSize"] <= 0.3 and 0.6 <= float(p["featureSubsetStrategy"]) <= 1
+        assert 100 <= p["n_estimators"] <= 600 and 0.01 <= p["learning_rate"] <= 0.3 and 0.6 <= p["subsample"] <= 1
+
+
+def test_spark_trees_over_all_rows(split):
+    model = train.train_ml_gbt(split.filter("split = 'train'"), params={"maxIter": 8, "maxDepth": 3})
+    assert auc(model, split) > 0.7 and sum(train.feature_importance(model).values()) == pytest.approx(1.0)
+
+
+def rows_of(n=400, seed=1):
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 30, (n, 4)).astype(float)
+    x[rng.random(n) < 0.1, 1] = np.nan
+    y = ((x[:, 0] > 12) ^ (rng.random(n) < 0.1)).astype(float)
+    return boosting.Rows(x, y, np.where(y == 1, 2.0, 1.0))
+
+
+def plain_split(x, g, h, ridge):
+    """The best split of one node by trying every value of every feature: (gain, feature, value)."""
+    worth = lambda a, b: a * a / (b + ridge)
+    found = []
+    for f in range(x.shape[1]):
+        for value in np.unique(x[np.isfinite(x[:, f]), f]):
+            low = x[:, f] < value
+            if h[low].sum() >= 1 and h[~low].sum() >= 1:
+                gain = worth(g[low].sum(), h[low].sum()) + worth(g[~low].sum(), h[~low].sum()) - worth(g.sum(), h.sum())
+                found.append((gain / 2, f, value))
+    return max(found)
+
+
+def test_first_split_and_leaves_by_brute_force():
+    rows = rows_of()
+    setting = boosting.DEFAULT_TREES | {"n_estimators": 1, "max_depth": 1, "subsample": 1.0, "colsample_bytree": 1.0}
+    tree = boosting.fit(rows, setting)[0]
+    g, h = rows.weight * (0.5 - rows.y), rows.weight * 0.25
+    gain, feature, value = plain_split(rows.x, g, h, 1.0)
+    assert (tree["split_indices"][0], tree["split_conditions"][0]) == (feature, value)
+    assert tree["gains"][0] == pytest.approx(gain)
+    low = rows.x[:, feature] < value
+    for node, side in ((1, low), (2, ~low)):
+        assert tree["base_weights"][node] == pytest.approx(-0.05 * g[side].sum() / (h[side].sum() + 1), rel=1e-5)
+
+
+def test_what_is_fitted_is_what_is_scored(spark):
+    """Margins that boosting keeps while it fits are those that scoring walks to, for every prefix."""
+    rows = rows_of()
+    settings = [{"n_estimators": n, "max_depth": d, "reg_alpha": 0.1} for n, d in ((30, 3), (7, 3), (12, 5))]
+    fits, uses = boosting.shared_fits([boosting.DEFAULT_TREES | s for s in settings])
+    assert len(fits) == 2 and uses == [(0, 30), (0, 7), (1, 12)]
+    names = list("abcd")
+    models = boosting.collected(boosting.fit_many(spark, rows, fits), names)
+    df = spark.createDataFrame(
+        [(k, *[None if np.isnan(v) else float(v) for v in r]) for k, r in enumerate(rows.x)],
+        "id int, a double, b double, c double, d double")
+    together = {(r["id"], r["model"]): r["score"] for r in boosting.score_ensembles(df, models, uses).collect()}
+    assert len(together) == 400 * 3
+    for place, (m, n) in enumerate(uses):
+        part = boosting.first_trees(models[m], n)
+        alone = boosting.fit(rows, fits[m] | {"n_estimators": n})
+        assert [t["base_weights"] for t in alone] == [t["base_weights"] for t in part.trees]
+        for native in (False, n == 7):
+            for r in score_trees(df, part, native).collect():
+                assert together[r["id"], place] == pytest.approx(r["hype_score"], abs=1e-9)
+
+
+def test_fitting_takes_a_bounded_share(spark):
+    df = spark.range(5000).select(F.col("id").cast("double").alias("a"), (F.col("id") % 2).alias("label"))
+    taken = boosting.bounded_rows(df, "label", ["a"], 1.0, 500)
+    assert 350 < len(taken.y) < 650
+    assert (taken.x == boosting.bounded_rows(df.repartition(7), "label", ["a"], 1.0, 500).x).all()
+    with pytest.raises(ValueError):
+        train.train_gbt(df.filter("label = 0"), features=["a"])
+
+
+def test_metrics_of_many_models_are_those_of_each(spark):
+    rng = np.random.default_rng(4)
+    rows = [(m, float(rng.integers(0, 20)) / 20, int(rng.random() < 0.4)) for m in range(5) for _ in range(200)]
+    df = spark.createDataFrame(rows, "model int, score double, label int")
+    by = ("model",)
+    together = {r["model"]: r for r in evaluate.metric_bundle(evaluate.ranking(df, by=by), "v", by=by).collect()}
+    best = {r["model"]: r["threshold"] for r in evaluate.best_f1_threshold(evaluate.ranking(df, by=by), by).collect()}
+    reports = evaluate.classification_report(evaluate.score_counts(df, by=by), by=by).collect()
+    assert len(together) == 5 and len(reports) == 25
+    for m in range(5):
+        alone = evaluate.ranking(df.filter(F.col("model") == m))
+        row = evaluate.metric_bundle(alone, "v").first()
+        assert [row[c] for c in ("v_roc_auc", "v_pr_auc", "v_f1")] == [together[m][c] for c in ("v_roc_auc", "v_pr_auc", "v_f1")]
+        assert evaluate.best_f1_threshold(alone).first()[0] == best[m]
 
 
 def test_flow(spark, tmp_path):
@@ -103,8 +189,9 @@ def test_flow(spark, tmp_path):
     assert logged.select("run_id").distinct().count() == 4
     meta = json.loads(spark.read.text(f"{model}/meta").first()[0])
     assert meta["feature_cols"] == FEATURE_COLS and meta["threshold"] == metrics["optimal_threshold"]
-    stored = PipelineModel.load(f"{model}/model")
-    scored = train.score_spark_model(stored, build_features(papers(spark), ("arxiv_id",)))
+    stored = read_tree_model(spark, model)
+    assert stored.threshold == metrics["optimal_threshold"]
+    scored = train.score_model(stored, build_features(papers(spark), ("arxiv_id",)))
     assert scored.filter("score BETWEEN 0 AND 1").count() == 1500
 
 
