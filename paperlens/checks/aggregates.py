@@ -198,9 +198,13 @@ def head_pending(spark, sf):
 
 
 @check("""
-SELECT (row_number() OVER (ORDER BY id) - 1) // 500 AS chunk, id
-FROM (SELECT DISTINCT cast(l_orderkey AS VARCHAR) AS id FROM lineitem) x
+SELECT chunk, count(*) AS size, (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS ids
+FROM (SELECT (row_number() OVER (ORDER BY id) - 1) // 500 AS chunk
+      FROM (SELECT DISTINCT cast(l_orderkey AS VARCHAR) AS id FROM lineitem) x) y GROUP BY chunk
 """)
 def chunk_requests(spark, sf):
+    """Sizes of all batches, and how many different ids lie in them: which batch an id is in is open."""
     ids = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("arxiv_id"))
-    return chunks(ids, 500).select("chunk", F.explode("ids").alias("id"))
+    made = chunks(ids, 500)
+    found = made.select(F.explode("ids").alias("id")).agg(F.count_distinct("id")).scalar()
+    return made.select("chunk", F.size("ids").cast("bigint").alias("size"), found.alias("ids"))

@@ -88,6 +88,32 @@ def write_backfill(spark, sf):
     )
 
 
+@check(P + """
+SELECT arxiv_id, CASE WHEN has_code AND doc_id % 2 = 0 THEN cast(doc_id % 150 AS INT)
+  ELSE CASE WHEN doc_id % 2 = 1 THEN github_stars_t60 END END AS github_stars_t60, [3, 5, 0] AS chunks_by_run FROM papers
+""")
+def write_backfill_resumed(spark, sf):
+    """A run that may do three of eight chunks, one that does the rest, and one that finds nothing to do."""
+    from ..operators.filters import pending_stars
+    from ..operators.merge import backfill_columns
+    from .filters import half_starred
+
+    first, second = work_dir(spark, "snapshot"), work_dir(spark, "snapshot")
+    writers.write_seed(half_starred(spark, sf), first)
+
+    def fill(part):
+        stars = pending_stars(part).select(
+            "arxiv_id", (F.col("doc_id") % 150).cast("int").alias("github_stars_t60"), F.lit(0).alias("pos"))
+        return backfill_columns(part, stars, "pos")
+
+    stored = readers.read_papers(spark, first)
+    done = [len(writers.backfill_in_chunks(stored, fill, second, 8, most)) for most in (3, None, None)]
+    if not writers.backfill_done(spark, second, 8):
+        raise ValueError("the snapshot is not whole")
+    return spark.read.parquet(second).select(
+        "arxiv_id", "github_stars_t60", F.array(*map(F.lit, done)).alias("chunks_by_run"))
+
+
 def feed_files(spark, sf):
     """Documents as feed pages with padded titles and versioned ids; some ids are unusable."""
     doc = F.col("doc_id")
@@ -273,8 +299,8 @@ def log_run(spark, sf):
 
 
 @check(PF + f"SELECT arxiv_id, {FEATURE_LIST} FROM features")
-def materialize(spark, sf):
+def store(spark, sf):
     from ..functions.features import build_features
-    from ..session import materialize as store
+    from ..session import store as store
 
     return store(build_features(papers(spark, sf), ("arxiv_id",)), "features")

@@ -199,11 +199,11 @@ LEFT JOIN (SELECT s_suppkey AS author_id, s_suppkey % 60 AS h, s_suppkey % 300 A
 GROUP BY paper_id
 """)
 def author_aggregate_join_hot(spark, sf):
-    """One author on about half of all pairs, spread over salts."""
+    """One author on about half of all pairs, found and joined apart."""
     lines = table(spark, sf, "lineitem")
     author = F.when(F.col("l_linenumber") <= 3, F.lit(1)).otherwise(F.col("l_suppkey")).cast("long")
     pairs = lines.select(F.col("l_orderkey").alias("paper_id"), author.alias("author_id"))
-    return aggregate_join(pairs, author_stats(spark, sf), salts=8)
+    return aggregate_join(pairs, author_stats(spark, sf))
 
 
 DAILY = """daily AS (SELECT arxiv_id, doc_id % 11 AS upvotes,

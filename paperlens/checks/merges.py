@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import merge as ops
+from ..session import work_dir
 from . import check
 from .bindings import SI, stamp, stored_incoming
 
@@ -101,3 +102,19 @@ def backfill_columns(spark, sf):
         F.col("github_stars_t60").alias("total_prior_papers"),
     )
     return ops.backfill_columns(stored.select("arxiv_id", "title", "has_code"), after_earlier(values), "pos")
+
+
+@check(SI + """
+SELECT unnest(['upserted', 'inserted', 'updated', 'failed']) AS outcome, unnest([
+  (SELECT count(*) FROM i), (SELECT count(*) FROM i WHERE arxiv_id NOT IN (SELECT arxiv_id FROM s)),
+  (SELECT count(*) FROM i WHERE arxiv_id IN (SELECT arxiv_id FROM s)),
+  (SELECT count(*) FROM i WHERE arxiv_id::BIGINT % 9 = 0)]) AS papers
+""")
+def upsert_counts(spark, sf):
+    """What came of a batch, counted while the merged table is written; some rows come a second time without an id."""
+    stored, incoming = stored_incoming(spark, sf)
+    blank = incoming.filter(F.col("arxiv_id").cast("long") % 9 == 0).withColumn("arxiv_id", F.lit(" "))
+    batch = incoming.unionByName(blank).withColumn("pos", F.lit(0))
+    path = work_dir(spark, "merged")
+    counts = ops.ingest(stored, batch, "pos", lambda merged: merged.write.parquet(path))
+    return spark.createDataFrame(list(counts.items()), "outcome string, papers long")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..constants import INGEST_PRIORITY
 from ..session import work_dir
 from ..sources.snapshots import PaperTable
 from ..streaming import jobs
@@ -36,6 +37,45 @@ def stream_dedup(spark, sf):
     return spark.read.schema(once.schema).parquet(out).select("event_id", "event_type", "user_id")
 
 
+FIRST_CATEGORY = """WITH copies AS (
+  SELECT event_id AS arxiv_id, user_id % 4 AS place, CASE user_id % 4 WHEN 0 THEN 'cs.LG' WHEN 1 THEN 'cs.CL'
+    WHEN 2 THEN 'cs.CV' ELSE 'math.CO' END AS fetch_category, value FROM events
+  UNION ALL
+  SELECT event_id, (user_id + 1) % 4, CASE (user_id + 1) % 4 WHEN 0 THEN 'cs.LG' WHEN 1 THEN 'cs.CL'
+    WHEN 2 THEN 'cs.CV' ELSE 'math.CO' END, value + 1000 FROM events WHERE event_id % 3 = 0),
+"""
+
+
+@check(FIRST_CATEGORY + """ranked AS (
+  SELECT *, CASE fetch_category {places} END AS rank FROM copies)
+SELECT arxiv_id, fetch_category, value FROM ranked
+QUALIFY row_number() OVER (PARTITION BY arxiv_id ORDER BY rank NULLS LAST) = 1
+""".replace("{places}", " ".join(f"WHEN '{c}' THEN {n}" for n, c in enumerate(INGEST_PRIORITY, 1))))
+def stream_preferred(spark, sf):
+    """Papers fetched for two categories in two micro-batches, half an hour apart: the first category counts."""
+    events = table(spark, sf, "events")
+    names = F.array(*map(F.lit, ["cs.LG", "cs.CL", "cs.CV", "math.CO"]))
+    landed = work_dir(spark, "landed")
+
+    def land(rows, turn, shift, at):
+        rows.select(
+            F.col("event_id").alias("arxiv_id"), F.get(names, ((F.col("user_id") + turn) % 4).cast("int")).alias("fetch_category"),
+            (F.col("value") + shift).alias("value"), F.lit(at).cast("timestamp").alias("landed_at"),
+        ).coalesce(1).write.mode("append").parquet(landed)
+
+    land(events, 0, 0, "2024-03-01 10:00:00")
+    land(events.filter("event_id % 3 = 0"), 1, 1000, "2024-03-01 10:30:00")
+    # A later arrival moves the time on, so that what came before is complete.
+    land(events.limit(1).withColumn("event_id", F.lit(-1).cast("long")), 0, 0, "2024-03-02 10:00:00")
+    schema = "arxiv_id long, fetch_category string, value double, landed_at timestamp"
+    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    best = jobs.stream_preferred(arriving, jobs.category_rank())
+    out = work_dir(spark, "preferred")
+    best.writeStream.format("parquet").option("checkpointLocation", work_dir(spark, "checkpoint")).trigger(
+        availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(schema).parquet(out).filter("arxiv_id >= 0").drop("landed_at")
+
+
 def stored_table(spark, sf) -> PaperTable:
     held = PaperTable(spark, work_dir(spark, "papers"))
     held.replace_months(stored_incoming(spark, sf)[0])

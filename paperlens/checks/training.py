@@ -14,7 +14,7 @@ from ..functions.features import build_features
 from ..operators import boosting, evaluate, ranking, train
 from ..operators.trees import TreeModel, read_tree_model
 from ..plans.training import training_table
-from ..session import materialize, work_dir
+from ..session import store, work_dir
 from ..sources.writers import load_model_meta
 from ..sources.writers import save_model as store_model
 from . import check
@@ -26,7 +26,7 @@ _fits: dict[tuple[str, str], TreeModel] = {}
 
 
 def split_table(spark, sf):
-    return materialize(training_table(papers(spark, sf)), "split")
+    return store(training_table(papers(spark, sf)), "split")
 
 
 def fitted(spark, sf, split) -> TreeModel:

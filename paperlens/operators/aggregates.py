@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import STAR_THRESHOLD
 from ..functions.dates import days_before
+from .cumulative import quantiles
 from .filters import moment
 
 
@@ -92,25 +93,26 @@ def label_backfill_summary(papers: DataFrame) -> DataFrame:
 def author_backfill_summary(papers: DataFrame) -> DataFrame:
     """Progress of the author back-fill, with median and 90th percentile of the enriched rows.
 
-    The percentiles are exact with linear interpolation; their state is one counter per distinct
-    value, and both columns hold small whole numbers.
+    The percentiles are exact with linear interpolation and made from stored counts of values.
     """
     labeled = F.col("github_stars_t60").isNotNull()
     enriched = F.col("max_h_index").isNotNull()
-
-    def quantile(column: str, share: float):
-        return F.percentile(F.when(enriched, F.col(column)), F.lit(share))
-
-    return papers.agg(
+    counts = papers.agg(
         F.count_if(labeled).alias("labeled"),
         F.count_if(labeled & enriched).alias("already_enriched"),
         F.count_if(labeled & ~enriched).alias("pending"),
         F.count_if(enriched).alias("enriched"),
-        quantile("max_h_index", 0.5).alias("h_index_p50"),
-        quantile("max_h_index", 0.9).alias("h_index_p90"),
-        quantile("total_prior_papers", 0.5).alias("prior_papers_p50"),
-        quantile("total_prior_papers", 0.9).alias("prior_papers_p90"),
     )
+    found = quantiles(papers.filter(enriched), ["max_h_index", "total_prior_papers"], [0.5, 0.9])
+
+    def value(feature: str, place: int):
+        return F.max(F.when(F.col("feature") == feature, F.get("q", F.lit(place))))
+
+    shown = found.agg(F.struct(
+        value("max_h_index", 0).alias("h_index_p50"), value("max_h_index", 1).alias("h_index_p90"),
+        value("total_prior_papers", 0).alias("prior_papers_p50"), value("total_prior_papers", 1).alias("prior_papers_p90"),
+    ))
+    return counts.withColumn("_q", shown.scalar()).select(*counts.columns, "_q.*")
 
 
 def scale_pos_weight(labeled: DataFrame, label: str = "label") -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import store
 
 
 def store_ranges(groups: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -17,7 +17,7 @@ def store_ranges(groups: DataFrame, value: str, by: tuple[str, ...] = ()) -> Dat
     goes back to the rows behind ``groups``.
     """
     ranged = groups.repartitionByRange(*by, value).withColumn("_range", F.spark_partition_id())
-    return materialize(ranged, "ranges")
+    return store(ranged, "ranges")
 
 
 def running_sums(ranges: DataFrame, value: str, sums: list[str], by: tuple[str, ...] = (),
@@ -55,3 +55,26 @@ def running_sums(ranges: DataFrame, value: str, sums: list[str], by: tuple[str,
         *[f"all_{s}" for s in sums],
         F.coalesce(F.lead(value).over(within), F.col("_next_first")).alias("next_value"),
     )
+
+
+def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per column: ``(feature, q)`` with an array in order of ``shares``.
+
+    Values are counted map-side, the counts stored in ranges and summed up; no task sees all values of
+    a column. NULLs are left out; a column without values has no row.
+    """
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
+    counts = long.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    ranked = running_sums(store_ranges(counts, "value", ("feature",)), "value", ["n"], ("feature",))
+
+    def at(rank: Column) -> Column:
+        # The value with that many values before it.
+        return F.min(F.when(F.col("cum_n") > rank, F.col("value")))
+
+    def quantile(share: float) -> Column:
+        place = (F.col("all_n") - 1) * F.lit(float(share))
+        low = at(F.floor(place))
+        high = F.coalesce(at(F.floor(place) + 1), low)
+        return low + (high - low) * F.max(place - F.floor(place))
+
+    return ranked.groupBy("feature").agg(F.array(*map(quantile, shares)).alias("q"))

@@ -9,7 +9,7 @@ from ..constants import ENRICHMENT_PREFIX
 from ..functions.labels import has_code_from_repo, prelim_label
 from ..functions.text import empty_to_null
 from .aggregates import author_signals_agg, dedup_last
-from .skew import salted_left_join
+from .skew import heavy_left_join, salted_left_join
 
 
 def attach_code_links(papers: DataFrame, links: DataFrame) -> DataFrame:
@@ -61,15 +61,21 @@ def author_responses(batches: DataFrame) -> DataFrame:
 
 
 def author_aggregate_join(pairs: DataFrame, stats: DataFrame, paper: str = "paper_id",
-                          salts: int = 1) -> DataFrame:
-    """Per paper, over its ``(paper, author_id)`` pairs: highest h-index and summed paper counts."""
-    stats = stats.select("author_id", "h_index", "paper_count")
-    joined = salted_left_join(pairs.select(paper, "author_id"), stats, "author_id", salts)
+                          salts: int | None = None) -> DataFrame:
+    """Per paper, over its ``(paper, author_id)`` pairs: highest h-index and summed paper counts.
+
+    Authors that many pairs name are found by a sketch and joined apart; ``salts`` spreads all alike instead.
+    """
+    stats, pairs = stats.select("author_id", "h_index", "paper_count"), pairs.select(paper, "author_id")
+    if salts is None:
+        joined = heavy_left_join(pairs, stats, "author_id")
+    else:
+        joined = salted_left_join(pairs, stats, "author_id", salts)
     return author_signals_agg(joined, paper)
 
 
 def enrich_authors(papers: DataFrame, stats: DataFrame, no_authors: str = "null",
-                   salts: int = 1) -> DataFrame:
+                   salts: int | None = None) -> DataFrame:
     """Author signals for answered papers ``(arxiv_id, author_ids, ...)``.
 
     A paper without author ids gets NULLs (``no_authors="null"``) or zeros (``"zero"``). ``papers``

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import empty_to_null
@@ -37,14 +39,16 @@ def one_row_per_key(incoming: DataFrame, key: str, order: str, overwrite=(), new
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, key: str, order: str, overwrite=(), new_else_old=(),
-           old_else_new=(), special: dict[str, Column] | None = None) -> DataFrame:
+           old_else_new=(), special: dict[str, Column] | None = None,
+           counts: Observation | None = None) -> DataFrame:
     """Insert new keys, resolve known ones column by column. The stored side has one row per key.
 
     Incoming rows of the same key are first made one, in the order of their ``order`` column.
     Known keys are a left join from the stored side, so its wide rows stay where they are when the
     batch is small enough to broadcast; new keys are an anti join against the stored keys alone.
     Keys are unique on both sides, so none is frequent. Columns the incoming side lacks count as
-    NULL. ``special`` columns refer to the sides as ``s`` and ``i``.
+    NULL. ``special`` columns refer to the sides as ``s`` and ``i``. ``counts`` observes the result as it is
+    written: rows ``updated`` and ``inserted``, one for each key of the batch.
     """
     incoming = one_row_per_key(incoming, key, order, overwrite, new_else_old)
     matched = F.col(f"i.{key}").isNotNull()
@@ -69,15 +73,20 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str, order: str, overwri
 
     known = stored.alias("s").join(
         incoming.alias("i"), F.col(f"s.{key}") == F.col(f"i.{key}"), "left"
-    ).select(*[typed(c, resolve(c)) for c in stored.columns])
+    ).select(*[typed(c, resolve(c)) for c in stored.columns], matched.alias("_updated"))
     added = incoming.join(stored.select(key), key, "left_anti").select(
-        *[typed(c, F.col(c) if c in incoming.columns else F.lit(None)) for c in stored.columns]
+        *[typed(c, F.col(c) if c in incoming.columns else F.lit(None)) for c in stored.columns],
+        F.lit(None).cast("boolean").alias("_updated"),
     )
-    return known.unionByName(added)
+    merged = known.unionByName(added)
+    if counts is not None:
+        merged = merged.observe(
+            counts, F.count_if("_updated").alias("updated"), F.count_if(F.col("_updated").isNull()).alias("inserted"))
+    return merged.drop("_updated")
 
 
 def upsert_papers(stored: DataFrame, incoming: DataFrame, order: str, as_of: Column | None = None,
-                  protect_t60: bool = False) -> DataFrame:
+                  protect_t60: bool = False, counts: Observation | None = None) -> DataFrame:
     """Daily ingest into the paper table. Applying the same batch twice changes nothing.
 
     ``order`` names the incoming column by which copies of a paper are applied one after the other.
@@ -94,7 +103,21 @@ def upsert_papers(stored: DataFrame, incoming: DataFrame, order: str, as_of: Col
         special["hype_label"] = F.when(
             F.col("s.github_stars_t60").isNotNull(), F.col("s.hype_label")
         ).otherwise(F.coalesce("i.hype_label", "s.hype_label"))
-    return upsert(stored, incoming, "arxiv_id", order, OVERWRITE, NEW_ELSE_OLD, OLD_ELSE_NEW, special)
+    return upsert(stored, incoming, "arxiv_id", order, OVERWRITE, NEW_ELSE_OLD, OLD_ELSE_NEW, special, counts)
+
+
+def ingest(stored: DataFrame, incoming: DataFrame, order: str, write: Callable[[DataFrame], None],
+           as_of: Column | None = None, protect_t60: bool = False) -> dict[str, int]:
+    """``write`` the merged table and return what came of the batch, counted in the same pass.
+
+    Rows without an id fail and are left out; ``upserted`` are the papers ``inserted`` and ``updated``.
+    """
+    usable = F.coalesce(F.trim("arxiv_id") != "", F.lit(False))
+    counts, failed = Observation(), Observation()
+    kept = incoming.observe(failed, F.count_if(~usable).alias("failed")).filter(usable)
+    write(upsert_papers(stored, kept, order, as_of, protect_t60, counts))
+    made = counts.get
+    return {"upserted": made["updated"] + made["inserted"], **made, "failed": failed.get["failed"]}
 
 
 def _update(papers: DataFrame, changes: DataFrame, columns: list[str], order: str, key: str) -> DataFrame:

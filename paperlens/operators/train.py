@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..constants import FEATURE_COLS
 from ..functions.scores import round4
 from ..schemas import RUN_LOG
-from ..session import materialize, work_dir
+from ..session import store, work_dir
 from . import boosting
 from .boosting import DEFAULT_TREES, FIT_ROWS, SEED
 from .evaluate import best_f1_threshold, metric_bundle, ranking
@@ -195,7 +195,7 @@ def param_sweep(train: DataFrame, val: DataFrame, trials: int = 50, label: str =
     settings = draw_params(trials, space, seed)
     weight = scale_pos_weight(train, label)
     fits, uses = boosting.shared_fits([boosting.DEFAULT_TREES | s for s in settings])
-    trees = materialize(
+    trees = store(
         boosting.fit_many(spark, boosting.bounded_rows(train, label, features, weight, rows), fits, seed), "trees")
     models = boosting.collected(trees, features)
     scored = boosting.score_ensembles(val.select(label, *features), models, uses)
@@ -213,7 +213,7 @@ def param_sweep(train: DataFrame, val: DataFrame, trials: int = 50, label: str =
     drawn = [(trial_name(n), "param", k, str(v)) for n, s in enumerate(settings)
              for k, v in (s | {"scale_pos_weight": weight}).items()]
     drawn += [(trial_name(n), "tag", "trial_number", str(n)) for n in range(trials)]
-    return settings, spark.createDataFrame(drawn, RUN_LOG).unionByName(materialize(results, "trials"))
+    return settings, spark.createDataFrame(drawn, RUN_LOG).unionByName(store(results, "trials"))
 
 
 def refit_and_test(split: DataFrame, params: dict, label: str = "label",

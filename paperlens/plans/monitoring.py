@@ -13,7 +13,7 @@ from ..operators.filters import has_min_rows
 from ..operators.quality import quality_summary
 from ..operators.split import reference_sample
 from ..operators.trees import TreeModel, score_trees
-from ..session import materialize
+from ..session import store
 from ..sources.readers import read_papers_window
 from ..sources.writers import append_metrics, write_drift_report
 
@@ -31,9 +31,9 @@ def monitor(seed_papers: DataFrame, papers: DataFrame, as_of: str, report_path:
     if not has_min_rows(current, min_rows):
         return False
     # Texts are read once: everything below works on the stored 27 columns.
-    matrix = materialize(build_features(current, ("arxiv_id",)), "current")
+    matrix = store(build_features(current, ("arxiv_id",)), "current")
     reference = build_features(reference_sample(seed_papers, reference_rows))
-    drift = materialize(feature_drift(reference, matrix, family), "drift")
+    drift = store(feature_drift(reference, matrix, family), "drift")
     profile = quality_summary(matrix)
     # Both have one row per feature.
     write_drift_report(profile.join(F.broadcast(drift), "feature", "left"), report_path, as_of[:10])

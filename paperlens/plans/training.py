@@ -10,7 +10,7 @@ from ..operators.filters import drop_unlabeled
 from ..operators.ranking import best_trial
 from ..operators.split import stratified_split, train_plus_val
 from ..operators.train import SEARCH_SPACE, param_sweep, refit_and_test, scale_pos_weight
-from ..session import materialize
+from ..session import store
 from ..sources.writers import log_run, save_model
 
 
@@ -25,7 +25,7 @@ def train_flow(papers: DataFrame, run_path: str, model_path: str, trials: int =
                space: dict = SEARCH_SPACE, name: str = "paper-hype", version: str = "1") -> dict:
     """Split, sweep, refit, measure, log and save. The split is written once and read by all trials."""
     spark = papers.sparkSession
-    split = materialize(training_table(papers), "split")
+    split = store(training_table(papers), "split")
     train, val = (split.filter(F.col("split") == s) for s in ("train", "val"))
     settings, runs = param_sweep(train, val, trials, space=space)
     runs.coalesce(1).write.mode("append").parquet(run_path)

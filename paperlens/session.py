@@ -61,18 +61,21 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss.
-
-    The shuffle files behind the written table are of no more use; ``release`` lets them go.
-    """
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
-    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``store`` for large tables: the shuffle files behind the written one are of no more use and let go."""
+    stored = store(df, name)
+    release(df.sparkSession)
+    return stored
+
+
 def release(spark: SparkSession) -> None:
     """Have the driver notice plans that are done, so that their shuffle files are deleted on all executors."""
     gc.collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,38 @@ def write_backfill(papers: DataFrame, path: str) -> None:
     write_seed(papers.drop("submitted_month"), path)
 
 
+def _finished(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def backfill_in_chunks(papers: DataFrame, fill: Callable[[DataFrame], DataFrame], path: str, chunks: int = 32,
+                       most: int | None = None, key: str = "arxiv_id") -> list[int]:
+    """A back-fill that goes on where a run before it ended; the chunks this run has done.
+
+    Papers are told apart by a hash of their key. ``fill`` makes the snapshot rows of one chunk, which are
+    written to a folder of their own; the mark that ends a write is the ledger entry of the chunk. A run
+    that is killed loses the chunk it was at and nothing else. ``most`` bounds the chunks of a run. The
+    number of chunks stays the same over all runs on a path, and a row has the same key in all of them.
+    """
+    spark, done = papers.sparkSession, []
+    place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(chunks))
+    for chunk in range(chunks):
+        folder = f"{path}/chunk={chunk}"
+        if _finished(spark, folder):
+            continue
+        if most is not None and len(done) >= most:
+            break
+        fill(papers.filter(place == chunk)).write.mode("overwrite").parquet(folder)
+        done.append(chunk)
+    return done
+
+
+def backfill_done(spark: SparkSession, path: str, chunks: int = 32) -> bool:
+    """Whether every chunk has its ledger entry: the snapshot under ``path`` is whole."""
+    return all(_finished(spark, f"{path}/chunk={chunk}") for chunk in range(chunks))
+
+
 def append_metrics(metrics: DataFrame, path: str) -> None:
     """Append metric samples ``(name, labels, value, ts)``; labels are stored by label name, in sink order."""
     ordered = F.map_from_entries(F.sort_array(F.map_entries("labels")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,6 +44,26 @@ def stream_dedup(papers: DataFrame, key: str = "arxiv_id", landed: str = "landed
     return papers.withWatermark(landed, delay).dropDuplicatesWithinWatermark([key])
 
 
+def stream_preferred(papers: DataFrame, rank: Column, key: str = "arxiv_id", landed: str = "landed_at",
+                     delay: str = "1 hour") -> DataFrame:
+    """Of the copies of a key that land less than ``delay`` after one another, that of the lowest ``rank``.
+
+    Copies may come in different micro-batches: what is kept of a key is its best copy so far, and it
+    comes out when ``delay`` has passed without another. Equal ranks go by arrival, a NULL rank is the last.
+    """
+    order = F.struct(rank.isNull().alias("unranked"), rank.alias("rank"), F.col(landed).alias("at"))
+    best = F.min_by(F.struct(*papers.columns), order)
+    return (
+        papers.withWatermark(landed, delay).groupBy(F.session_window(landed, delay), key)
+        .agg(best.alias("_best")).select("_best.*")
+    )
+
+
+def category_rank(column: str = "fetch_category") -> Column:
+    """Place of a category in fetch order; NULL for others."""
+    return F.nullif(F.array_position(F.array(*map(F.lit, INGEST_PRIORITY)), F.col(column)), F.lit(0))
+
+
 def _run(changes: DataFrame, checkpoint: str, name: str,
          apply: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return (
@@ -64,7 +84,7 @@ def _publish(table: PaperTable, batch: DataFrame,
             months |= {r[0] for r in new}
         if months:
             stored = table.read(sorted(months)).drop("submitted_month")
-            table.replace_months(merge(stored, batch))
+            table.replace_months(merge(stored, batch), batch)
     finally:
         batch.unpersist()
 
@@ -75,13 +95,13 @@ def ingest_stream(papers: DataFrame, table: PaperTable, checkpoint: str,
     """Paper rows into the table. Of several copies that of the first category in fetch order counts.
 
     The category a row was fetched for is in ``fetch_category``; rows without one, or of another
-    category, come after the listed ones. ``as_of`` is the time of ingest, by default the present one.
+    category, come after the listed ones. Copies in one micro-batch are compared here; pass the stream
+    through ``stream_preferred`` first where they may come in several. ``as_of`` is the time of ingest, by default the present one.
     """
     now = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
-    place = F.array_position(F.array(*map(F.lit, INGEST_PRIORITY)), F.col("fetch_category"))
 
     def apply(batch: DataFrame, number: int) -> None:
-        order = F.nullif(place, F.lit(0)) if "fetch_category" in batch.columns else F.lit(None).cast("long")
+        order = category_rank() if "fetch_category" in batch.columns else F.lit(None).cast("long")
         once = dedup_first(batch.withColumn("_order", order), "arxiv_id", "_order")
         once = once.drop("_order", "fetch_category")
         once = enrich(once) if enrich else once

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from paperlens import schemas
 from paperlens.operators import joins
 from paperlens.operators.aggregates import dedup_first, dedup_last
+from paperlens.operators.cumulative import quantiles
 from paperlens.operators.filters import lookup_candidates
-from paperlens.operators.merge import backfill_columns, update_labels, update_lookup_fields, upsert_papers
-from paperlens.operators.skew import salted_left_join
+from paperlens.operators.merge import backfill_columns, ingest, update_labels, update_lookup_fields, upsert_papers
+from paperlens.operators.skew import heavy_keys, heavy_left_join, salted_left_join
+from paperlens.sources.writers import backfill_done, backfill_in_chunks
 
 
 def batches(spark, kind, rows):
@@ -181,3 +183,57 @@ def test_daily_hydration(spark):
     one = found["1"]
     assert (one["hf_paper_id"], one["hf_upvotes"], one["hf_github_repo"], one["has_code"], one["hype_label"]) == ("1", 6, None, False, True)
     assert found["2"]["hf_upvotes"] == 9
+
+
+def test_heavy_keys_are_found_and_joined_apart(spark):
+    rows = [(k % 3 if k % 2 else k, k) for k in range(4000)] + [(None, -k) for k in range(500)]
+    facts = spark.createDataFrame(rows, "a long, b long").repartition(8)
+    lookup = spark.range(2000).select(F.col("id").alias("a"), (F.col("id") * 2).alias("c"))
+    assert sorted(heavy_keys(facts, "a", share=0.05)) == [0, 1, 2]
+    for share in (0.05, 2.0):
+        made = heavy_left_join(facts, lookup, "a", share=share)
+        assert sorted(map(tuple, made.collect()), key=repr) == sorted(map(tuple, facts.join(lookup, "a", "left").collect()), key=repr)
+    # The frequent keys do not take part in a shuffle by key.
+    assert "BroadcastHashJoin" in heavy_left_join(facts, lookup, "a", share=0.05)._jdf.queryExecution().toString()
+    assert heavy_left_join(facts.limit(0), lookup, "a").count() == 0
+
+
+def test_outcome_of_an_ingest(spark, tmp_path):
+    stored = spark.createDataFrame([("1", "old"), ("2", "old")], "arxiv_id string, title string")
+    rows = [("2", "new", 0), ("3", "new", 0), ("3", "newer", 1), (None, "x", 0), (" ", "y", 0)]
+    batch = spark.createDataFrame(rows, "arxiv_id string, title string, pos int")
+    path = str(tmp_path / "merged")
+    counts = ingest(stored, batch, "pos", lambda merged: merged.write.parquet(path))
+    assert counts == {"upserted": 2, "updated": 1, "inserted": 1, "failed": 2}
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("1", "old"), ("2", "new"), ("3", "newer")}
+
+
+def test_a_killed_backfill_goes_on(spark, tmp_path):
+    papers = spark.range(200).select(F.col("id").cast("string").alias("arxiv_id"))
+    path, seen = str(tmp_path / "snapshot"), []
+
+    def fill(part):
+        if len(seen) == 2:
+            raise RuntimeError("killed")
+        seen.append(part.count())
+        return part.withColumn("stars", F.length("arxiv_id"))
+
+    with pytest.raises(RuntimeError):
+        backfill_in_chunks(papers, fill, path, 5)
+    assert len(seen) == 2 and not backfill_done(spark, path, 5)
+    later = backfill_in_chunks(papers, lambda part: part.withColumn("stars", F.length("arxiv_id")), path, 5)
+    assert len(later) == 3 and backfill_done(spark, path, 5)
+    assert backfill_in_chunks(papers, fill, path, 5) == []
+    assert sorted(r[0] for r in spark.read.parquet(path).select("arxiv_id").collect()) == sorted(str(k) for k in range(200))
+
+
+def test_exact_quantiles(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, rng.randrange(30)]), rng.random(), None) for _ in range(501)]
+    df = spark.createDataFrame(rows, "a int, b double, c int").repartition(6)
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    found = {r["feature"]: r["q"] for r in quantiles(df, ["a", "b", "c"], shares).collect()}
+    assert set(found) == {"a", "b"}
+    for name in found:
+        expected = df.agg(F.percentile(name, F.array(*map(F.lit, shares)))).first()[0]
+        assert found[name] == pytest.approx(expected)

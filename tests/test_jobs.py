@@ -140,3 +140,50 @@ def test_stream_dedup_over_two_runs(spark, tmp_path):
     # A paper much older than all before.
     land(landed, "c.json", [{"arxiv_id": "0", "submitted_at": "2001-01-01T00:00:00Z"}, {"arxiv_id": "2", "submitted_at": "2024-01-02T00:00:00Z"}])
     assert run() == ["0", "1", "2"]
+
+
+def test_a_batch_reads_the_index_by_bucket(spark, tmp_path):
+    held = table(spark, tmp_path)
+    assert {tuple(r) for r in held.index().collect()} == {(r["arxiv_id"], r["submitted_month"]) for r in held.read().collect()}
+    batch = spark.createDataFrame([("2",), ("none",)], "arxiv_id string")
+    part = held.index(batch)
+    assert "PartitionFilters: [bucket" in part._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert held.touched_months(batch) == ["2024-03"]
+    # Against a scan of the table, for every key.
+    for key, row in current(held).items():
+        assert held.touched_months(spark.createDataFrame([(key,)], "arxiv_id string")) == [row["submitted_month"]]
+
+
+def test_the_index_keeps_up_and_can_be_made_anew(spark, tmp_path):
+    held = table(spark, tmp_path)
+    new = spark.createDataFrame([paper(**FULL | {"arxiv_id": "9", "submitted_at": datetime(2024, 3, 7)})], schemas.PAPERS)
+    for _ in range(2):
+        march = held.read(["2024-03"]).drop("submitted_month")
+        held.replace_months(march.unionByName(new).dropDuplicates(["arxiv_id"]), new)
+        assert held.index().filter("arxiv_id = '9'").count() == 1
+    before = {tuple(r) for r in held.index().collect()}
+    held.reindex()
+    assert {tuple(r) for r in held.index().collect()} == before
+    other = PaperTable(spark, held.path, buckets=held.buckets)
+    assert other.touched_months(new) == ["2024-03"]
+
+
+def test_preferred_copy_over_batches(spark, tmp_path):
+    source, out = tmp_path / "landed", str(tmp_path / "out")
+    schema = "arxiv_id string, fetch_category string, n int, landed_at timestamp"
+    land(source, "a.json", [{"arxiv_id": k, "fetch_category": c, "n": 1, "landed_at": "2024-01-01 00:00:00"}
+                            for k, c in (("1", "cs.CL"), ("2", "cs.LG"), ("3", None), ("4", "cs.CV"))])
+    start = lambda: jobs.stream_preferred(
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(source)), jobs.category_rank()
+    ).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(out)
+    start().awaitTermination()
+    land(source, "b.json", [{"arxiv_id": k, "fetch_category": c, "n": 2, "landed_at": "2024-01-01 00:40:00"}
+                            for k, c in (("1", "cs.LG"), ("2", "cs.LG"), ("3", "cs.AI"))])
+    start().awaitTermination()
+    land(source, "c.json", [{"arxiv_id": "4", "fetch_category": "cs.LG", "n": 3, "landed_at": "2024-01-01 09:00:00"},
+                            {"arxiv_id": "5", "fetch_category": "cs.LG", "n": 3, "landed_at": "2024-01-02 09:00:00"}])
+    start().awaitTermination()
+    found = sorted((r["arxiv_id"], r["n"]) for r in spark.read.schema(schema).parquet(out).collect())
+    # 4 comes again after the delay, as a new fetch; 5 is still waiting.
+    assert found == [("1", 2), ("2", 1), ("3", 2), ("4", 1), ("4", 3)]

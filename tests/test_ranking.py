@@ -92,6 +92,18 @@ def test_request_batches(spark):
     assert sorted(sum(chunks, []), key=int) == [str(i) for i in range(1003)]
 
 
+def test_chunks_of_many_buckets(spark):
+    ids = spark.range(5003).select(F.col("id").cast("string").alias("arxiv_id"))
+    ids = ids.unionByName(ids.limit(700)).unionByName(spark.createDataFrame([(None,)], "arxiv_id string"))
+    for per_bucket in (1, 3, 1000):
+        rows = ops.chunk_requests(ids, 100, chunks_a_bucket=per_bucket).collect()
+        assert sorted(r["chunk"] for r in rows) == list(range(51))
+        assert sorted(len(r["ids"]) for r in rows) == [3] + [100] * 50
+        assert {len(r["ids"]) for r in rows if r["chunk"] < 50} == {100}
+        assert sorted(sum((r["ids"] for r in rows), []), key=int) == [str(i) for i in range(5003)]
+    assert ops.chunk_requests(ids.limit(0), 100).count() == 0
+
+
 def test_top_k(spark):
     rows = [(t, f, float((t * 7 + f * 3) % 11)) for t in range(4) for f in range(12)]
     df = spark.createDataFrame(rows, "ts int, feature int, value double")
