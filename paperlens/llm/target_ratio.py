@@ -132,4 +132,7 @@ def rules_report(docs: DataFrame, trusted: DataFrame, threshold: float = -0.15)
     total = F.aggregate("_places", F.lit(0.0), lambda sum_, b: sum_ + F.get("_ratios", b))
     llr = F.when(F.size("_places") > 0, total / F.size("_places")).otherwise(0.0)
     out = out.withColumn("llr", llr).drop("_places", "_ratios")
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    # A filter on the measures is not pushed below a generator; in the projections it would repeat all their steps.
+    measures = out.columns[1:]
+    return out.select("doc_id", F.stack(F.lit(1), *measures).alias(*measures))

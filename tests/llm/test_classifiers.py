@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -146,6 +147,48 @@ def test_ratio_tells_junk_from_text(spark, tables):
     assert rows.kept[rows.quality == 1].mean() > 0.99 and rows.kept[rows.quality == 0].mean() < 0.15
 
 
+def test_a_filter_does_not_repeat_the_steps(spark):
+    """Long texts: 60 words took 40 seconds where the filter went below the steps."""
+    text = " ".join(f"w{k % 90}" for k in range(400))
+    docs = spark.createDataFrame([(1, text), (2, text + " more")], "doc_id long, text string")
+    report = target_ratio.rules_report(docs, docs.select("doc_id"))
+    whole = {tuple(r) for r in report.collect()}
+    start = time.time()
+    assert {tuple(r) for r in report.filter("kept or not base_failed or n_words > 0").collect()} == whole
+    assert time.time() - start < 60
+
+
+def brute_ratios(docs, trusted):
+    """Mean log ratio of every document by plain counting; hashes are Spark's."""
+    spark = trusted.sparkSession
+    grams = {}
+    for number, (doc_id, text) in enumerate(docs):
+        words = [w for w in re.split("[ \t-\r]+", text or "") if w]
+        grams[number] = [(w,) for w in words] + list(zip(words, words[1:]))
+    every = sorted({g for gs in grams.values() for g in gs})
+    rows = spark.createDataFrame([(k, list(g)) for k, g in enumerate(every)], "k int, g array<string>")
+    one = F.xxhash64(F.xxhash64(F.get("g", F.lit(0))))
+    two = F.xxhash64(F.xxhash64(F.get("g", F.lit(0))), F.xxhash64(F.get("g", F.lit(1))))
+    place = F.shiftrightunsigned(F.when(F.size("g") == 1, one).otherwise(two), 48)
+    bucket = {every[r[0]]: r[1] for r in rows.select("k", place).collect()}
+    good = {r[0] for r in trusted.collect()}
+    raw = Counter(bucket[g] for gs in grams.values() for g in gs)
+    aim = Counter(bucket[g] for number, gs in grams.items() if docs[number][0] in good for g in gs)
+    all_raw, all_aim = sum(raw.values()), sum(aim.values())
+    ratio = {b: math.log((aim[b] + 1) / (all_aim + target_ratio.BUCKETS)) - math.log((raw[b] + 1) / (all_raw + target_ratio.BUCKETS)) for b in raw}
+    return [sum(ratio[bucket[g]] for g in gs) / len(gs) if gs else 0.0 for gs in grams.values()]
+
+
+def test_ratio_and_verdict_by_brute_force(spark, odd, odd_rows):
+    trusted = spark.createDataFrame([(i,) for i in (6, 8, 11, 16)], "doc_id long")
+    expected = brute_ratios([(r[0], r[1]) for r in odd_rows], trusted)
+    found = target_ratio.rules_report(odd, trusted).collect()
+    assert len(found) == len(expected)
+    for (row, wanted), r in zip(zip(odd_rows, expected), found):
+        assert r.doc_id == row[0] and r.llr == pytest.approx(wanted)
+        assert r.kept == (not r.base_failed and r.llr >= -0.15)
+
+
 def test_all_trusted_documents_count(spark, tmp_path):
     """Where every document is labelled good, both multinomials are the same, however many there are."""
     rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.concat(F.lit("w"), F.col("id") * 10 + k) for k in range(10)]).alias("text"))
