@@ -13,7 +13,7 @@ from functools import cache
 
 import numpy as np
 
-from .textblocks import ragged, span_hashes
+from .textblocks import firm_hashes, ragged, span_hashes
 
 BLANK, QUOTE = 0x20, 0x27
 SPACE_CLASS, LETTER, NUMBER, OTHER = 0, 1, 2, 3
@@ -133,7 +133,7 @@ class PieceTable:
         ends = np.append(starts[1:], len(points))
         values = points * SPREAD
         values ^= values >> np.uint64(29)
-        hashes = span_hashes(values, starts, ends)
+        hashes = firm_hashes(points, starts, ends, span_hashes(values, starts, ends))
         keys, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > self.most:
             self.clear()

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK_BYTES = 1 << 19
 
@@ -61,6 +62,17 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         return mixed(spans + (ends - starts).astype(np.uint64))
 
 
+# Spans from here on get a hash of their bytes: sums of powers modulo 2^64 agree on some long periodic words.
+LONG = 256
+
+
+def firm_hashes(content: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """``hashes`` of spans, those of long spans made from their whole content."""
+    for k in np.flatnonzero(ends - starts >= LONG).tolist():
+        hashes[k] = xxhash.xxh3_64_intdigest(content[starts[k]: ends[k]].tobytes())
+    return hashes
+
+
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, byte offsets of the rows) of consecutive rows; a null text is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -97,8 +109,8 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash of each word, index of each row's first word); ``lower`` folds A-Z only."""
     starts, ends, rows = word_bounds(data, offsets)
-    values = BYTE_VALUES[LOWER[data] if lower else data]
-    return span_hashes(values, starts, ends), rows
+    data = LOWER[data] if lower else data
+    return firm_hashes(data, starts, ends, span_hashes(BYTE_VALUES[data], starts, ends)), rows
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
