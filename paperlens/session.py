@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -71,15 +72,22 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``store`` for large tables: the shuffle files behind the written one are of no more use and let go."""
-    stored = store(df, name)
-    release(df.sparkSession)
+    spark, stored = df.sparkSession, store(df, name)
+    # As long as the plan has a name here, its shuffle files stay.
+    del df
+    release(spark)
     return stored
 
 
 def release(spark: SparkSession) -> None:
-    """Have the driver notice plans that are done, so that their shuffle files are deleted on all executors."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Have the driver notice plans that are done, so that their shuffle files are deleted on all executors.
+
+    What a plan refers to is only seen to be free once the plan itself is gone, hence the second round.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def remove(df: DataFrame) -> None:
