@@ -23,12 +23,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..operators.skew import heavy_keys
+from ..session import materialize, remove
 from .textblocks import blocks, gram_hashes, word_hashes
 
 WINDOW = 20
 PHRASE = 8
-SHARD_DOCUMENTS = 1000
+# A shard has about so many origins, and a part of it so many documents and words that stream.
+SHARD_DOCUMENTS, SHARD_WORDS = 1000, 1_000_000
 FIRST = -(1 << 63)
 NOTHING = hashlib.sha256(b"").hexdigest()
 
@@ -72,12 +74,20 @@ def described(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, fields)
 
 
-def routes(firsts: DataFrame, shards: int) -> DataFrame:
-    """shard, node, doc, at: the shards of each document, and the positions of the phrases it is the origin of."""
+def routes(firsts: DataFrame, shards: int, hot: list[int]) -> DataFrame:
+    """shard, node, doc, at: the shards of each document, and the positions of the phrases it is the origin of.
+
+    Rows of ``hot`` phrases, a few that very many documents hold, stay where they are and meet their origins there.
+    """
     found = firsts.select("node", "doc", F.explode(F.arrays_zip("phrases", "positions")).alias("p"))
     found = found.select("node", "doc", F.col("p.phrases").alias("phrase"), F.col("p.positions").alias("position"))
     origins = found.groupBy("phrase").agg(F.count("*").alias("times"), F.min("doc").alias("origin")).filter("times > 1").drop("times")
-    met = found.join(origins, "phrase")
+    if hot:
+        apart = F.col("phrase").isin(hot)
+        met = found.filter(~apart).join(origins.filter(~apart), "phrase").unionByName(
+            found.filter(apart).join(F.broadcast(origins.filter(apart)), "phrase"))
+    else:
+        met = found.join(origins, "phrase")
     shard = F.pmod(F.xxhash64("origin"), F.lit(shards)).cast("int")
     own = F.when(F.col("origin") == F.col("doc"), F.col("position"))
     return met.groupBy(shard.alias("shard"), "node", "doc").agg(F.sort_array(F.collect_set(own)).alias("at"))
@@ -183,24 +193,32 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     every = materialize(described(docs), "phrases")
     keyed = every.withColumn("doc", order_key(F.col("doc_id")))
-    classes = keyed.filter(F.col("n_words") >= WINDOW).groupBy("node").agg(F.min("doc").alias("doc"))
+    classes = keyed.filter(F.col("n_words") >= WINDOW).groupBy("node").agg(
+        F.min("doc").alias("doc"), F.max("n_words").alias("n_words"))
     firsts = keyed.filter(F.col("n_words") >= WINDOW).join(classes, ["node", "doc"], "left_semi")
     firsts = firsts.select("node", "doc", "phrases", "positions").dropDuplicates(["node"])
-    shards = -(-classes.count() // SHARD_DOCUMENTS) or 1
-    routed = materialize(routes(firsts, shards), "phrase-routes")
+    size = classes.agg(F.count("*").alias("documents"), F.coalesce(F.sum("n_words"), F.lit(0)).alias("words")).first()
+    shards = max(1, -(-size["documents"] // SHARD_DOCUMENTS), -(-size["words"] // SHARD_WORDS))
+    hot = heavy_keys(every.select(F.explode("phrases").alias("phrase")), "phrase")
+    routed = materialize(routes(firsts, shards, hot), "phrase-routes")
 
     # The texts that stream: those of the first copies that have a recurring phrase.
     wanted = routed.select("node", "doc").distinct()
-    texts = docs.withColumn("doc", order_key(F.col("doc_id"))).join(wanted, "doc").select("node", "text")
+    # Each is moved once: rows of one id lie together when the ones that are equal in their words are made one.
+    one_blank = F.trim(F.regexp_replace("text", "[ \\t-\\r]+", " "))
+    texts = docs.withColumn("doc", order_key(F.col("doc_id"))).join(wanted, "doc").withColumn("words", F.xxhash64(one_blank))
+    texts = texts.dropDuplicates(["doc", "node", "words"]).select("node", "text")
     texts = materialize(same_words(texts), "phrase-texts")
 
     # A shard with many documents has many parts; its origins go to each of them.
-    load = routed.groupBy("shard").agg(F.ceil(F.count("*") / (2 * SHARD_DOCUMENTS)).cast("int").alias("parts"))
+    load = routed.join(classes.select("node", "n_words"), "node").groupBy("shard").agg(F.ceil(F.greatest(
+        F.count("*") / (2 * SHARD_DOCUMENTS), F.sum("n_words") / (2 * SHARD_WORDS))).cast("int").alias("parts"))
     rows = routed.join(load, "shard").withColumn("home", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     part = F.when(F.size("at") > 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("home"))
     rows = rows.withColumn("part", F.explode(part)).withColumn("streamed", F.col("part") == F.col("home"))
     rows = rows.select("shard", "part", "node", "doc", "at", "streamed").join(texts, "node")
     found = materialize(located(rows), "phrase-windows")
+    remove(routed)
 
     undecided = found.select("node", "doc", F.explode(F.arrays_zip("open", "hashes")).alias("w"))
     undecided = undecided.select("node", "doc", F.col("w.open").alias("start"), F.col("w.hashes").alias("hash"))
@@ -221,7 +239,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 
 def same_words(rows: DataFrame) -> DataFrame:
-    """One text for each node among those found by document id: the one with these words."""
+    """The texts, among those found by document id, that have the words of their node."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,4 +249,4 @@ def same_words(rows: DataFrame) -> DataFrame:
                 keep += [digest(words[a:b]) == nodes[row + k] for k, (a, b) in enumerate(zip(bounds, bounds[1:]))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node long, text string")
