@@ -90,7 +90,7 @@ def write_backfill(spark, sf):
 
 @check(P + """
 SELECT arxiv_id, CASE WHEN has_code AND doc_id % 2 = 0 THEN cast(doc_id % 150 AS INT)
-  ELSE CASE WHEN doc_id % 2 = 1 THEN github_stars_t60 END END AS github_stars_t60, [3, 5, 0] AS chunks_by_run FROM papers
+  ELSE CASE WHEN doc_id % 2 = 1 THEN github_stars_t60 END END AS github_stars_t60, '3, 5, 0' AS chunks_by_run FROM papers
 """)
 def write_backfill_resumed(spark, sf):
     """A run that may do three of eight chunks, one that does the rest, and one that finds nothing to do."""
@@ -111,7 +111,7 @@ def write_backfill_resumed(spark, sf):
     if not writers.backfill_done(spark, second, 8):
         raise ValueError("the snapshot is not whole")
     return spark.read.parquet(second).select(
-        "arxiv_id", "github_stars_t60", F.array(*map(F.lit, done)).alias("chunks_by_run"))
+        "arxiv_id", "github_stars_t60", F.lit(", ".join(map(str, done))).alias("chunks_by_run"))
 
 
 def feed_files(spark, sf):
