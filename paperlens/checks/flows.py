@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLS
+from ..operators.trees import read_tree_model, score_papers
 from ..plans.curate import curate as curate_plan
 from ..plans.monitoring import monitor as monitor_plan
+from ..plans.training import train_flow as train_plan
 from ..session import work_dir
 from ..sources import readers, writers
 from . import check
@@ -48,3 +50,21 @@ def monitor_flow(spark, sf):
     lines = spark.read.parquet(report).agg(F.count("*")).scalar().cast("int")
     feature = F.coalesce(F.element_at("labels", "feature"), F.lit(""))
     return found.select("name", feature.alias("feature"), size.alias("papers"), lines.alias("report_rows"))
+
+
+@check("""
+SELECT printf('trial-%03d', i) AS run_id, kind, n::BIGINT AS n
+FROM range(50) t(i), (VALUES ('param', 10), ('metric', 2), ('objective', 1), ('tag', 1)) v(kind, n)
+UNION ALL SELECT 'paper-hype-best', kind, n::BIGINT FROM (VALUES ('param', 23), ('metric', 4), ('tag', 1)) v(kind, n)
+""")
+def train_flow(spark, sf):
+    """Split, 50 trials, refit, test, log and save: what the run table holds; the stored model is read back and scores."""
+    runs, model = work_dir(spark, "runs"), work_dir(spark, "model")
+    rows = papers(spark, sf).drop("doc_id")
+    metrics = train_plan(rows, runs, model)
+    stored = read_tree_model(spark, model)
+    if stored.threshold != metrics["optimal_threshold"]:
+        raise ValueError("the stored threshold is not the one that was found")
+    if not score_papers(rows, stored).filter("hype_score IS NULL OR hype_score NOT BETWEEN 0 AND 1").isEmpty():
+        raise ValueError("scores of the stored model are out of bounds")
+    return spark.read.parquet(runs).groupBy("run_id", "kind").agg(F.count("*").alias("n"))
