@@ -2,8 +2,8 @@
 
 A source's documents are cut into blocks. With the weight w of its source, block j (from 1) may be
 placed from slot floor((j - 1) / w) on and must be placed before slot ceil(j / w); at every slot the
-released block with the earliest deadline goes. Weights are multiples of 1 / ``slots``, so the
-schedule repeats after that many slots: one period is made, and every block finds its slot in it by
+released block with the earliest deadline goes. Weights are multiples of one over the slots of a
+period, so the schedule repeats after it: one period is made, and every block finds its slot in it by
 arithmetic. At any slot each source is within one block of its weight's share.
 """
 
@@ -12,7 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import small_rows
+
 BUCKET_ROWS = 1_000
+# Slots that a period has for each source, at least, so that the one slot that each has by right is a tenth of all.
+SLOTS_EACH = 10
+# The schedule of one period is a fold in one task, whose work is sources times slots.
+MOST_SOURCES = 1_000
 
 
 def shares(weights: DataFrame, slots: int) -> DataFrame:
@@ -48,9 +54,12 @@ def period(sources: DataFrame, slots: int) -> DataFrame:
             released = F.floor(had * slots / s["share"]) <= slot
             return F.when(released, F.struct(F.ceil((had + 1) * slots / s["share"]).alias("by"), i.alias("i")))
 
-        first = F.array_min(F.transform("sources", deadline))["i"]
-        had = F.transform(state["had"], lambda n, i: n + F.when(i == first, 1).otherwise(0))
-        return F.struct(had.alias("had"), F.concat(state["picks"], F.array(F.coalesce(first, F.lit(-1)))).alias("picks"))
+        def placed(first: Column) -> Column:
+            had = F.transform(state["had"], lambda n, i: n + F.when(i == first, 1).otherwise(0))
+            return F.struct(had.alias("had"), F.concat(state["picks"], F.array(F.coalesce(first, F.lit(-1)))).alias("picks"))
+
+        # As the argument of a lambda, the earliest deadline is looked for once a slot and not once a source.
+        return F.get(F.transform(F.array(F.array_min(F.transform("sources", deadline))["i"]), placed), F.lit(0))
 
     # Shares of no source at all, of an empty table, give no period.
     slots_of = F.when(F.size("sources") > 0, F.sequence(F.lit(0), F.lit(slots - 1))).otherwise(F.array().cast("array<int>"))
@@ -89,9 +98,10 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16,
     """``docs`` placed in a mixture: ``slot``, ``epoch`` and ``block`` beside the columns of ``docs``.
 
     ``weights`` (source, weight > 0) gives the target share of blocks; by default a source weighs its
-    number of documents to the power ``power``, which brings small sources forward. ``slots`` bounds the
-    number of sources and the precision of the weights; a source without a weight is an error of the
-    caller and is left out by the join. With ``repeat`` every source goes round until the one that takes
+    number of documents to the power ``power``, which brings small sources forward. A period has ``slots``
+    slots, the precision of the weights, or SLOTS_EACH for each source if that is more; the sources are
+    counted at once, and more than MOST_SOURCES are an error. A source without a weight is an error of
+    the caller and is left out by the join. With ``repeat`` every source goes round until the one that takes
     longest has been placed once, so the target holds to the last slot, no document is left out, and
     ``epoch`` counts the rounds; without it every document is placed once, and a source that has ended
     leaves its slots empty. Within a source the order is that of a digest of doc_id. A null source is a
@@ -99,10 +109,11 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16,
     gives no rows. Columns named slot, epoch or block are replaced.
     """
     rows = docs.drop("slot", "epoch", "block").withColumn("_key", key_of(F.col("source")))
-    # One row for each source, of which there are at most ``slots``: small enough to broadcast.
+    # One row for each source, of which there are at most MOST_SOURCES: small enough to broadcast.
     sizes = rows.groupBy("_key").agg(F.count("*").alias("_size"))
     if weights is None:
         weights = rows.groupBy("source").agg(F.pow(F.count("*"), F.lit(power)).alias("weight"))
+    slots = max(slots, SLOTS_EACH * len(small_rows(weights.select("source"), MOST_SOURCES, "sources")))
     per_source = period(shares(weights, slots), slots).groupBy("source").agg(
         F.first("share").alias("_share"), F.sort_array(F.collect_list("slot")).alias("_slots"),
     ).select(key_of(F.col("source")).alias("_key"), "_share", "_slots")

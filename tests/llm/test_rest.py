@@ -86,6 +86,21 @@ def test_mixture_holds_its_weights(spark, monkeypatch):
     assert once.count() == 2000
 
 
+def test_mixture_of_many_sources(spark):
+    """One large source keeps its weight beside 300 small ones; too many sources are an error, not a loss."""
+    source = F.when(F.col("id") < 5000, F.lit("big")).otherwise(F.concat(F.lit("s"), F.col("id") % 300))
+    docs = spark.range(6200).select(F.col("id").alias("doc_id"), source.alias("source"))
+    names = [("big", 0.5)] + [(f"s{k}", 0.5 / 300) for k in range(300)]
+    weights = spark.createDataFrame(names, "source string, weight double")
+    mixed = pfair_mix.mix(docs, weights, block_rows=5).select("doc_id", "slot", "source").toPandas()
+    assert set(mixed.doc_id) == set(range(6200))
+    big = mixed.drop_duplicates("slot").source.eq("big")
+    assert abs(big.mean() - 0.5) < 0.06
+    many = spark.range(1200).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("source"))
+    with pytest.raises(ValueError, match="more than 1000 sources"):
+        pfair_mix.mix(many)
+
+
 def test_mixture_of_odd_rows(odd, odd_rows, none):
     assert pfair_mix.mix(odd, repeat=False).count() == len(odd_rows)
     ordered = pfair_mix.in_mixed_order(odd)
