@@ -33,6 +33,8 @@ from .textblocks import blocks
 MAGIC = b"S8BTOK01"
 BLOCK_IDS = 256
 BLOCKS_AT_ONCE = 256
+# Tasks that read files back, at most; with more files each reads several.
+READERS = 20_000
 # Fixed values of the code: ids in a word and bits of each, by selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -264,7 +266,7 @@ def read_tokens(files: DataFrame, folder: str, per_document: Callable[[np.ndarra
     """One row for each document of the listed files: doc_id, start, n_tokens and what is asked for.
 
     ``start`` counts the ids of all documents before it. ``per_document`` turns the ids of a document
-    into the values of ``columns``; by default it gives the ids.
+    into the values of ``columns``; by default it gives the ids. The list of files is counted at once.
     """
     names = [c.strip().split()[0] for c in columns.split(",")]
     per_document = per_document or (lambda ids: {"ids": ids.tolist()})
@@ -284,8 +286,10 @@ def read_tokens(files: DataFrame, folder: str, per_document: Callable[[np.ndarra
                 out |= {n: [v[n] for v in values] for n in names}
                 yield pa.RecordBatch.from_pydict(out)
 
-    # Files are dealt out again: after the window they are all in one partition.
-    return listed.repartition(F.col("name")).mapInArrow(run, f"doc_id long, start long, n_tokens long, {columns}")
+    # After the window all files are in one partition: they are dealt out in turn, as many tasks as files (several
+    # files to a task beyond READERS). A number that is given is not merged again, however small the list.
+    tasks = min(max(files.count(), 1), READERS)
+    return listed.repartition(tasks).mapInArrow(run, f"doc_id long, start long, n_tokens long, {columns}")
 
 
 def token_report(spark: SparkSession, docs: DataFrame, tokenizer_path: str) -> DataFrame:
