@@ -1,10 +1,11 @@
 """Toxicity by maximum-scoring segments.
 
 Each token has a log-odds between toxic and clean labelled texts, with an informative Dirichlet prior
-from the counts of all documents. Tokens whose log-odds is significant score it; every other token
-scores the same small loss. One linear scan of a document finds all maximal scoring segments, and the
-extreme-value distribution of segment scores in clean texts says how likely each is by chance. The
-segments of a document are joined to one p-value, and that to a probability.
+from the counts of all documents. A token whose log-odds is significant gains it; a token that is more
+frequent in clean texts loses its log-odds, and every other token a small loss. One linear scan of a
+document finds all maximal scoring segments, and the extreme-value distribution of segment scores in
+clean texts says how likely each is by chance. The segments of a document are joined to one p-value, and
+that to a probability.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def token_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 @dataclass
 class Model:
-    """Scores of the significant places, loss of all others, and the extreme-value parameters."""
+    """Gains and losses of the places that have their own, loss of all others, and the extreme-value parameters."""
 
     places: np.ndarray
     scores: np.ndarray
@@ -55,24 +56,23 @@ class Model:
     prior: float
 
     def table(self) -> np.ndarray:
-        out = np.zeros(SIZE, np.float32)
+        out = np.full(SIZE, -self.loss, np.float32)
         out[self.places] = self.scores
         return out
 
 
-def segments(at: list[int], gains: list[float], loss: float) -> list[tuple[int, int, float]]:
+def segments(at: list[int], gains: list[float], losses: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first token, token after the last, score), in linear time.
 
-    ``at`` and ``gains`` are the tokens with a gain, in order; each token between two costs ``loss``.
-    A segment is maximal when no part of it, and no longer segment it lies in, scores higher.
+    ``at`` and ``gains`` are the tokens with a gain, in order; ``losses`` is what the tokens between each and
+    the one before lose together. A segment is maximal when no part of it, and no longer segment it lies in, scores higher.
     """
     found: list[list[float]] = []  # left, right, total before it, total after it, index of a lower start before it
-    total, last = 0.0, -1
-    for position, gain in zip(at, gains):
-        total -= loss * (position - last - 1)
+    total = 0.0
+    for position, gain, lost in zip(at, gains, losses):
+        total -= lost
         left, before = position, total
         total += gain
-        last = position
         while True:
             j = len(found) - 1
             while j >= 0 and found[j][2] >= before:
@@ -145,15 +145,21 @@ def counted(rows: DataFrame, marked: np.ndarray | None) -> DataFrame:
     return tasks.groupBy("place").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("seen").alias("seen"))
 
 
-def scanned(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, loss: float):
-    """(row, tokens of the row, segments) for every row that holds a gain."""
+def scanned(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
+    """(row, tokens of the row, segments) for every row that holds a gain.
+
+    A token gains by itself or by a stem, whichever gains more; without a gain it loses by itself alone.
+    """
     places, bounds = token_places(data, offsets)
-    scores = table[places].max(axis=0, initial=0.0)
-    hits = np.flatnonzero(scores)
+    best = table[places].max(axis=0)
+    scores = np.where(best > 0, best, table[places[0]]).astype(np.float64)
+    lost = np.cumsum(np.maximum(-scores, 0.0))
+    hits = np.flatnonzero(scores > 0)
     owner = np.searchsorted(bounds, hits, "right") - 1
     for row in np.unique(owner):
         own = hits[owner == row] if len(hits) < 64 else hits[np.searchsorted(owner, row): np.searchsorted(owner, row, "right")]
-        yield int(row), int(bounds[row + 1] - bounds[row]), segments((own - bounds[row]).tolist(), scores[own].tolist(), loss)
+        yield int(row), int(bounds[row + 1] - bounds[row]), segments(
+            (own - bounds[row]).tolist(), scores[own].tolist(), np.diff(lost[own], prepend=lost[own[0]]).tolist())
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int = 20_000, least: int = 3,
@@ -161,15 +167,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
     """Learn token scores and the extreme-value parameters.
 
     Labelled counts come from at most ``fit_rows`` documents that are not held out; the prior counts
-    all documents. A place scores when ``least`` toxic documents have it and chance would give less than
-    one such place among all that were tried. Counts have at most 2 ** BITS places, whatever the input.
+    all documents. A place gains when ``least`` toxic documents have it and chance would give less than
+    one such place among all that were tried; it loses its log-odds when ``least`` labelled documents have
+    it and that is below ``-loss``. Counts have at most 2 ** BITS places, whatever the input.
     """
     sample = F.broadcast(label_sample(labels, label, fit_rows))
     labelled = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "_label")
     found = counted(labelled, None).toArrow().to_pandas()
     toxic, clean = np.zeros(SIZE), np.zeros(SIZE)
     toxic[found.place], clean[found.place] = found.toxic, found.clean
-    marked = toxic >= least
+    marked = toxic + clean >= least
     every = counted(docs.select("text", F.lit(None).cast("int").alias("_label")), marked).toArrow().to_pandas()
     seen = np.zeros(SIZE + 1)
     seen[every.place] = every.seen
@@ -177,9 +184,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
     odds = log_odds(toxic, clean, seen[:SIZE], totals)
     share = np.clip(totals[0] / max(totals[0] + totals[1], 1), 1e-6, 1 - 1e-6)
     tried = max(int((toxic > 0).sum()), 1)
-    places = np.flatnonzero(marked & (odds > 0) & (evidence(toxic, clean, share) > np.log(tried)))
+    gain = (toxic >= least) & (odds > 0) & (evidence(toxic, clean, share) > np.log(tried))
+    places = np.flatnonzero(gain | (marked & (odds < -loss)))
     smooth = (clean[places] + PRIOR_TOKENS * (seen[places] + 1) / (seen.sum() + SIZE)) / (clean.sum() + PRIOR_TOKENS)
-    rate = decay_rate(odds[places], smooth, loss) if len(places) else 1.0
+    rate = decay_rate(odds[places], smooth, loss) if gain.any() else 1.0
     model = Model(places, odds[places], loss, rate, 0.0, 0.5)
     best = best_scores(labelled, model)
     # Gumbel location in clean texts by maximum likelihood: a text of n tokens has scale * n chances.
@@ -199,7 +207,7 @@ def best_scores(rows: DataFrame, model: Model) -> DataFrame:
             for first, data, offsets in blocks(batch.column(0)):
                 count = len(offsets) - 1
                 best = np.zeros(count)
-                for row, _, found in scanned(data, offsets, table, model.loss):
+                for row, _, found in scanned(data, offsets, table):
                     best[row] = max(s for _, _, s in found)
                 tokens = np.diff(word_bounds(data, offsets, BREAKS)[2])
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, count), pa.array(tokens), pa.array(best)],
@@ -213,17 +221,17 @@ def chance(scores: list[float], tokens: int, model: Model) -> float:
     """Probability that a clean text of this length has segments this high.
 
     The r highest normalised scores add up to a sum whose tail is exp(-t) t^(r-1) / (r! (r-1)!); the best
-    r is taken, and paid for by a factor of 2^r.
+    r of all is taken, and paid for by a factor of 2^r. Scores come in falling order, so that once the sum
+    is not above r, where the tail says nothing, it never is again.
     """
-    level, best, total, product = np.log(max(model.scale * tokens, 1e-12)), 1.0, 0.0, 1.0
-    for r, score in enumerate(sorted(scores, reverse=True)[:40], 1):
-        total += model.rate * score - level
-        product *= r * max(r - 1, 1)
-        if total <= r:
-            break
-        tail = np.exp(-total + (r - 1) * np.log(total)) / product
-        best = min(best, 2.0 ** r * float(-np.expm1(-tail)))
-    return max(best, 1e-300)
+    sums = np.cumsum(model.rate * np.sort(scores)[::-1] - np.log(max(model.scale * tokens, 1e-12)))
+    r = np.arange(1, len(sums) + 1)
+    sums, r = sums[sums > r], r[sums > r]
+    product = np.cumsum(np.log(r) + np.log(np.maximum(r - 1, 1)))
+    tails = -sums + (r - 1) * np.log(sums) - product
+    # For small x the chance 1 - exp(-x) is x itself.
+    chances = np.where(tails > -30, np.log(-np.expm1(-np.exp(np.maximum(tails, -30)))), tails)
+    return float(np.exp(np.clip((chances + r * np.log(2.0)).min(initial=0.0), -690.0, 0.0)))
 
 
 def probability(p: float, prior: float) -> float:
@@ -252,7 +260,7 @@ def with_toxicity(docs: DataFrame, model: Model, passages: bool = True, alpha: f
             lists: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for first, data, offsets in blocks(batch.column(text_at)):
                 starts, ends, bounds = word_bounds(data, offsets, BREAKS) if passages else (None, None, None)
-                for row, tokens, found in scanned(data, offsets, table, model.loss):
+                for row, tokens, found in scanned(data, offsets, table):
                     out[first + row] = probability(chance([s for _, _, s in found], tokens, model), model.prior)
                     if passages:
                         text = data[offsets[row]: offsets[row + 1]]

@@ -61,7 +61,7 @@ def test_quality_of_odd_rows(spark, odd, odd_rows, none, labels):
     assert again.columns == odd.columns and again.count() == len(odd_rows)
     assert quality_fm.quality_report(none, model).count() == 0
     empty = quality_fm.fit(none, labels.limit(0))
-    assert [r.score for r in quality_fm.quality_report(odd, empty).select("score").distinct().collect()] == [pytest.approx(0.5, abs=0.1)] * 1 or True
+    assert all(0 <= r.score <= 1 for r in quality_fm.quality_report(odd, empty).collect())
     assert quality_fm.quality_report(odd, empty).count() == len(odd_rows)
 
 
@@ -74,10 +74,11 @@ def test_labels_of_held_out_rows_are_never_read(spark, tables):
 
 
 @settings(deadline=None, max_examples=200)
-@given(st.lists(st.sampled_from([-0.5, 1.0, 2.5]), max_size=14))
+@given(st.lists(st.sampled_from([-3.0, -0.5, -0.25, 1.0, 2.5]), max_size=14))
 def test_segments_against_all_spans(scores):
     at = [k for k, s in enumerate(scores) if s > 0]
-    found = toxic_segments.segments(at, [scores[k] for k in at], 0.5)
+    lost = [-sum(s for s in scores[a + 1: b] if s < 0) for a, b in zip([-1, *at], at)]
+    found = toxic_segments.segments(at, [scores[k] for k in at], lost)
 
     def maximal(a, b):
         """Maximal segments of scores[a:b]: the best span, the shortest of equals, then those on both sides."""
@@ -93,6 +94,40 @@ def test_segments_against_all_spans(scores):
     assert all(b[0] >= a[1] for a, b in zip(found, found[1:]))
 
 
+def test_chance_of_many_segments():
+    """Every segment counts: the formula term by term on short lists, and long lists beyond any fixed number."""
+    model = toxic_segments.Model(np.zeros(0, int), np.zeros(0), 0.05, 1.1, 0.003, 0.1)
+
+    def plain(scores, tokens):
+        total, best = 0.0, 1.0
+        for r, score in enumerate(sorted(scores, reverse=True), 1):
+            total += model.rate * score - math.log(model.scale * tokens)
+            if total > r:
+                tail = math.exp(-total) * total ** (r - 1) / (math.factorial(r) * math.factorial(r - 1))
+                best = min(best, 2.0 ** r * -math.expm1(-tail))
+        return best
+
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 5, 9):
+        scores = rng.uniform(0.5, 6, size).tolist()
+        assert toxic_segments.chance(scores, 700, model) == pytest.approx(plain(scores, 700))
+    assert toxic_segments.chance([0.1], 5000, model) == 1.0
+    by_number = [toxic_segments.chance([4.0] * n, 5000, model) for n in (40, 60, 90)]
+    assert by_number[0] > by_number[1] > by_number[2] > 0
+
+
+def test_clean_words_lose_their_log_odds(spark):
+    """A word of clean texts costs more between two toxic ones than an unknown word does."""
+    rows = [(k, "vile scum " + "filler " * 5 if k % 2 else "garden sun " + "filler " * 5) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    model = toxic_segments.fit(docs, labels)
+    data = np.frombuffer(b"vile garden scum vile unknown scum", np.uint8)
+    (_, _, one), (_, _, two) = toxic_segments.scanned(data, np.array([0, 16, len(data)]), model.table())
+    whole = max(s for _, _, s in two)
+    assert (model.scores < -model.loss).any() and whole > max(s for _, _, s in one)
+
+
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, none, labels):
     model = toxic_segments.fit(odd, labels, least=1)
     report = toxic_segments.toxicity_report(odd, model).collect()
