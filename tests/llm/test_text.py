@@ -14,6 +14,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from paperlens.llm import byte_bpe, pieces, simple8b, textblocks
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -155,6 +157,8 @@ def test_token_files(spark, odd, odd_rows, none, tmp_path):
     folder = str(tmp_path / "tokens")
     listed = spark.createDataFrame(simple8b.write_tokens(odd, folder, JSON, file_ids=50).collect())
     assert listed.count() > 5
+    tasks = simple8b.read_tokens(listed, folder).select(F.spark_partition_id()).distinct().count()
+    assert tasks == listed.count()  # one task for each file
     back = simple8b.read_tokens(listed, folder).collect()
     assert sorted((r.doc_id, r.start, r.n_tokens) for r in back if r.doc_id is not None) == sorted(e[:3] for e in expected if e[0] is not None)
     assert all(len(r.ids) == r.n_tokens for r in back)
