@@ -122,16 +122,17 @@ def encoder(path: str) -> tuple[ByteBpe, PieceTable]:
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, id_column: str = "doc_id",
-                     text_column: str = "text", keep_ids: bool = False) -> DataFrame:
+                     text_column: str = "text", keep_ids: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
     """One row for each row of ``docs``: id, n_tokens and digests of the ids and of the decoded bytes.
 
     ``ids_sha256`` is over the ids as little-endian unsigned 32-bit integers, ``decoded_sha256`` over
-    the bytes that decoding the ids gives back. ``keep_ids`` adds the ids themselves. ``ranks_path``
+    the bytes that decoding the ids gives back. ``keep_ids`` adds the ids themselves, ``also`` names columns that come along. ``ranks_path``
     must exist on every executor. A null text counts as empty: no ids, digests of nothing. Repeated
     rows are encoded each; a null id stays null; other columns are ignored.
     """
     schema = SCHEMA.replace("doc_id long", f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}")
     schema += ", ids array<int>" if keep_ids else ""
+    schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in also)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, table = encoder(ranks_path)
@@ -151,6 +152,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_column: str = "doc_id"
                 if keep_ids:
                     columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32))))
                     names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                columns += [batch.column(k).slice(row, count) for k in range(2, 2 + len(also))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *also])
 
-    return docs.select(id_column, text_column).mapInArrow(run, schema)
+    return docs.select(id_column, text_column, *also).mapInArrow(run, schema)
