@@ -38,9 +38,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every placed document, with their digests."""
+    """Byte-level BPE ids of every placed document, with their digests and its position in the mixture."""
     configure(spark)
-    return byte_bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=True)
+    placed = pfair_mix.with_position(docs)
+    return byte_bpe.encode_documents(placed, public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=True, also=("position",))
 
 
 STAGES = [
