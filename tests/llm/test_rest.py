@@ -194,6 +194,11 @@ def test_pipeline_against_its_parts(spark):
                 root = {k: new if r == old else r for k, r in root.items()}
     kept = {i for i, r in root.items() if r == i}
     assert {r.doc_id for r in rows} == kept
+    # The rows say where the mixture placed them: position after position, within a block's share of every source.
+    in_order = [r.doc_id for r in sorted(rows, key=lambda r: r.position)]
+    assert sorted(r.position for r in rows) == list(range(len(rows)))
+    placed = pfair_mix.mix(docs.filter(F.col("doc_id").isin(list(kept)))).orderBy("slot", "doc_id").collect()
+    assert in_order == [r.doc_id for r in placed]
     for r in rows:
         spans = secret_ledger.find_spans(texts[r.doc_id], secret_ledger.RULES)
         out, at = [], 0
