@@ -4,8 +4,9 @@ Texts are sets of hashed shingles, rare ones first by counts over all documents.
 sets are one class. The index lists of the shingles in the prefixes of the classes tell which sets can
 be similar. Two relations between sets save most of the work:
 
-* Each list has a pivot. A set that can be similar to a pivot joins its family, and the answers among the
-  members of a family are derived from their differences to the pivot, in cells of bounded size.
+* Each list has a pivot. A set that can be similar to a pivot joins its family and is compared with it. Members
+  that link to the pivot are connected by that alone. The answers of the others are derived from the members'
+  differences to the pivot, in cells of bounded size, and only among members whose distances to it allow a link.
 * Lists are cut into blocks by position. A pair of blocks is skipped when it lies within one family or
   when positions or sizes cannot give enough overlap; only pairs of entries from other block pairs are
   candidates. A parity sketch, whose distance never exceeds that of the sets, drops most of these.
@@ -22,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -38,6 +39,8 @@ FAMILY = 50
 # Members and shingles that a group of a family holds, about.
 CELL = 512
 CELL_SHINGLES = 200_000
+# Shingles of sets that a task remembers from pair to pair, about.
+HELD_SHINGLES = 2_000_000
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
@@ -171,14 +174,20 @@ def decided(pairs: DataFrame, texts: DataFrame, n: int, levels: np.ndarray) -> D
     joined = pairs.join(texts.toDF("a", "t_a"), "a").join(texts.toDF("b", "t_b"), "b")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, tokens_b = None, None
+        held: dict[int, np.ndarray] = {}
+
+        def tokens(node: int, text: str) -> np.ndarray:
+            if node not in held:
+                if sum(map(len, held.values())) > HELD_SHINGLES:
+                    held.clear()
+                held[node] = text_tokens(text, n, levels)
+            return held[node]
+
         for batch in batches:
             rows = []
-            for t_a, b, t_b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x = text_tokens(t_a, n, levels)
-                if b != last:
-                    last, tokens_b = b, text_tokens(t_b, n, levels)
-                rows.append((len(np.intersect1d(x, tokens_b, assume_unique=True)), len(x), len(tokens_b)))
+            for a, t_a, b, t_b in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                x, y = tokens(a, t_a), tokens(b, t_b)
+                rows.append((len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=["a", "b", "shared", "n_a", "n_b"])
 
@@ -190,23 +199,67 @@ def similar(percent: int) -> Column:
     return 100 * F.col("shared") >= percent * union
 
 
-def family_links(members: DataFrame, texts: DataFrame, n: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """Links (a, b) among the members (pivot, node) of each family and its pivot, as a forest for each cell.
+def groups_of(count: Column, shingle_count: Column) -> Column:
+    """How many groups of about CELL members or CELL_SHINGLES shingles hold so many."""
+    return F.greatest(F.ceil(count / CELL), F.ceil(shingle_count / CELL_SHINGLES)).cast("int")
+
+
+def pivot_answers(members: DataFrame, texts: DataFrame, n: int, percent: int, levels: np.ndarray) -> DataFrame:
+    """pivot, node, n, linked, ring: each member (pivot, node, n) of a family compared with its pivot.
+
+    ``linked`` tells whether the two link. ``ring`` is the distance to the pivot (one less the
+    similarity) in steps of the largest distance of a link. A family is dealt out over groups; the
+    pivot comes to each of them, and every other text to one.
+    """
+    groups = members.groupBy("pivot").agg(groups_of(F.count("*"), F.sum("n")).alias("groups"))
+    rows = members.select("pivot", "node").join(groups, "pivot")
+    rows = rows.select("pivot", "node", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int").alias("part"))
+    pivots = groups.select("pivot", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
+    step = max(100 - percent, 1)
+
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        own = part.node == key[0]
+        pivot = text_tokens(part.text[own].iloc[0], n, levels)
+        rows = []
+        for node, text in zip(part.node[~own], part.text[~own]):
+            tokens = text_tokens(text, n, levels)
+            shared = len(np.intersect1d(pivot, tokens, assume_unique=True))
+            union = len(pivot) + len(tokens) - shared
+            rows.append((key[0], node, len(tokens), 100 * shared >= percent * union, 100 * (union - shared) // (step * union)))
+        return pd.DataFrame(rows, columns=["pivot", "node", "n", "linked", "ring"])
+
+    joined = rows.unionByName(pivots).join(texts, "node")
+    return joined.groupBy("pivot", "part").applyInPandas(run, "pivot long, node long, n long, linked boolean, ring int")
+
+
+def open_cells(answers: DataFrame) -> DataFrame:
+    """pivot, x, y, node: the cells in which members of a family that do not link to its pivot meet the others.
+
+    Members that link to the pivot are connected by it, so two groups of such meet in no cell. Nor do
+    groups two rings or more apart: distances obey the triangle inequality, and members that far apart
+    from the pivot's point of view cannot link.
+    """
+    kind = ["pivot", "linked", "ring"]
+    sizes = answers.groupBy(*kind).agg(groups_of(F.count("*"), F.sum("n")).alias("groups"))
+    slot = F.struct("linked", "ring", "group")
+    slots = sizes.withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select("pivot", slot.alias("slot"))
+    x, y = slots.filter("not slot.linked").toDF("pivot", "x"), slots.toDF("pivot", "y")
+    cells = x.join(y, "pivot").filter((F.abs(F.col("x.ring") - F.col("y.ring")) <= 1) & (F.col("y.linked") | (F.col("x") <= F.col("y"))))
+    cells = cells.withColumn("slot", F.explode(F.array_distinct(F.array("x", "y"))))
+    rows = answers.join(sizes, kind).withColumn("group", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
+    return cells.join(rows.select("pivot", slot.alias("slot"), "node"), ["pivot", "slot"]).select("pivot", "x", "y", "node")
+
+
+def family_links(answers: DataFrame, texts: DataFrame, n: int, percent: int, levels: np.ndarray) -> DataFrame:
+    """Links (a, b) among the members of each family and its pivot, as a forest for each cell.
 
-    A family is dealt out over groups of about CELL members or CELL_SHINGLES shingles, and every two
-    groups meet in a cell of their own, to which the pivot comes too.
+    The pivot comes to every cell; the overlap of two members follows from their differences to it.
     """
-    parts = F.greatest(F.ceil(F.count("*") / CELL), F.ceil(F.sum("n") / CELL_SHINGLES))
-    groups = members.groupBy("pivot").agg(parts.cast("int").alias("groups"))
-    rows = members.drop("n").join(groups, "pivot").withColumn("group", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(
-        "pivot", "node", F.least("group", "other").alias("i"), F.greatest("group", "other").alias("j"))
-    cells = groups.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-    cells = cells.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("groups") - 1)))
-    rows = rows.unionByName(cells.select("pivot", F.col("pivot").alias("node"), "i", "j")).join(texts, "node")
+    rows = open_cells(answers)
+    cells = rows.select("pivot", "x", "y").distinct()
+    rows = rows.unionByName(cells.withColumn("node", F.col("pivot"))).join(texts, "node")
 
     def run(key: tuple, cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.drop_duplicates("node")
         nodes = cell.node.to_numpy()
         sets = [text_tokens(t, n, levels) for t in cell.text]
         pivot = sets[int(np.flatnonzero(nodes == key[0])[0])]
@@ -220,7 +273,8 @@ def family_links(members: DataFrame, texts: DataFrame, n: int, percent: int, lev
         a, b = forest(link)
         return pd.DataFrame({"a": nodes[a], "b": nodes[b]})
 
-    return rows.groupBy("pivot", "i", "j").applyInPandas(run, "a long, b long")
+    met = rows.groupBy("pivot", "x", "y").applyInPandas(run, "a long, b long")
+    return met.unionByName(answers.filter("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
 
 
 def common(lists: list[np.ndarray]) -> np.ndarray:
@@ -257,15 +311,13 @@ def forest(link: np.ndarray) -> tuple[list[int], list[int]]:
 def index_lists(sets: DataFrame) -> DataFrame:
     """token, node, n, pos, pivot: the index lists with more than one entry, the smallest node as pivot.
 
-    Entries are shuffled once. Common shingles come last in every set, so a list is long only where
-    many sets have nothing rarer; it is sorted and read in one stream, without holding it in memory.
+    Length and pivot of a list are combined before the shuffle and joined to its entries, so the entries
+    of a long list may lie in many tasks. Common shingles come last in every set, so a list is long only
+    where many sets have nothing rarer.
     """
-    postings = sets.select("node", F.posexplode("prefix").alias("pos", "token"))
-    in_order = Window.partitionBy("token").orderBy("node")
-    lists = postings.withColumn("pivot", F.first("node").over(in_order))
-    lists = lists.withColumn("_before", F.lag("node").over(in_order)).withColumn("_after", F.lead("node").over(in_order))
-    lists = lists.filter(F.col("_before").isNotNull() | F.col("_after").isNotNull()).drop("_before", "_after")
-    return lists.join(sets.select("node", "n"), "node")
+    postings = sets.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+    pivots = postings.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("_last"))
+    return postings.join(pivots.filter("pivot < _last").drop("_last"), "token").select("token", "node", "n", "pos", "pivot")
 
 
 def cross_candidates(lists: DataFrame, percent: int) -> DataFrame:
@@ -321,7 +373,8 @@ def classified(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     wanted = wanted.select("node", F.coalesce(F.col("doc").cast("string"), F.lit("")).alias("_doc"))
     held = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).join(wanted, "_doc")
     texts = materialize(matching(held.dropDuplicates(["_doc", "node", "text"]).select("node", "text"), n), "shingle-texts")
-    links = family_links(members, texts, n, percent, levels).unionByName(
+    answers = materialize(pivot_answers(members, texts, n, percent, levels), "shingle-answers")
+    links = family_links(answers, texts, n, percent, levels).unionByName(
         decided(crossing, texts, n, levels).filter(similar(percent)).select("a", "b"))
     links = materialize(links, "shingle-links")
     remove(texts)
