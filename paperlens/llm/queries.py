@@ -20,7 +20,7 @@ from .personal_data import (
 from .pfair_mix import mix
 from .phrase_automata import without_repeats
 from .rotated_codes import search
-from .secret_ledger import secret_report
+from .secret_ledger import scan_unseen, scanned_rows, secret_report
 from .simple8b import token_report
 from .target_ratio import rules_report, trusted_ids
 
@@ -248,6 +248,33 @@ def op6_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return secret_report(table(spark, folder, "documents"), work_dir(spark, "ledger"))
 
 
+@query
+def secret_ledger_passes(spark: SparkSession, folder: str) -> DataFrame:
+    """How many versions each of three passes over one ledger is given, and how many blobs it scans.
+
+    The first is given all documents, the second all documents and raw pages, the third the same again.
+    """
+    first = table(spark, folder, "documents").select(F.concat(F.lit("document/"), F.col("doc_id")).alias("doc_id"), "text")
+    pages = table(spark, folder, "pages").select(F.concat(F.lit("page/"), F.col("page_id")).alias("doc_id"), F.col("html").alias("text"))
+    second = first.unionByName(pages)
+    ledger, rows, before = work_dir(spark, "ledger"), [], 0
+    for number, versions in enumerate((first, second, second), 1):
+        scan_unseen(versions, ledger)
+        after = scanned_rows(spark, ledger)
+        rows.append((number, versions.count(), after - before))
+        before = after
+    return spark.createDataFrame(rows, "pass int, n_versions long, n_scanned long")
+
+
+ORACLES["secret_ledger_passes"] = """
+    WITH d AS (SELECT DISTINCT coalesce(text, '') AS t FROM documents), p AS (SELECT DISTINCT coalesce(html, '') AS t FROM pages),
+    n AS (SELECT (SELECT count(*) FROM documents) AS n_docs, (SELECT count(*) FROM pages) AS n_pages)
+    SELECT 1::INTEGER AS pass, n_docs AS n_versions, (SELECT count(*) FROM d) AS n_scanned FROM n
+    UNION ALL SELECT 2, n_docs + n_pages, (SELECT count(*) FROM p ANTI JOIN d USING (t)) FROM n
+    UNION ALL SELECT 3, n_docs + n_pages, 0 FROM n
+"""
+
+
 @query
 def op7_target_ratio(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and n-gram log ratio of every text; trusted are all documents labelled good."""

@@ -76,6 +76,11 @@ def ledger_rows(spark: SparkSession, folder: str, rules: tuple[Rule, ...]) -> Da
     return rows.filter(F.col("rules") == version_of(rules)).dropDuplicates(["blob"])
 
 
+def scanned_rows(spark: SparkSession, folder: str) -> int:
+    """How many scans the ledger holds, of all rule versions."""
+    return spark.read.schema(LEDGER).parquet(folder).count()
+
+
 def scan_unseen(versions: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES,
                 path_column: str = "doc_id", text_column: str = "text") -> None:
     """Scan the blobs of ``versions`` that the ledger lacks under these rules, and append them to it.
