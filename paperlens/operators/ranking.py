@@ -78,33 +78,24 @@ def head_pending(pending: DataFrame, n: int, key: str = "arxiv_id") -> DataFrame
 
 
 def chunk_requests(ids: DataFrame, size: int, key: str = "arxiv_id", chunks_a_bucket: int = 64) -> DataFrame:
-    """Distinct ids in request batches of exactly ``size``, the last one smaller: ``(chunk, ids)``.
+    """Distinct ids in request batches of exactly ``size``, in the order of the ids, the last one smaller: ``(chunk, ids)``.
 
-    Ids meet in buckets by their hash, some batches large each, and are cut there. Only what is left
-    over of each bucket, less than a batch, is numbered through and cut again: nothing is put in a global
-    order. ``chunk`` counts from 0, the batches of what was left over last.
+    Ids lie in ranges, some batches large each, which are stored with their numbers. Each range is numbered
+    through from the number of ids in those before it: no task sees more than a range. ``chunk`` counts from 0.
     """
     distinct = ids.select(F.col(key).alias("id")).filter(F.col("id").isNotNull()).distinct()
-    # The number of buckets follows the number of ids, which the sketch behind it bounds to a few percent.
+    # The number of ranges follows the number of ids, which the sketch behind it bounds to a few percent.
     about = ids.agg(F.approx_count_distinct(key)).first()[0]
     buckets = max(1, about // (size * chunks_a_bucket))
-    bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("bucket")
-    held = store(distinct.groupBy(bucket).agg(F.sort_array(F.collect_list("id")).alias("ids")), "buckets")
-    full = F.floor(F.size("ids") / size).cast("int")
-    counted = held.select("bucket", full.alias("full"), (F.size("ids") - full * size).alias("rest"))
-    # One narrow row for each bucket.
+    ranged = distinct.repartitionByRange(buckets, "id").withColumn("bucket", F.spark_partition_id())
+    held = store(ranged, "buckets")
+    # One narrow row for each range.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counted.select(
-        "bucket", F.coalesce(F.sum("full").over(before), F.lit(0)).alias("first"),
-        F.coalesce(F.sum("rest").over(before), F.lit(0)).alias("left_before"), F.sum("full").over(Window.partitionBy()).alias("all"))
-    placed = held.join(starts, "bucket").withColumn("n", full)
-    whole = placed.filter("n > 0").select("first", "ids", F.posexplode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k", "_")).select(
-        (F.col("first") + F.col("k")).alias("chunk"), F.slice("ids", F.col("k") * size + 1, F.lit(size)).alias("ids"))
-    left = placed.select(
-        "all", "left_before", F.posexplode(F.slice("ids", F.col("n") * size + 1, F.lit(size))).alias("k", "id"))
-    rest = left.groupBy((F.col("all") + F.floor((F.col("left_before") + F.col("k")) / size)).alias("chunk")).agg(
-        F.sort_array(F.collect_list("id")).alias("ids"))
-    return whole.unionByName(rest)
+    starts = held.groupBy("bucket").agg(F.count("*").alias("n")).select(
+        "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    place = F.col("first") + F.row_number().over(Window.partitionBy("bucket").orderBy("id")) - 1
+    placed = held.join(F.broadcast(starts), "bucket").select(F.floor(place / size).alias("chunk"), "id")
+    return placed.groupBy("chunk").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
 def best_trial(runs: DataFrame, metric: str = "val_pr_auc") -> DataFrame:

@@ -120,3 +120,13 @@ def test_best_trial(spark):
     assert tuple(best) == ("t1", 0.5)
     closer = [("t0", "objective", "val_pr_auc", "0.50001"), ("t1", "objective", "val_pr_auc", "0.50002")]
     assert ops.best_trial(spark.createDataFrame(closer, "run_id string, kind string, key string, value string")).first()["run_id"] == "t1"
+
+
+def test_chunks_follow_the_order_of_ids(spark):
+    """Which batch an id is in is fixed: the ids in order, cut after every hundred."""
+    ids = spark.range(5003).select(F.col("id").cast("string").alias("arxiv_id"))
+    ids = ids.unionByName(ids.limit(700))
+    wanted = sorted(str(i) for i in range(5003))
+    for per_bucket in (1, 3, 1000):
+        made = ops.chunk_requests(ids.repartition(5), 100, chunks_a_bucket=per_bucket).collect()
+        assert {r["chunk"]: r["ids"] for r in made} == {k: wanted[k * 100: k * 100 + 100] for k in range(51)}
