@@ -213,3 +213,74 @@ def test_same_table_does_not_drift(spark):
     matrix = build_features(papers(spark))
     for family in ("distance", "p_value"):
         assert feature_drift(matrix, matrix, family).filter("detected").count() == 0
+
+
+def test_levels_below_the_first_by_brute_force():
+    """Joint bins and what smaller children leave give every node's own sums."""
+    rng = np.random.default_rng(6)
+    n = 3000
+    x = np.column_stack([rng.integers(0, k, n) for k in (90, 2, 2, 3, 2, 12, 2, 2, 2, 1)]).astype(float)
+    x[rng.random(n) < 0.1, 3] = np.nan
+    y = ((x[:, 0] > 40) ^ (x[:, 2] == 1) ^ (rng.random(n) < 0.2)).astype(float)
+    rows = boosting.Rows(x, y, np.where(y == 1, 1.7, 1.0))
+    setting = boosting.DEFAULT_TREES | {"n_estimators": 1, "max_depth": 5, "subsample": 1.0, "colsample_bytree": 1.0}
+    tree = boosting.fit(rows, setting)[0]
+    g, h = rows.weight * (0.5 - y), rows.weight * 0.25
+    cuts = [boosting.cut_points(x[:, f]) for f in range(x.shape[1])]
+    inside, splits = {0: np.ones(n, bool)}, 0
+    for node, low in enumerate(tree["left_children"]):
+        here = inside[node]
+        total = g[here].sum() ** 2 / (h[here].sum() + 1)
+        if low >= 0:
+            splits += 1
+            below = here & (x[:, tree["split_indices"][node]] < tree["split_conditions"][node])
+            inside[low], inside[low + 1] = below, here & ~below
+            gains = []
+            for f, values in enumerate(cuts):
+                for value in values:
+                    a = here & (x[:, f] < value)
+                    b = here & ~a
+                    if h[a].sum() >= 1 and h[b].sum() >= 1:
+                        gains.append((g[a].sum() ** 2 / (h[a].sum() + 1) + g[b].sum() ** 2 / (h[b].sum() + 1) - total) / 2)
+            assert tree["gains"][node] == pytest.approx(max(gains))
+        else:
+            assert tree["base_weights"][node] == pytest.approx(-0.05 * g[here].sum() / (h[here].sum() + 1), rel=1e-5)
+    assert splits > 20
+
+
+def test_cost_of_a_fit():
+    """Features of few bins share histograms, and only the smaller child of each node is counted."""
+    x = np.random.default_rng(3).integers(0, 2, (500, 24)).astype(float)
+    x[:, 0] = np.arange(500)
+    bins = boosting.binned(x)
+    assert len(bins.joint) == 5 and max(len(m) for m in bins.left_of) <= boosting.PACK_BINS
+    counted = []
+    real = boosting.histograms
+
+    def noted(rows, at, *rest):
+        counted.append(len(at))
+        return real(rows, at, *rest)
+
+    y = (x[:, 0] > 250).astype(float)
+    boosting.histograms = noted
+    try:
+        boosting.fit(boosting.Rows(x, y, np.ones(500)), boosting.DEFAULT_TREES | {"n_estimators": 3, "subsample": 1.0})
+    finally:
+        boosting.histograms = real
+    whole = [k for k, size in enumerate(counted) if size == 500]
+    assert len(whole) == 3 and all(size <= 250 for k, size in enumerate(counted) if k not in whole)
+
+
+def test_trees_are_made_once(spark):
+    """Reading the trees of a fit does not make them a second time."""
+    made = spark.sparkContext.accumulator(0)
+
+    def trees(batches):
+        for batch in batches:
+            made.add(1)
+            batch["tree"] = batch["id"]
+            yield batch.assign(fit=0)[["fit", "tree"]]
+
+    table = spark.range(0, 2, 1, 2).mapInPandas(trees, "fit int, tree int")
+    table = table.selectExpr("fit", "tree", "array(-1) AS left_children")
+    assert len(boosting.collected(table)[0].trees) == 2 and made.value == 2
