@@ -50,11 +50,14 @@ def stream_preferred(papers: DataFrame, rank: Column, key: str = "arxiv_id", lan
 
     Copies may come in different micro-batches: what is kept of a key is its best copy so far, and it
     comes out when ``delay`` has passed without another. Equal ranks go by arrival, a NULL rank is the last.
+
+    Rows go to the partition of their key as they are: sessions are made by sorting, so a task sorts the rows
+    of one partition and not, before the shuffle, those of a whole input split.
     """
     order = F.struct(rank.isNull().alias("unranked"), rank.alias("rank"), F.col(landed).alias("at"))
     best = F.min_by(F.struct(*papers.columns), order)
     return (
-        papers.withWatermark(landed, delay).groupBy(F.session_window(landed, delay), key)
+        papers.withWatermark(landed, delay).repartition(key).groupBy(F.session_window(landed, delay), key)
         .agg(best.alias("_best")).select("_best.*")
     )
 

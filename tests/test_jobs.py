@@ -187,3 +187,18 @@ def test_preferred_copy_over_batches(spark, tmp_path):
     found = sorted((r["arxiv_id"], r["n"]) for r in spark.read.schema(schema).parquet(out).collect())
     # 4 comes again after the delay, as a new fetch; 5 is still waiting.
     assert found == [("1", 2), ("2", 1), ("3", 2), ("4", 1), ("4", 3)]
+
+
+def test_sessions_are_sorted_behind_the_shuffle(spark, tmp_path, capfd):
+    """No task sorts a whole input split: between the source and the exchange by key there is no sort."""
+    source = tmp_path / "landed"
+    schema = "arxiv_id string, fetch_category string, landed_at timestamp"
+    land(source, "a.json", [{"arxiv_id": str(k), "fetch_category": "cs.LG", "landed_at": "2024-01-01 00:00:00"} for k in range(9)])
+    query = jobs.stream_preferred(spark.readStream.schema(schema).json(str(source)), jobs.category_rank()).writeStream.format(
+        "parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    query.awaitTermination()
+    capfd.readouterr()
+    query.explain()
+    plan = capfd.readouterr().out
+    assert plan.count("Exchange") == 1 and "Sort" in plan
+    assert "Sort" not in plan.split("Exchange")[1]
