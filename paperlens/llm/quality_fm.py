@@ -78,6 +78,13 @@ def statistics(data: np.ndarray, offsets: np.ndarray, words: np.ndarray, distinc
     }
 
 
+def values(row: np.ndarray, place: np.ndarray, rows: int) -> np.ndarray:
+    """Value of every used place: words of a row have length one together, each bin has the value one."""
+    word = place < STATISTICS_AT
+    distinct = np.bincount(row[word], minlength=rows)
+    return np.where(word, 1 / np.sqrt(np.maximum(distinct, 1))[row], 1.0)
+
+
 def features(data: np.ndarray, offsets: np.ndarray, n_chars: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, place, value) of every used place, by row."""
     rows = len(offsets) - 1
@@ -87,7 +94,7 @@ def features(data: np.ndarray, offsets: np.ndarray, n_chars: np.ndarray | None)
     used = np.unique((owner << WORD_BITS) | place)
     word_row, word_place = used >> WORD_BITS, used & (STATISTICS_AT - 1)
     distinct = np.bincount(word_row, minlength=rows)
-    value = 1 / np.sqrt(np.maximum(distinct, 1))[word_row]
+    value = values(word_row, word_place, rows)
     all_rows = np.arange(rows)
     parts = [(word_row, word_place, value)]
     for k, (name, stat) in enumerate(statistics(data, offsets, np.diff(bounds), distinct).items()):
@@ -189,7 +196,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
     """Learn from at most ``fit_rows`` labelled documents that are not held out.
 
     The sampled ids are at most ``fit_rows``, so they are broadcast; features are made in the tasks, and
-    at most ``fit_rows`` vectors, each no longer than the feature space, reach the driver.
+    the places of at most ``fit_rows`` vectors, each no longer than the feature space, reach the driver.
+    Their values follow from the number of words in a row.
     """
     sample = F.broadcast(label_sample(labels, label, fit_rows))
     columns = ["text", "n_chars"] if metadata else ["text"]
@@ -197,25 +205,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, count, row, place, value in batch_features(batch, "text", metadata):
+            for first, count, row, place, _ in batch_features(batch, "text", metadata):
                 ends = np.searchsorted(row, np.arange(count + 1))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, count), batch.column(batch.num_columns - 1).slice(first, count),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place, pa.int64())),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value, pa.float64())),
-                ], names=["doc_id", "label", "place", "value"])
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place, pa.int32())),
+                ], names=["doc_id", "label", "place"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     label_kind = labels.schema[label].dataType.simpleString()
-    made = rows.mapInArrow(run, f"doc_id {kind}, label {label_kind}, place array<long>, value array<double>")
+    made = rows.mapInArrow(run, f"doc_id {kind}, label {label_kind}, place array<int>")
     # The place lists break ties, so that the sample does not depend on the order of the rows.
     found = made.orderBy(F.xxhash64("doc_id"), "doc_id", "place").limit(fit_rows).toArrow()
-    place, value = found.column("place").combine_chunks(), found.column("value").combine_chunks()
-    lengths = np.diff(place.offsets.to_numpy()) if len(place) else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(lengths)), lengths)
+    places = found.column("place").combine_chunks()
     wanted = found.column("label").to_numpy().astype(float)
-    return fit_arrays(wanted, row, place.values.to_numpy() if len(place) else np.zeros(0, np.int64),
-                      value.values.to_numpy() if len(place) else np.zeros(0), metadata)
+    lengths = np.diff(places.offsets.to_numpy()) if len(places) else np.zeros(0, np.int64)
+    place = places.values.to_numpy() if len(places) else np.zeros(0, np.int32)
+    row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    return fit_arrays(wanted, row, place, values(row, place, len(lengths)), metadata)
 
 
 def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:

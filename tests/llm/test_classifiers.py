@@ -240,3 +240,25 @@ def test_ratio_by_brute_force(spark, odd, odd_rows):
     found = {r.bucket: r.t for r in target_ratio.bucket_counts(target_ratio.of_trusted(odd, ids), "t").collect()}
     total = sum(2 * len(w) - 1 for w in ((r[1] or "").split() for r in odd_rows if r[0] in trusted))
     assert sum(found.values()) == total
+
+
+def test_learning_rows_reach_the_driver_as_places(spark, monkeypatch):
+    """Four bytes for each used place come to the driver; their values are those that scoring makes."""
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(59)), lambda k: F.hex(F.xxhash64("doc_id", k))))
+    docs = spark.range(300).select(F.col("id").alias("doc_id")).select("doc_id", text.alias("text"), F.lit(900).alias("n_chars"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    sent, taken = [], {}
+    collect = type(docs).toArrow
+
+    def noted(df):
+        sent.append(collect(df))
+        return sent[-1]
+
+    fit_arrays = quality_fm.fit_arrays
+    monkeypatch.setattr(type(docs), "toArrow", noted)
+    monkeypatch.setattr(quality_fm, "fit_arrays", lambda *a: taken.update(zip(("y", "row", "place", "value"), a)) or fit_arrays(*a))
+    quality_fm.fit(docs, labels)
+    assert len(taken["place"]) > 1000 and sum(t.nbytes for t in sent) < 5 * len(taken["place"]) + 50 * len(taken["y"])
+    words = taken["place"] < quality_fm.STATISTICS_AT
+    squares = np.bincount(taken["row"][words], taken["value"][words] ** 2)
+    assert squares == pytest.approx(1.0) and set(taken["value"][~words]) == {1.0}
