@@ -182,9 +182,8 @@ def trial_name(number: int) -> str:
 
 
 def param_sweep(train: DataFrame, val: DataFrame, trials: int = 50, label: str = "label",
-                space: dict = SEARCH_SPACE, seed: int = SEED, features: list[str] = FEATURE_COLS,
-                rows: int = FIT_ROWS) -> tuple[list[dict], DataFrame]:
-    """Fit one model per drawn setting on the fixed split and score it on ``val``.
+                space: dict = SEARCH_SPACE, seed: int = SEED, features: list[str] = FEATURE_COLS) -> tuple[list[dict], DataFrame]:
+    """Fit one model per drawn setting on all rows of ``train`` and score it on ``val``.
 
     Returns the settings and the run table ``(run_id, kind, key, value)``, one run per trial; its rows
     of kind ``objective`` hold the compared metric in full, those of kind ``metric`` four digits.
@@ -195,8 +194,7 @@ def param_sweep(train: DataFrame, val: DataFrame, trials: int = 50, label: str =
     settings = draw_params(trials, space, seed)
     weight = scale_pos_weight(train, label)
     fits, uses = boosting.shared_fits([boosting.DEFAULT_TREES | s for s in settings])
-    trees = store(
-        boosting.fit_many(spark, boosting.bounded_rows(train, label, features, weight, rows), fits, seed), "trees")
+    trees = store(boosting.fit_table(train, label, features, weight, fits, seed), "trees")
     models = boosting.collected(trees, features)
     scored = boosting.score_ensembles(val.select(label, *features), models, uses)
     ranked = ranking(scored, "score", label, ("model",))
