@@ -48,6 +48,17 @@ def test_sweep_fits_every_row(spark):
     assert found == [1.0, 1.0]
 
 
+def test_refit_fits_every_row(spark):
+    few = rows_of_values(spark, 4000)
+    parts = [df.withColumn("split", F.lit(s)) for s, df in (("train", rows_of_values(spark)), ("val", few), ("test", few))]
+    split = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    params = {k: v[0] for k, v in SPACE.items()}
+    model, metrics = train.refit_and_test(split, params, features=["a"])
+    assert metrics["test_roc_auc"] == metrics["test_pr_auc"] == metrics["test_f1"] == 1.0
+    counts = split.filter("split <> 'test'").groupBy("a", "label").count().collect()
+    assert model.trees[0]["gains"][0] == pytest.approx(first_gain(counts))
+
+
 @pytest.mark.parametrize("n", [50, 3000])
 def test_a_table_is_fitted_as_rows_at_hand(spark, n):
     """Cuts, bins and order made by Spark are those of the same rows in memory, wherever the rows lie."""
