@@ -59,6 +59,19 @@ def test_refit_fits_every_row(spark):
     assert model.trees[0]["gains"][0] == pytest.approx(first_gain(counts))
 
 
+def test_prefixes_are_of_a_fit_of_every_row(spark, monkeypatch):
+    scored_by, score = [], boosting.score_ensembles
+    monkeypatch.setattr(checks, "papers", lambda spark, sf: papers_of_values(spark))
+    monkeypatch.setattr(boosting, "DEFAULT_TREES", boosting.DEFAULT_TREES | WHOLE | {"max_depth": 1})
+    monkeypatch.setattr(boosting, "score_ensembles", lambda df, models, uses: scored_by.extend(models) or score(df, models, uses))
+    prefixes = checks.score_prefixes(spark, "rows of this test")
+    assert prefixes.groupBy("trees").count().collect() and prefixes.count() == 4 * ROWS
+    split = checks.split_table(spark, "rows of this test").filter("split = 'train'")
+    counts = split.groupBy("max_h_index", "label").count().collect()
+    assert sum(r["count"] for r in counts) > 200_000
+    assert scored_by[0].trees[0]["gains"][0] == pytest.approx(first_gain(counts))
+
+
 @pytest.mark.parametrize("n", [50, 3000])
 def test_a_table_is_fitted_as_rows_at_hand(spark, n):
     """Cuts, bins and order made by Spark are those of the same rows in memory, wherever the rows lie."""
