@@ -72,6 +72,15 @@ def test_prefixes_are_of_a_fit_of_every_row(spark, monkeypatch):
     assert scored_by[0].trees[0]["gains"][0] == pytest.approx(first_gain(counts))
 
 
+def test_flow_fits_every_row(spark, tmp_path):
+    runs, model = str(tmp_path / "runs"), str(tmp_path / "model")
+    metrics = train_flow(papers_of_values(spark), runs, model, trials=1, space=SPACE)
+    assert metrics["test_roc_auc"] == metrics["test_pr_auc"] == 1.0
+    known = spark.range(VALUES).select(*[(F.col("id") if c == "max_h_index" else F.lit(1)).alias(c) for c in FEATURE_COLS])
+    scored = {r["max_h_index"]: r["hype_score"] for r in score_trees(known, read_tree_model(spark, model)).collect()}
+    assert min(scored[k] for k in range(1, VALUES, 2)) > 0.5 > max(scored[k] for k in range(0, VALUES, 2))
+
+
 @pytest.mark.parametrize("n", [50, 3000])
 def test_a_table_is_fitted_as_rows_at_hand(spark, n):
     """Cuts, bins and order made by Spark are those of the same rows in memory, wherever the rows lie."""
