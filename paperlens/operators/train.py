@@ -93,6 +93,8 @@ def train_logreg(train: DataFrame, label: str = "label", c: float = 1.0, max_ite
         labelCol=label, weightCol="_weight", maxIter=max_iter, regParam=1.0 / (c * total),
         elasticNetParam=0.0, standardization=False, threshold=0.5,
     ).fit(ready)
+    # The training summary holds the session, which cannot be sent to tasks once a table was observed in it.
+    model._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
     return PipelineModel([scaler, vector, model])
 
 

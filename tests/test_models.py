@@ -2,6 +2,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from paperlens.constants import FEATURE_COLS
@@ -60,6 +61,13 @@ def test_logreg(split):
     assert auc(model, split) > 0.7
 
 
+def test_logreg_after_a_table_was_observed(spark, split):
+    counts = Observation()
+    spark.range(3).observe(counts, F.count("*").alias("n")).collect()
+    assert counts.get["n"] == 3
+    assert auc(train.train_logreg(split.filter("split = 'train'")), split) > 0.7
+
+
 def test_logreg_solves_the_weighted_problem(spark):
     """Against Newton steps on 0.5*|w|^2 + C * sum(weight * log loss), intercept free."""
     rng = np.random.default_rng(2)
